@@ -146,6 +146,47 @@ def q_cohort_under_rows(spark, sf):
         "area_name", "state_name", *TAIL, "value", "seasonal")
 
 
+# --- frame scope -------------------------------------------------------------
+
+METRO_KEYS = ["area_name"] + TAIL
+
+
+def _frame_metrics(cells: DataFrame, entity: str, keep_index: bool = False) -> DataFrame:
+    from panelgrowth.operators.frame import frame_growth_fractions
+    keys = [entity, "supersector_name", "industry_name", "year", "Month"]
+    return finish_growth(frame_growth_fractions(cells, keys, K, keep_index=keep_index))
+
+
+def q_frame_index(spark, sf):
+    from panelgrowth.operators.frame import frame_index
+    indexed, _ = frame_index(_metro_cells(spark, sf), METRO_KEYS)
+    return indexed.select(*METRO_KEYS, "value", "frame_index")
+
+
+def q_frame_lag_growth_12(spark, sf):
+    return _frame_metrics(_metro_cells(spark, sf), "area_name").select(
+        *METRO_KEYS, "value", "pct_change", "job_growth")
+
+
+def q_frame_lag_growth_1(spark, sf):
+    return _frame_metrics(_metro_cells(spark, sf), "area_name").select(
+        *METRO_KEYS, "value_mom", "pct_change_mom", "job_growth_mom")
+
+
+def q_frame_rolling_mean(spark, sf):
+    return _frame_metrics(_metro_cells(spark, sf), "area_name").select(
+        *METRO_KEYS, "value_ytd_avg", "value_ann_avg", "pct_change_ytd", "job_growth_ytd",
+        "pct_change_ann", "job_growth_ann")
+
+
+def q_metro_report_frame(spark, sf):
+    return R.metro_report(_panel(spark, sf), AS_OF, scope="frame")
+
+
+def q_national_report_frame(spark, sf):
+    return R.national_report(_national_panel(spark, sf), AS_OF, scope="frame")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "national_report": q_national_report,
     "state_report": q_state_report,
@@ -165,6 +206,12 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "rank_average": q_rank_average,
     "cohort_over_semi": q_cohort_over_semi,
     "cohort_under_rows": q_cohort_under_rows,
+    "frame_index": q_frame_index,
+    "frame_lag_growth_12": q_frame_lag_growth_12,
+    "frame_lag_growth_1": q_frame_lag_growth_1,
+    "frame_rolling_mean": q_frame_rolling_mean,
+    "metro_report_frame": q_metro_report_frame,
+    "national_report_frame": q_national_report_frame,
 }
 
 
@@ -185,6 +232,13 @@ def _block(entity: str, where: str, select: str) -> str:
             f"{O.metric_ctes(keys, K)}\nSELECT {select} FROM m2")
 
 
+def _frame_block(select: str) -> str:
+    keys = ["area_name", "supersector_name", "industry_name"]
+    order = ", ".join(keys + ["year", "Month"])
+    return (f"{O.BASE},\n{O.pair_ctes('panel', NOT_STATEWIDE_SQL, 'area_name', 'left')},\n"
+            f"{O.metric_ctes(keys, K, order, frame_order=True)}\nSELECT {select} FROM m2")
+
+
 def _tail_sql(entity: str) -> str:
     return ", ".join([entity] + TAIL)
 
@@ -228,6 +282,20 @@ def _oracles() -> dict[str, str]:
                              f"FROM panel WHERE seasonal = 'S' AND {_over_where()}"),
         "cohort_under_rows": (f"{O.BASE}\nSELECT area_name, state_name, {', '.join(TAIL)}, value, "
                               f"seasonal FROM panel WHERE {_under_where()}"),
+        "frame_index": (f"{O.BASE},\n{O.pair_ctes('panel', NOT_STATEWIDE_SQL, 'area_name', 'left')}\n"
+                        f"SELECT {ms}, value, row_number() OVER (ORDER BY {ms}) - 1 AS frame_index "
+                        "FROM cells"),
+        "frame_lag_growth_12": _frame_block(f"{ms}, value, {fin['pct_change']} AS pct_change, "
+                                            f"{fin['job_growth']} AS job_growth"),
+        "frame_lag_growth_1": _frame_block(f"{ms}, value_mom, {fin['pct_change_mom']} AS pct_change_mom, "
+                                           f"{fin['job_growth_mom']} AS job_growth_mom"),
+        "frame_rolling_mean": _frame_block(
+            f"{ms}, value_ytd_avg, value_ann_avg, {fin['pct_change_ytd']} AS pct_change_ytd, "
+            f"{fin['job_growth_ytd']} AS job_growth_ytd, {fin['pct_change_ann']} AS pct_change_ann, "
+            f"{fin['job_growth_ann']} AS job_growth_ann"),
+        "metro_report_frame": O.report_sql("area_name", NOT_STATEWIDE_SQL, "left", K, "first",
+                                           frame=True),
+        "national_report_frame": O.national_sql(K, frame=True),
     }
 
 
