@@ -20,7 +20,16 @@ from panelgrowth.operators.pairing import over_cohort, paired_sums, under_rows
 from panelgrowth.operators.ranks import with_peer_ranks
 from panelgrowth.plans import reports as R
 from panelgrowth.plans.panels import national_panel, state_metro_panel
-from panelgrowth.sources.analog import analog_facts, analog_national_facts
+from panelgrowth.functions.clean import (
+    lenient_double, month_from_period, pct_round, remove, round2, strip_all, zero_pad,
+)
+from panelgrowth.operators.filters import area_exclusion
+from panelgrowth.plans.panels import clean_state_metro, split_state_metro
+from panelgrowth.sinks.writers import SinkTarget, scratch_path, write_feed_tsv, write_reports
+from panelgrowth.sources.analog import (
+    analog_facts, analog_feed_text, analog_national_facts, table,
+)
+from panelgrowth.sources.feeds import date_ref_from_column, read_facts
 
 SMOKE_DIR = "/root/testdata/sf0.001"
 # Query parameters (not data): run date and cohort thresholds for the analog.
@@ -146,6 +155,136 @@ def q_cohort_under_rows(spark, sf):
         "area_name", "state_name", *TAIL, "value", "seasonal")
 
 
+# --- scalar functions ----------------------------------------------------------
+
+IDS = ["l_orderkey", "l_linenumber"]
+
+
+def q_strip_text(spark, sf):
+    feed = analog_feed_text(spark, sf)
+    return feed.select(*[strip_all(c).alias(c) for c in ("series_id", "year", "value")])
+
+
+def q_zero_pad(spark, sf):
+    li = table(spark, sf, "lineitem")
+    return li.select(*IDS,
+                     zero_pad(F.col("l_suppkey").cast("string"), 5).alias("area_code"),
+                     zero_pad(F.col("l_partkey").cast("string"), 8).alias("industry_code"),
+                     zero_pad(F.col("l_linenumber").cast("string"), 2).alias("data_type_code"),
+                     zero_pad(F.col("l_orderkey").cast("string"), 4).alias("order_code"))
+
+
+def q_remove_substrings(spark, sf):
+    raw = analog_facts(spark, sf, with_ids=True)
+    return raw.select(*IDS,
+                      remove(remove("area_name", " NECTA"), "Metropolitan Statistical Area")
+                      .alias("area_name"),
+                      remove("state_name", "\r").alias("state_name"),
+                      remove("supersector_name", "\r").alias("supersector_name"))
+
+
+def q_month_from_period(spark, sf):
+    raw = analog_facts(spark, sf, with_ids=True)
+    return raw.select(*IDS, "period", month_from_period("period").alias("Month"))
+
+
+def q_lenient_numeric(spark, sf):
+    li = table(spark, sf, "lineitem")
+    return li.select(
+        *IDS,
+        lenient_double(strip_all(F.lpad(F.col("l_quantity").cast("string"), 12, " "))).alias("value"),
+        lenient_double(F.col("l_extendedprice").cast("string")).alias("price"),
+        lenient_double("l_returnflag").alias("flag_value"))
+
+
+def q_round_half_even(spark, sf):
+    li = table(spark, sf, "lineitem")
+    return li.select(*IDS,
+                     round2(F.col("l_extendedprice") * F.col("l_discount")).alias("discount_amount"),
+                     pct_round(F.col("l_discount")).alias("discount_pct"),
+                     round2(F.col("l_quantity") / F.lit(8.0)).alias("eighths"))
+
+
+# --- filters, enrichment, sources, sinks -----------------------------------------
+
+PANEL_COLS = ["area_name", "state_name", "supersector_name", "industry_name", "Month", "year",
+              "value", "data_type_code", "seasonal"]
+
+
+def _id_panel(spark, sf, seasonal=("U", "S")):
+    return split_state_metro(clean_state_metro(analog_facts(spark, sf, with_ids=True),
+                                               extra=IDS), seasonal)
+
+
+def q_area_exclusion(spark, sf):
+    return area_exclusion(analog_facts(spark, sf, with_ids=True)).select(*IDS, "area_name")
+
+
+def q_panel_split_u(spark, sf):
+    return _id_panel(spark, sf, "U").select(*IDS, *PANEL_COLS)
+
+
+def q_panel_split_s(spark, sf):
+    return _id_panel(spark, sf, "S").select(*IDS, *PANEL_COLS)
+
+
+def q_national_split(spark, sf):
+    from panelgrowth.operators.filters import national_split_condition
+    facts = analog_national_facts(spark, sf, with_ids=True)
+    return (facts.filter(national_split_condition(("U", "S")))
+            .withColumn("Month", month_from_period("period"))
+            .select(*IDS, "supersector_name", "industry_name", "Month", "year", "value", "seasonal"))
+
+
+def q_statewide_only(spark, sf):
+    return statewide_only(_id_panel(spark, sf)).select(*IDS, *PANEL_COLS)
+
+
+def q_not_statewide(spark, sf):
+    return not_statewide(_id_panel(spark, sf)).select(*IDS, *PANEL_COLS)
+
+
+def q_enrich_state_metro(spark, sf):
+    cleaned = clean_state_metro(analog_facts(spark, sf, with_ids=True), extra=IDS)
+    return cleaned.select(*IDS, "area_name", "state_name", "supersector_name", "industry_name",
+                          "period", "year", "value", "data_type_code", "seasonal")
+
+
+def q_enrich_national(spark, sf):
+    return analog_national_facts(spark, sf, with_ids=True)
+
+
+def q_run_date_row(spark, sf):
+    return date_ref_from_column(table(spark, sf, "lineitem"), "l_shipdate")
+
+
+def q_read_tsv_round_trip(spark, sf):
+    path = scratch_path(spark, "feed")
+    write_feed_tsv(analog_feed_text(spark, sf), path)
+    facts = read_facts(spark, path)
+    return facts.withColumn("value", lenient_double("value"))
+
+
+def q_append_files(spark, sf):
+    feed = analog_feed_text(spark, sf)
+    a, b = scratch_path(spark, "feed-a"), scratch_path(spark, "feed-b")
+    write_feed_tsv(feed.filter(F.col("footnote_codes").isNull()), a)
+    write_feed_tsv(feed.filter(F.col("footnote_codes").isNotNull()), b)
+    facts = read_facts(spark, [a, b])
+    return facts.withColumn("value", lenient_double("value"))
+
+
+def q_sink_round_trip(spark, sf):
+    panel = _panel(spark, sf)
+    states, metros = R.state_report(panel, AS_OF), R.metro_report(panel, AS_OF)
+    combined = R.combined_report(states, metros)
+    target = SinkTarget("parquet", scratch_path(spark, "reports"))
+    write_reports({"state_rankings": combined}, target, index=True,
+                  entity_parts={"state_rankings": [
+                      states, metros.withColumnRenamed("area_name", "state_name")]})
+    return spark.read.parquet(target.path("state_rankings"))
+
+
 # --- frame scope -------------------------------------------------------------
 
 METRO_KEYS = ["area_name"] + TAIL
@@ -206,6 +345,24 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "rank_average": q_rank_average,
     "cohort_over_semi": q_cohort_over_semi,
     "cohort_under_rows": q_cohort_under_rows,
+    "strip_text": q_strip_text,
+    "zero_pad": q_zero_pad,
+    "remove_substrings": q_remove_substrings,
+    "month_from_period": q_month_from_period,
+    "lenient_numeric": q_lenient_numeric,
+    "round_half_even": q_round_half_even,
+    "area_exclusion": q_area_exclusion,
+    "panel_split_u": q_panel_split_u,
+    "panel_split_s": q_panel_split_s,
+    "national_split": q_national_split,
+    "statewide_only": q_statewide_only,
+    "not_statewide": q_not_statewide,
+    "enrich_state_metro": q_enrich_state_metro,
+    "enrich_national": q_enrich_national,
+    "run_date_row": q_run_date_row,
+    "read_tsv_round_trip": q_read_tsv_round_trip,
+    "append_files": q_append_files,
+    "sink_round_trip": q_sink_round_trip,
     "frame_index": q_frame_index,
     "frame_lag_growth_12": q_frame_lag_growth_12,
     "frame_lag_growth_1": q_frame_lag_growth_1,
@@ -239,6 +396,27 @@ def _frame_block(select: str) -> str:
             f"{O.metric_ctes(keys, K, order, frame_order=True)}\nSELECT {select} FROM m2")
 
 
+WS = "' ' || chr(9) || chr(10) || chr(13) || chr(11) || chr(12)"
+PANEL_SQL = ", ".join(PANEL_COLS)
+FEED_SQL = f"""SELECT
+  'L' || CAST(l_orderkey AS VARCHAR) || '-' || CAST(l_linenumber AS VARCHAR) AS series_id,
+  CAST(year(l_shipdate) AS VARCHAR) AS year,
+  CASE WHEN l_linenumber = 7 THEN 'M13'
+       ELSE 'M' || lpad(CAST(month(l_shipdate) AS VARCHAR), 2, '0') END AS period,
+  CAST(l_quantity AS DOUBLE) AS value,
+  CASE WHEN l_linestatus = 'O' THEN 'P' END AS footnote_codes
+FROM lineitem"""
+
+
+def _pad_sql(x: str, n: int) -> str:
+    return f"CASE WHEN length({x}) < {n} THEN lpad({x}, {n}, '0') ELSE {x} END"
+
+
+def _lenient_sql(x: str) -> str:
+    num = r"^[+-]?(\d+\.?\d*|\.\d+)([eE][+-]?\d+)?$"
+    return f"CASE WHEN regexp_matches({x}, '{num}') THEN TRY_CAST({x} AS DOUBLE) END"
+
+
 def _tail_sql(entity: str) -> str:
     return ", ".join([entity] + TAIL)
 
@@ -282,6 +460,58 @@ def _oracles() -> dict[str, str]:
                              f"FROM panel WHERE seasonal = 'S' AND {_over_where()}"),
         "cohort_under_rows": (f"{O.BASE}\nSELECT area_name, state_name, {', '.join(TAIL)}, value, "
                               f"seasonal FROM panel WHERE {_under_where()}"),
+        "strip_text": f"""SELECT
+  trim(rpad('L' || CAST(l_orderkey AS VARCHAR) || '-' || CAST(l_linenumber AS VARCHAR), 30, ' '), {WS}) AS series_id,
+  trim(CAST(year(l_shipdate) AS VARCHAR), {WS}) AS year,
+  trim(lpad(CAST(l_quantity AS VARCHAR), 12, ' '), {WS}) AS value
+FROM lineitem""",
+        "zero_pad": f"""SELECT l_orderkey, l_linenumber,
+  {_pad_sql('CAST(l_suppkey AS VARCHAR)', 5)} AS area_code,
+  {_pad_sql('CAST(l_partkey AS VARCHAR)', 8)} AS industry_code,
+  {_pad_sql('CAST(l_linenumber AS VARCHAR)', 2)} AS data_type_code,
+  {_pad_sql('CAST(l_orderkey AS VARCHAR)', 4)} AS order_code
+FROM lineitem""",
+        "remove_substrings": f"""{O.BASE}
+SELECT l_orderkey, l_linenumber,
+  replace(replace(area_name, ' NECTA', ''), 'Metropolitan Statistical Area', '') AS area_name,
+  replace(state_name, chr(13), '') AS state_name,
+  replace(supersector_name, chr(13), '') AS supersector_name
+FROM raw""",
+        "month_from_period": f"{O.BASE}\nSELECT l_orderkey, l_linenumber, period, replace(period, 'M', '') AS Month FROM raw",
+        "lenient_numeric": f"""SELECT l_orderkey, l_linenumber,
+  {_lenient_sql("trim(lpad(CAST(l_quantity AS VARCHAR), 12, ' '), " + WS + ")")} AS value,
+  {_lenient_sql('CAST(l_extendedprice AS VARCHAR)')} AS price,
+  {_lenient_sql('l_returnflag')} AS flag_value
+FROM lineitem""",
+        "round_half_even": f"""SELECT l_orderkey, l_linenumber,
+  {O.round2('l_extendedprice::DOUBLE * l_discount::DOUBLE')} AS discount_amount,
+  {O.pct('l_discount::DOUBLE')} AS discount_pct,
+  {O.round2('l_quantity::DOUBLE / 8.0::DOUBLE')} AS eighths
+FROM lineitem""",
+        "area_exclusion": f"""{O.BASE}
+SELECT l_orderkey, l_linenumber, area_name FROM raw
+WHERE NOT coalesce(contains(area_name, 'Metropolitan Division'), false)
+  AND NOT coalesce(contains(area_name, 'NECTA Division'), false)""",
+        "panel_split_u": f"{O.BASE}\nSELECT l_orderkey, l_linenumber, {PANEL_SQL} FROM panel WHERE seasonal = 'U'",
+        "panel_split_s": f"{O.BASE}\nSELECT l_orderkey, l_linenumber, {PANEL_SQL} FROM panel WHERE seasonal = 'S'",
+        "national_split": (f"{O.BASE}\nSELECT l_orderkey, l_linenumber, supersector_name, industry_name, "
+                           "Month, year, value, seasonal FROM npanel"),
+        "statewide_only": f"{O.BASE}\nSELECT l_orderkey, l_linenumber, {PANEL_SQL} FROM panel WHERE {STATEWIDE_SQL}",
+        "not_statewide": f"{O.BASE}\nSELECT l_orderkey, l_linenumber, {PANEL_SQL} FROM panel WHERE {NOT_STATEWIDE_SQL}",
+        "enrich_state_metro": (f"{O.BASE}\nSELECT l_orderkey, l_linenumber, area_name, state_name, "
+                               "supersector_name, industry_name, period, year, value, data_type_code, "
+                               "seasonal FROM cleaned"),
+        "enrich_national": (f"{O.BASE}\nSELECT l_orderkey, l_linenumber, supersector_name, industry_name, "
+                            "period, year, value, data_type_code, seasonal FROM raw"),
+        "run_date_row": ("SELECT CAST(month(max(l_shipdate)) - 1 AS VARCHAR) AS month, "
+                         "CAST(year(max(l_shipdate)) AS VARCHAR) AS year FROM lineitem"),
+        "read_tsv_round_trip": FEED_SQL,
+        "append_files": FEED_SQL,
+        "sink_round_trip": f"""SELECT row_number() OVER (ORDER BY state_name, supersector_name, industry_name, year, Month) - 1 AS "index", *
+FROM ({O.report_sql('state_name', STATEWIDE_SQL, 'left', K, 'first')})
+UNION ALL
+SELECT row_number() OVER (ORDER BY state_name, supersector_name, industry_name, year, Month) - 1 AS "index", *
+FROM (SELECT * RENAME (area_name AS state_name) FROM ({O.report_sql('area_name', NOT_STATEWIDE_SQL, 'left', K, 'first')}))""",
         "frame_index": (f"{O.BASE},\n{O.pair_ctes('panel', NOT_STATEWIDE_SQL, 'area_name', 'left')}\n"
                         f"SELECT {ms}, value, row_number() OVER (ORDER BY {ms}) - 1 AS frame_index "
                         "FROM cells"),

@@ -102,3 +102,20 @@ def analog_national_facts(spark: SparkSession, sf_dir: str, with_ids: bool = Fal
     keep = ["supersector_name", "industry_name", "period", "year", "value",
             "data_type_code", "seasonal"]
     return facts.select(*((["l_orderkey", "l_linenumber"] if with_ids else []) + keep))
+
+
+def analog_feed_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The lineitem facts rendered as a text feed laid out like the public
+    time-series files: series id padded on the right, value right-aligned,
+    footnote 'P' on open lines."""
+    li = table(spark, sf_dir, "lineitem")
+    month = F.lpad(F.month("l_shipdate").cast("string"), 2, "0")
+    return li.select(
+        F.rpad(F.concat(F.lit("L"), F.col("l_orderkey").cast("string"), F.lit("-"),
+                        F.col("l_linenumber").cast("string")), 30, " ").alias("series_id"),
+        F.year("l_shipdate").cast("string").alias("year"),
+        F.when(F.col("l_linenumber") == 7, F.lit("M13"))
+         .otherwise(F.concat(F.lit("M"), month)).alias("period"),
+        F.lpad(F.col("l_quantity").cast("string"), 12, " ").alias("value"),
+        F.when(F.col("l_linestatus") == "O", F.lit("P")).alias("footnote_codes"),
+    )
