@@ -21,13 +21,22 @@ from pyspark.sql import functions as F
 BROADCAST_MAX_ROWS = 2_000_000
 
 
+_CHECKED: dict[tuple[int, int], bool] = {}
+
+
 def sized_broadcast(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
     """Broadcast-hint ``df`` only if it holds at most ``max_rows`` rows.
 
-    Counting is one small job over the lookup; it is never called on facts.
+    Counting is one small job over the lookup (never called on facts); the
+    answer is remembered per logical plan for the life of the process, so a
+    lookup used by several report sections is counted once.
     """
-    n = df.limit(max_rows + 1).count()
-    return F.broadcast(df) if n <= max_rows else df
+    key = (df.semanticHash(), max_rows)
+    small = _CHECKED.get(key)
+    if small is None:
+        small = df.limit(max_rows + 1).count() <= max_rows
+        _CHECKED[key] = small
+    return F.broadcast(df) if small else df
 
 
 def join_lookup(facts: DataFrame, lookup: DataFrame, key: str | Sequence[str],
