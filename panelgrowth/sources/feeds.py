@@ -45,9 +45,9 @@ def read_facts(spark: SparkSession, paths, strip_value: bool = True,
                columns: Iterable[str] = FACT_COLUMNS) -> DataFrame:
     """Read a fact feed as text.
 
-    ``strip_value`` is True for the state/metro feed (its value field is
-    stripped before the numeric parse) and irrelevant to the result for the
-    national feed, whose value is parsed the same lenient way.
+    ``strip_value``: strip the value field too.  The state/metro feed strips
+    it explicitly; the national feed's numeric read ignores surrounding
+    blanks, which comes to the same, so both feeds use the default.
     """
     schema = fact_schema(columns)
     if isinstance(paths, str):

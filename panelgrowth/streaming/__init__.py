@@ -1,0 +1,8 @@
+"""Streaming: not used.
+
+The source job is a monthly batch that recomputes every table in full and
+replaces it; it has no event time, late data, watermark or running state.
+The reports depend on whole series (12-row look-backs, peer ranks over all
+entities of a month), so each run is a batch over the complete panel; see
+``panelgrowth.plans.job``.
+"""
