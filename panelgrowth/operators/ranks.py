@@ -45,3 +45,63 @@ def with_peer_ranks(df: DataFrame, entity: str, ranks: dict[str, tuple[str, str]
         else:
             raise ValueError(f"unknown tie rule {method!r}")
     return df.withColumns(cols)
+
+
+# --- peer groups too large for one task -------------------------------------
+
+# A window keeps one peer group in one task.  Above this many rows in the
+# largest group, ranks are computed from a distributed global sort instead.
+MAX_WINDOW_GROUP_ROWS = 2_000_000
+
+
+def largest_peer_group(df: DataFrame, peer_keys: Sequence[str] = PEER_KEYS) -> int:
+    """Rows in the largest peer group (one aggregation, partial sums map-side)."""
+    row = df.groupBy(*peer_keys).agg(F.count(F.lit(1)).alias("_n")).agg(F.max("_n")).first()
+    return int(row[0] or 0)
+
+
+def sorted_rank(df: DataFrame, frac: str, entity: str, method: str, out: str,
+                peer_keys: Sequence[str] = PEER_KEYS) -> DataFrame:
+    """W10/W11 without a window: rows are numbered in (peer group, fraction
+    descending, entity) order by ``frame_index`` (range-partitioned, so one
+    peer group spreads over many tasks); a row's rank is its number minus
+    the number of its group's first row, plus one.  Average ranks use the
+    first and last number of the tied rows."""
+    from panelgrowth.operators.enrich import sized_broadcast
+    from panelgrowth.operators.frame import frame_index
+
+    peer_keys = list(peer_keys)
+    keyed = df.withColumns({"_rk_null": F.col(frac).isNull(), "_rk_neg": -F.col(frac)})
+    indexed, _ = frame_index(keyed, peer_keys + ["_rk_null", "_rk_neg", entity], name="_ridx")
+    starts = indexed.groupBy(*peer_keys).agg(F.min("_ridx").alias("_rstart"))
+    ranked = indexed.join(sized_broadcast(starts), peer_keys, "left")
+    if method == "first":
+        pos = F.col("_ridx") - F.col("_rstart") + F.lit(1)
+    elif method == "average":
+        ties = (indexed.filter(F.col(frac).isNotNull())
+                .groupBy(*peer_keys, frac)
+                .agg(F.min("_ridx").alias("_tlo"), F.max("_ridx").alias("_thi")))
+        ranked = ranked.join(ties, peer_keys + [frac], "left")
+        pos = (F.col("_tlo") + F.col("_thi")) / F.lit(2.0) - F.col("_rstart") + F.lit(1)
+    else:
+        raise ValueError(f"unknown tie rule {method!r}")
+    ranked = ranked.withColumn(out, F.when(F.col(frac).isNotNull(), pos.cast("double")))
+    return ranked.drop("_rk_null", "_rk_neg", "_ridx", "_rstart", "_tlo", "_thi")
+
+
+def peer_ranks(df: DataFrame, entity: str, ranks: dict[str, tuple[str, str]],
+               peer_keys: Sequence[str] = PEER_KEYS, strategy: str = "auto",
+               max_window_rows: int = MAX_WINDOW_GROUP_ROWS) -> DataFrame:
+    """Peer ranks with a strategy: ``window`` (one task per peer group),
+    ``sorted`` (distributed sort), or ``auto`` (window unless the largest
+    group exceeds ``max_window_rows``)."""
+    if strategy == "auto":
+        strategy = "window" if largest_peer_group(df, peer_keys) <= max_window_rows else "sorted"
+    if strategy == "window":
+        return with_peer_ranks(df, entity, ranks, peer_keys)
+    if strategy != "sorted":
+        raise ValueError("strategy must be 'auto', 'window' or 'sorted'")
+    out = df
+    for name, (frac, method) in ranks.items():
+        out = sorted_rank(out, frac, entity, method, name, peer_keys)
+    return out

@@ -107,15 +107,11 @@ def run_monthly(spark: SparkSession, sm_panel: DataFrame | None, ce_panel: DataF
             sm_panel = materialize(sm_panel, "sm_panel")
         if ce_panel is not None and "national" in sections:
             ce_panel = materialize(ce_panel, "ce_panel")
-    reports = R.run(sm_panel, ce_panel, as_of, sections, scope,
-                    over_threshold, under_threshold, over_size)
-    parts = {}
-    if "state_rankings" in reports:
-        parts["state_rankings"] = [R.state_report(sm_panel, as_of, scope=scope),
-                                   reports["msa_rankings"]]
+    built = R.run(sm_panel, ce_panel, as_of, sections, scope,
+                  over_threshold, under_threshold, over_size, keep=materialize)
     write_table(date_ref_row(spark, as_of), "date_ref_t", target)
-    write_reports(reports, target, index=index, entity_parts=parts)
-    return reports
+    write_reports(built.tables, target, index=index, entity_parts=built.parts)
+    return built.tables
 
 
 def main(argv=None) -> None:

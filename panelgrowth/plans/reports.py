@@ -15,6 +15,7 @@ window, the peer window.  The over-cohort adds a small semi-join.
 from __future__ import annotations
 
 import datetime as _dt
+from dataclasses import dataclass, field
 from typing import Callable, Iterable
 
 from pyspark.sql import DataFrame
@@ -24,7 +25,7 @@ from panelgrowth.functions.clean import remove, ytd_months_for
 from panelgrowth.operators.filters import ADJUSTED, not_statewide, statewide_only
 from panelgrowth.operators.growth import finish_growth, growth_fractions
 from panelgrowth.operators.pairing import over_cohort, paired_sums, single_sums, under_rows
-from panelgrowth.operators.ranks import with_peer_ranks
+from panelgrowth.operators.ranks import MAX_WINDOW_GROUP_ROWS, peer_ranks
 
 NATION = "United States"
 CELL_TAIL = ["supersector_name", "industry_name", "year", "Month"]
@@ -66,10 +67,15 @@ def _fractions(cells: DataFrame, series_keys: list[str], k: int, scope: str) ->
 
 
 def area_metrics(cells: DataFrame, entity: str, k: int, mom_ties: str = "first",
-                 scope: str = "series") -> DataFrame:
-    """W1-W11 for one entity level; returns the 21 report columns."""
+                 scope: str = "series", rank_strategy: str = "window") -> DataFrame:
+    """W1-W11 for one entity level; returns the 21 report columns.
+
+    ``rank_strategy``: ``window`` keeps a peer group in one task (a peer
+    group never holds more rows than there are entities); ``sorted`` ranks
+    from a distributed sort for entity counts too large for one task; see
+    ``run`` for the automatic choice."""
     df = _fractions(cells, [entity, "supersector_name", "industry_name"], k, scope)
-    df = with_peer_ranks(df, entity, {
+    df = peer_ranks(df, entity, strategy=rank_strategy, ranks={
         "rank_mom": ("_f_mom", mom_ties),
         "rank_ytd": ("_f_ytd", "first"),
         "rank_ann": ("_f_ann", "first"),
@@ -98,35 +104,39 @@ def national_report(ce_panel: DataFrame, as_of: _dt.date | None = None,
     return df.select(*NATIONAL_COLUMNS)
 
 
-def state_report(panel: DataFrame, as_of=None, ytd_months=None, scope="series") -> DataFrame:
+def state_report(panel: DataFrame, as_of=None, ytd_months=None, scope="series",
+                 rank_strategy: str = "window") -> DataFrame:
     """M2: statewide rows, entity ``state_name``, left pairing."""
     cells = paired_sums(statewide_only(panel), ["state_name"] + CELL_TAIL, how="left")
-    return area_metrics(cells, "state_name", _k(ytd_months, as_of), "first", scope)
+    return area_metrics(cells, "state_name", _k(ytd_months, as_of), "first", scope, rank_strategy)
 
 
-def metro_report(panel: DataFrame, as_of=None, ytd_months=None, scope="series") -> DataFrame:
+def metro_report(panel: DataFrame, as_of=None, ytd_months=None, scope="series",
+                 rank_strategy: str = "window") -> DataFrame:
     """M3: non-statewide rows, entity ``area_name``, left pairing."""
     cells = paired_sums(not_statewide(panel), ["area_name"] + CELL_TAIL, how="left")
-    return area_metrics(cells, "area_name", _k(ytd_months, as_of), "first", scope)
+    return area_metrics(cells, "area_name", _k(ytd_months, as_of), "first", scope, rank_strategy)
 
 
 def metro_over_report(panel: DataFrame, as_of=None, ytd_months=None, scope="series",
-                      threshold: float = 1000.0, size: str = "value") -> DataFrame:
+                      threshold: float = 1000.0, size: str = "value",
+                      rank_strategy: str = "window") -> DataFrame:
     """M4: all rows of the areas with any adjusted 'Total Nonfarm' row above
     the threshold.  Both measures come from the adjusted rows (as in the
     source job); ``rank_mom`` averages ties."""
     adjusted = panel.filter(F.col("seasonal") == ADJUSTED)
     cells = single_sums(over_cohort(adjusted, "area_name", size, threshold),
                         ["area_name"] + CELL_TAIL)
-    return area_metrics(cells, "area_name", _k(ytd_months, as_of), "average", scope)
+    return area_metrics(cells, "area_name", _k(ytd_months, as_of), "average", scope, rank_strategy)
 
 
 def metro_under_report(panel: DataFrame, as_of=None, ytd_months=None, scope="series",
-                       threshold: float = 1000.0, size: str = "value") -> DataFrame:
+                       threshold: float = 1000.0, size: str = "value",
+                       rank_strategy: str = "window") -> DataFrame:
     """M5: 'Total Nonfarm' rows below the threshold, left pairing;
     ``rank_mom`` averages ties."""
     cells = paired_sums(under_rows(panel, size, threshold), ["area_name"] + CELL_TAIL, how="left")
-    return area_metrics(cells, "area_name", _k(ytd_months, as_of), "average", scope)
+    return area_metrics(cells, "area_name", _k(ytd_months, as_of), "average", scope, rank_strategy)
 
 
 def combined_report(states: DataFrame, metros: DataFrame) -> DataFrame:
@@ -144,32 +154,69 @@ SECTIONS: dict[str, Callable] = {
 }
 
 
+def rank_strategies(sm_panel: DataFrame, max_window_rows: int = MAX_WINDOW_GROUP_ROWS) -> dict[str, str]:
+    """Window or sorted ranks per entity level.  A peer group holds at most
+    one row per entity, so the distinct entity count bounds every group;
+    one small aggregation over the (materialized) panel measures it."""
+    row = sm_panel.agg(F.count_distinct("state_name").alias("s"),
+                       F.count_distinct("area_name").alias("a")).first()
+    pick = lambda n: "window" if (n or 0) <= max_window_rows else "sorted"
+    return {"state_name": pick(row["s"]), "area_name": pick(row["a"])}
+
+
+@dataclass
+class Sections:
+    """Sink tables by name, and the appended parts of combined tables."""
+
+    tables: dict[str, DataFrame] = field(default_factory=dict)
+    parts: dict[str, list[DataFrame]] = field(default_factory=dict)
+
+
 def run(sm_panel: DataFrame | None, ce_panel: DataFrame | None, as_of: _dt.date,
         sections: Iterable[str] = tuple(SECTIONS), scope: str = "series",
         over_threshold: float = 1000.0, under_threshold: float = 1000.0,
-        over_size: str = "value") -> dict[str, DataFrame]:
-    """M7: build the requested sections (lazy).  Returns the sink tables:
+        over_size: str = "value", rank_strategy: str = "auto",
+        keep: Callable[[DataFrame, str], DataFrame] | None = None) -> Sections:
+    """M7: build the requested sections (lazy).  Sink tables:
     ``national_rankings_t``, ``state_rankings``, ``msa_rankings``,
     ``msa_rankings_under``, ``msa_rankings_over``.
 
-    The state/metro panel feeds up to four sections; persist it before
-    calling when more than one is requested (``MEMORY_AND_DISK`` survives
-    executor loss by recomputation).
+    The metro report feeds two tables; ``keep(df, label)`` (for example a
+    write to the shared folder and read back) is applied to it so it is
+    computed once.  The state/metro panel feeds four sections: materialize
+    it before calling.
     """
     sections = list(sections)
-    out: dict[str, DataFrame] = {}
+    res = Sections()
+    out = res.tables
     if "national" in sections:
         out["national_rankings_t"] = national_report(ce_panel, as_of, scope=scope)
-    states = state_report(sm_panel, as_of, scope=scope) if "states" in sections else None
-    metros = metro_report(sm_panel, as_of, scope=scope) if "msa" in sections else None
+    sm_sections = set(sections) - {"national"}
+    if not sm_sections:
+        return res
+    if rank_strategy == "auto":
+        strat = rank_strategies(sm_panel)
+    else:
+        strat = {"state_name": rank_strategy, "area_name": rank_strategy}
+    states = (state_report(sm_panel, as_of, scope=scope, rank_strategy=strat["state_name"])
+              if "states" in sections else None)
+    metros = None
+    if "msa" in sections:
+        metros = metro_report(sm_panel, as_of, scope=scope, rank_strategy=strat["area_name"])
+        metros = metros.withColumnRenamed("area_name", "state_name")
+        if keep is not None:
+            metros = keep(metros, "msa_rankings")
+        out["msa_rankings"] = metros
     if states is not None and metros is not None:
-        out["state_rankings"] = combined_report(states, metros)
-    if metros is not None:
-        out["msa_rankings"] = metros.withColumnRenamed("area_name", "state_name")
+        out["state_rankings"] = states.unionByName(metros)
     if "msa_under" in sections:
         out["msa_rankings_under"] = metro_under_report(
-            sm_panel, as_of, scope=scope, threshold=under_threshold)
+            sm_panel, as_of, scope=scope, threshold=under_threshold,
+            rank_strategy=strat["area_name"])
     if "msa_over" in sections:
         out["msa_rankings_over"] = metro_over_report(
-            sm_panel, as_of, scope=scope, threshold=over_threshold, size=over_size)
-    return out
+            sm_panel, as_of, scope=scope, threshold=over_threshold, size=over_size,
+            rank_strategy=strat["area_name"])
+    if states is not None and metros is not None:
+        res.parts["state_rankings"] = [states, metros]
+    return res

@@ -22,3 +22,21 @@ def test_ranks_are_per_peer_group(spark):
     out = with_peer_ranks(df, "area_name", {"r": ("f", "first")})
     got = sorted((r["area_name"], r["Month"], r["supersector_name"], r["r"]) for r in out.collect())
     assert got == [("a", "01", "ss", 2.0), ("a", "02", "ss", 1.0), ("b", "01", "ss", 1.0), ("b", "02", "ss2", 1.0)]
+
+
+def test_sorted_ranks_equal_window_ranks(spark):
+    import random
+    rnd = random.Random(11)
+    rows = [(f"e{i:03d}", rnd.choice(["s1", "s2"]), "ind", "2001", rnd.choice(["01", "02"]),
+             rnd.choice([None, 0.5, 0.25, float(rnd.randint(-5, 5)) / 10]))
+            for i in range(400)]
+    df = spark.createDataFrame(rows, "area_name string, supersector_name string, industry_name string,"
+                                     " year string, Month string, f double")
+    from panelgrowth.operators.ranks import peer_ranks
+    spec = {"r1": ("f", "first"), "ra": ("f", "average")}
+    w = {r["area_name"]: (r["r1"], r["ra"]) for r in peer_ranks(df, "area_name", spec, strategy="window").collect()}
+    s = {r["area_name"]: (r["r1"], r["ra"]) for r in peer_ranks(df, "area_name", spec, strategy="sorted").collect()}
+    assert w == s
+    a = {r["area_name"]: (r["r1"], r["ra"]) for r in peer_ranks(df, "area_name", spec, strategy="auto",
+                                                                  max_window_rows=10).collect()}
+    assert a == w
