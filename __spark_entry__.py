@@ -285,6 +285,42 @@ def q_sink_round_trip(spark, sf):
     return spark.read.parquet(target.path("state_rankings"))
 
 
+# --- fused state/metro sections ------------------------------------------------
+
+def q_fused_sections(spark, sf):
+    from panelgrowth.plans.fused import fused_metrics
+    return fused_metrics(_panel(spark, sf), K, OVER_THRESHOLD, UNDER_THRESHOLD, over_size=OVER_SIZE)
+
+
+def q_rank_first_sorted(spark, sf):
+    cells = _state_cells(spark, sf)
+    df = growth_fractions(cells, ["state_name", "supersector_name", "industry_name"], K)
+    from panelgrowth.operators.ranks import peer_ranks
+    return peer_ranks(df, "state_name", {"rank": ("_f_yoy", "first")}, strategy="sorted").select(
+        "state_name", *TAIL, "rank")
+
+
+def q_rank_average_sorted(spark, sf):
+    cells = _metro_cells(spark, sf)
+    df = growth_fractions(cells, ["area_name", "supersector_name", "industry_name"], K)
+    from panelgrowth.operators.ranks import peer_ranks
+    return peer_ranks(df, "area_name", {"rank_mom": ("_f_mom", "average")}, strategy="sorted").select(
+        "area_name", *TAIL, "rank_mom")
+
+
+def q_state_report_frame(spark, sf):
+    return R.state_report(_panel(spark, sf), AS_OF, scope="frame")
+
+
+def q_metro_over_report_frame(spark, sf):
+    return R.metro_over_report(_panel(spark, sf), AS_OF, scope="frame", threshold=OVER_THRESHOLD,
+                               size=OVER_SIZE)
+
+
+def q_metro_under_report_frame(spark, sf):
+    return R.metro_under_report(_panel(spark, sf), AS_OF, scope="frame", threshold=UNDER_THRESHOLD)
+
+
 # --- frame scope -------------------------------------------------------------
 
 METRO_KEYS = ["area_name"] + TAIL
@@ -368,6 +404,12 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "frame_lag_growth_1": q_frame_lag_growth_1,
     "frame_rolling_mean": q_frame_rolling_mean,
     "metro_report_frame": q_metro_report_frame,
+    "state_report_frame": q_state_report_frame,
+    "metro_over_report_frame": q_metro_over_report_frame,
+    "metro_under_report_frame": q_metro_under_report_frame,
+    "fused_sections": q_fused_sections,
+    "rank_first_sorted": q_rank_first_sorted,
+    "rank_average_sorted": q_rank_average_sorted,
     "national_report_frame": q_national_report_frame,
 }
 
@@ -526,6 +568,22 @@ FROM (SELECT * RENAME (area_name AS state_name) FROM ({O.report_sql('area_name',
         "metro_report_frame": O.report_sql("area_name", NOT_STATEWIDE_SQL, "left", K, "first",
                                            frame=True),
         "national_report_frame": O.national_sql(K, frame=True),
+        "state_report_frame": O.report_sql("state_name", STATEWIDE_SQL, "left", K, "first", frame=True),
+        "metro_over_report_frame": O.report_sql("area_name", _over_where(), "left", K, "average",
+                                                value_from="S", frame=True),
+        "metro_under_report_frame": O.report_sql("area_name", _under_where(), "left", K, "average",
+                                                 frame=True),
+        "fused_sections": "\nUNION ALL\n".join(
+            f"SELECT '{lvl}' AS level, * RENAME ({ent} AS entity) FROM ({sql})" for lvl, ent, sql in (
+                ("state", "state_name", O.report_sql("state_name", STATEWIDE_SQL, "left", K, "first")),
+                ("msa", "area_name", O.report_sql("area_name", NOT_STATEWIDE_SQL, "left", K, "first")),
+                ("under", "area_name", O.report_sql("area_name", _under_where(), "left", K, "average")),
+                ("over", "area_name", O.report_sql("area_name", _over_where(), "left", K, "average",
+                                                   value_from="S")))),
+        "rank_first_sorted": _block("state_name", STATEWIDE_SQL,
+                                    f"{ss}, {O.rank_first_sql('f_yoy', 'state_name')} AS rank"),
+        "rank_average_sorted": _block("area_name", NOT_STATEWIDE_SQL,
+                                      f"{ms}, {O.rank_average_sql('f_mom')} AS rank_mom"),
     }
 
 

@@ -99,7 +99,8 @@ def run_monthly(spark: SparkSession, sm_panel: DataFrame | None, ce_panel: DataF
                 target: SinkTarget, as_of: _dt.date, sections: Iterable[str] = tuple(R.SECTIONS),
                 scope: str = "series", index: bool = False, materialize_panels: bool = True,
                 over_threshold: float = 1000.0, under_threshold: float = 1000.0,
-                over_size: str = "value") -> dict[str, DataFrame]:
+                over_size: str = "value", fused: bool = True,
+                rank_strategy: str = "auto") -> dict[str, DataFrame]:
     """M7 + M8 + K6: compute the sections and replace the tables."""
     sections = list(sections)
     if materialize_panels:
@@ -108,7 +109,8 @@ def run_monthly(spark: SparkSession, sm_panel: DataFrame | None, ce_panel: DataF
         if ce_panel is not None and "national" in sections:
             ce_panel = materialize(ce_panel, "ce_panel")
     built = R.run(sm_panel, ce_panel, as_of, sections, scope,
-                  over_threshold, under_threshold, over_size, keep=materialize)
+                  over_threshold, under_threshold, over_size, rank_strategy=rank_strategy,
+                  keep=materialize, fused=fused)
     write_table(date_ref_row(spark, as_of), "date_ref_t", target)
     write_reports(built.tables, target, index=index, entity_parts=built.parts)
     return built.tables

@@ -145,6 +145,8 @@ def combined_report(states: DataFrame, metros: DataFrame) -> DataFrame:
     return states.unionByName(metros.withColumnRenamed("area_name", "state_name"))
 
 
+SM_SECTIONS = {"states", "msa", "msa_over", "msa_under"}
+
 SECTIONS: dict[str, Callable] = {
     "national": national_report,
     "states": state_report,
@@ -176,15 +178,17 @@ def run(sm_panel: DataFrame | None, ce_panel: DataFrame | None, as_of: _dt.date,
         sections: Iterable[str] = tuple(SECTIONS), scope: str = "series",
         over_threshold: float = 1000.0, under_threshold: float = 1000.0,
         over_size: str = "value", rank_strategy: str = "auto",
-        keep: Callable[[DataFrame, str], DataFrame] | None = None) -> Sections:
+        keep: Callable[[DataFrame, str], DataFrame] | None = None,
+        fused: bool = True) -> Sections:
     """M7: build the requested sections (lazy).  Sink tables:
     ``national_rankings_t``, ``state_rankings``, ``msa_rankings``,
     ``msa_rankings_under``, ``msa_rankings_over``.
 
-    The metro report feeds two tables; ``keep(df, label)`` (for example a
-    write to the shared folder and read back) is applied to it so it is
-    computed once.  The state/metro panel feeds four sections: materialize
-    it before calling.
+    With ``fused`` (series scope, all four state/metro sections) those
+    sections come from one pass (``fused.py``).  ``keep(df, label)`` (for
+    example a write to the shared folder and read back) is applied to the
+    result that feeds several tables, so it is computed once.  The
+    state/metro panel feeds every section: materialize it before calling.
     """
     sections = list(sections)
     res = Sections()
@@ -198,25 +202,36 @@ def run(sm_panel: DataFrame | None, ce_panel: DataFrame | None, as_of: _dt.date,
         strat = rank_strategies(sm_panel)
     else:
         strat = {"state_name": rank_strategy, "area_name": rank_strategy}
-    states = (state_report(sm_panel, as_of, scope=scope, rank_strategy=strat["state_name"])
-              if "states" in sections else None)
-    metros = None
-    if "msa" in sections:
-        metros = metro_report(sm_panel, as_of, scope=scope, rank_strategy=strat["area_name"])
-        metros = metros.withColumnRenamed("area_name", "state_name")
-        if keep is not None:
-            metros = keep(metros, "msa_rankings")
+    states = metros = under = over = None
+    if fused and scope == "series" and sm_sections == SM_SECTIONS:
+        from panelgrowth.plans.fused import state_metro_sections
+        one = "sorted" if "sorted" in strat.values() else "window"
+        levels = state_metro_sections(sm_panel, _k(None, as_of), over_threshold, under_threshold,
+                                      over_size, rank_strategy=one, keep=keep)
+        states, under, over = levels["state"], levels["under"], levels["over"]
+        metros = levels["msa"].withColumnRenamed("area_name", "state_name")
+    else:
+        if "states" in sections:
+            states = state_report(sm_panel, as_of, scope=scope, rank_strategy=strat["state_name"])
+        if "msa" in sections:
+            metros = metro_report(sm_panel, as_of, scope=scope, rank_strategy=strat["area_name"])
+            metros = metros.withColumnRenamed("area_name", "state_name")
+            if keep is not None:
+                metros = keep(metros, "msa_rankings")
+        if "msa_under" in sections:
+            under = metro_under_report(sm_panel, as_of, scope=scope, threshold=under_threshold,
+                                       rank_strategy=strat["area_name"])
+        if "msa_over" in sections:
+            over = metro_over_report(sm_panel, as_of, scope=scope, threshold=over_threshold,
+                                     size=over_size, rank_strategy=strat["area_name"])
+    if metros is not None:
         out["msa_rankings"] = metros
     if states is not None and metros is not None:
         out["state_rankings"] = states.unionByName(metros)
-    if "msa_under" in sections:
-        out["msa_rankings_under"] = metro_under_report(
-            sm_panel, as_of, scope=scope, threshold=under_threshold,
-            rank_strategy=strat["area_name"])
-    if "msa_over" in sections:
-        out["msa_rankings_over"] = metro_over_report(
-            sm_panel, as_of, scope=scope, threshold=over_threshold, size=over_size,
-            rank_strategy=strat["area_name"])
+    if under is not None:
+        out["msa_rankings_under"] = under
+    if over is not None:
+        out["msa_rankings_over"] = over
     if states is not None and metros is not None:
         res.parts["state_rankings"] = [states, metros]
     return res
