@@ -58,6 +58,18 @@ def single_sums(panel: DataFrame, keys: Sequence[str], value: str = "value") ->
     return cells.withColumn("value_mom", F.col("value"))
 
 
+def over_cohort_names(panel: DataFrame, size: str = "value", threshold: float = 1000.0,
+                      industry: str = TOTAL_NONFARM, entity: str = "area_name") -> DataFrame:
+    """Distinct names of the areas with at least one non-statewide
+    ``industry`` row whose ``size`` is above the threshold (one row per
+    area; a filtered scan with partial distinct map-side)."""
+    return (panel.filter(not_equal("area_name", STATEWIDE)
+                         & (F.col("industry_name") == F.lit(industry))
+                         & (F.col(size) > F.lit(threshold)))
+            .select(entity)
+            .distinct())
+
+
 def over_cohort(panel: DataFrame, entity: str = "area_name", size: str = "value",
                 threshold: float = 1000.0, industry: str = TOTAL_NONFARM) -> DataFrame:
     """Every row of the areas that have at least one
@@ -66,11 +78,7 @@ def over_cohort(panel: DataFrame, entity: str = "area_name", size: str = "value"
     The qualifying names are derived and applied as a left-semi join, so the
     name list never passes through the driver.
     """
-    names = (panel.filter(not_equal("area_name", STATEWIDE)
-                          & (F.col("industry_name") == F.lit(industry))
-                          & (F.col(size) > F.lit(threshold)))
-             .select(entity)
-             .distinct())
+    names = over_cohort_names(panel, size, threshold, industry, entity)
     return panel.join(names, entity, "left_semi")
 
 

@@ -15,9 +15,9 @@ over       other adjusted rows (areas qualified afterwards)       area_name
 and then one aggregation (keyed by level), one series window and one peer
 window serve every level, instead of one scan and three shuffles per
 section.  The over-cohort's qualification ("any adjusted Total Nonfarm row
-above the threshold") is carried through the aggregation as a per-cell
-maximum and applied to cells with a small semi-join.  Results are equal to
-the per-section functions in ``reports.py``.
+above the threshold") is a filtered pass over raw rows that yields one row
+per qualifying area, joined to the cells.  Results are equal to the
+per-section functions in ``reports.py``.
 """
 
 from __future__ import annotations
@@ -29,6 +29,7 @@ from pyspark.sql import functions as F
 
 from panelgrowth.operators.filters import ADJUSTED, STATEWIDE, TOTAL_NONFARM, UNADJUSTED, not_equal
 from panelgrowth.operators.growth import finish_growth, growth_fractions
+from panelgrowth.operators.pairing import over_cohort_names
 from panelgrowth.operators.ranks import peer_ranks
 from panelgrowth.plans.reports import CELL_TAIL, report_columns
 
@@ -48,32 +49,38 @@ def tag_levels(panel: DataFrame, under_threshold: float, under_size: str = "valu
         F.when(metro & (F.col("seasonal") == F.lit(ADJUSTED)),
                F.struct(F.lit("over").alias("level"), F.col("area_name").alias("entity"))),
     )
-    return (panel.withColumn("_tag", F.explode(F.filter(tags, lambda t: t.isNotNull())))
+    # explode, then a plain null filter: stays in generated code (a lambda
+    # filter on the array would be interpreted)
+    return (panel.withColumn("_tag", F.explode(tags))
+            .filter(F.col("_tag").isNotNull())
             .withColumns({"level": F.col("_tag.level"), "entity": F.col("_tag.entity")})
             .drop("_tag"))
 
 
 def fused_cells(panel: DataFrame, over_threshold: float, under_threshold: float,
                 over_size: str = "value", under_size: str = "value") -> DataFrame:
+    """Cells of all levels from one aggregation.  Large-metro areas are
+    qualified on raw adjusted rows (a filtered scan: few columns, pushed
+    predicates) and applied to the over-level cells with one left join on a
+    list that has one row per qualifying area."""
     keys = ["level", "entity"] + CELL_TAIL
-    tagged = tag_levels(panel.filter(F.col("seasonal").isin(UNADJUSTED, ADJUSTED)),
-                        under_threshold, under_size)
+    panel = panel.filter(F.col("seasonal").isin(UNADJUSTED, ADJUSTED))
+    tagged = tag_levels(panel, under_threshold, under_size)
     over = F.col("level") == F.lit("over")
     is_s = F.col("seasonal") == F.lit(ADJUSTED)
     is_base = F.when(over, is_s).otherwise(F.col("seasonal") == F.lit(UNADJUSTED))
-    peak = F.when(over & (F.col("industry_name") == F.lit(TOTAL_NONFARM)), F.col(over_size))
-    grouped = tagged.groupBy(*keys).agg(
-        F.sum(F.when(is_base, F.col("value"))).alias("value"),
-        F.sum(F.when(is_s, F.col("value"))).alias("value_mom"),
-        F.count(F.when(is_base, F.lit(1))).alias("_n_base"),
-        F.max(peak).alias("_peak"))
-    qualified = (grouped.filter(over & F.col("entity").isNotNull())
-                 .groupBy("entity").agg(F.max("_peak").alias("_peak"))
-                 .filter(F.col("_peak") > F.lit(over_threshold))
-                 .select("entity", F.lit("over").alias("level")))
-    cells = grouped.dropna(subset=["entity"] + CELL_TAIL).filter(F.col("_n_base") > 0)
-    kept = cells.filter(~over).unionByName(cells.filter(over).join(qualified, ["level", "entity"], "left_semi"))
-    return kept.select(*keys, "value", "value_mom")
+    cells = (tagged.dropna(subset=["entity"] + CELL_TAIL)
+             .groupBy(*keys)
+             .agg(F.sum(F.when(is_base, F.col("value"))).alias("value"),
+                  F.sum(F.when(is_s, F.col("value"))).alias("value_mom"),
+                  F.count(F.when(is_base, F.lit(1))).alias("_n_base"))
+             .filter(F.col("_n_base") > 0))
+    qualified = (over_cohort_names(panel.filter(is_s), over_size, over_threshold)
+                 .select(F.lit("over").alias("level"), F.col("area_name").alias("entity"),
+                         F.lit(True).alias("_qualified")))
+    return (cells.join(qualified, ["level", "entity"], "left")
+            .filter(~over | F.col("_qualified").isNotNull())
+            .select(*keys, "value", "value_mom"))
 
 
 def fused_metrics(panel: DataFrame, k: int, over_threshold: float = 1000.0,
