@@ -113,6 +113,9 @@ def frame_growth_fractions(cells: DataFrame, sort_keys: Sequence[str], ytd_month
     buckets = buckets or 2 * int(spark.conf.get("spark.sql.shuffle.partitions"))
     indexed, total = frame_index(cells, sort_keys, name=idx)
     means, size = frame_rolling_means(indexed, idx, total, ytd_months, buckets)
+    # the means feed both the per-bucket carry and the main path: checkpoint
+    # them once instead of recomputing the bucketed window for each
+    means = means.checkpoint(eager=True)
     measures = sorted({m for m, _ in FAMILIES.values()})
 
     # carry: last non-missing value of every measure before each bucket
