@@ -100,7 +100,7 @@ def run_monthly(spark: SparkSession, sm_panel: DataFrame | None, ce_panel: DataF
                 scope: str = "series", index: bool = False, materialize_panels: bool = True,
                 over_threshold: float = 1000.0, under_threshold: float = 1000.0,
                 over_size: str = "value", fused: bool = True,
-                rank_strategy: str = "auto") -> dict[str, DataFrame]:
+                rank_strategy: str = "auto", sort: bool = False) -> dict[str, DataFrame]:
     """M7 + M8 + K6: compute the sections and replace the tables."""
     sections = list(sections)
     if materialize_panels:
@@ -112,7 +112,7 @@ def run_monthly(spark: SparkSession, sm_panel: DataFrame | None, ce_panel: DataF
                   over_threshold, under_threshold, over_size, rank_strategy=rank_strategy,
                   keep=materialize, fused=fused)
     write_table(date_ref_row(spark, as_of), "date_ref_t", target)
-    write_reports(built.tables, target, index=index, entity_parts=built.parts)
+    write_reports(built.tables, target, index=index, entity_parts=built.parts, sort=sort)
     return built.tables
 
 
@@ -128,6 +128,7 @@ def main(argv=None) -> None:
     p.add_argument("--sections", default=",".join(R.SECTIONS))
     p.add_argument("--scope", default="series", choices=("series", "frame"))
     p.add_argument("--index", action="store_true", help="write the positional index column")
+    p.add_argument("--sort", action="store_true", help="write rows in key order")
     p.add_argument("--master", default=None)
     a = p.parse_args(argv)
     spark = get_spark(master=a.master) if a.master else SparkSession.builder.getOrCreate()
@@ -139,7 +140,7 @@ def main(argv=None) -> None:
               else SinkTarget(a.out_format, a.out))
     sm, ce = build_panels(spark, a.landing, lookups)
     run_monthly(spark, sm, ce, target, _dt.date.fromisoformat(a.as_of),
-                sections=a.sections.split(","), scope=a.scope, index=a.index)
+                sections=a.sections.split(","), scope=a.scope, index=a.index, sort=a.sort)
 
 
 if __name__ == "__main__":

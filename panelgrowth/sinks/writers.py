@@ -63,21 +63,34 @@ def write_table(df: DataFrame, name: str, target: SinkTarget, batchsize: int | N
         df.write.mode("overwrite").format(target.fmt).save(target.path(name))
 
 
+KEY_ORDER = ("state_name", "area_name", "supersector_name", "industry_name", "year", "Month")
+
+
+def _keys(df: DataFrame) -> list[str]:
+    return [c for c in KEY_ORDER if c in df.columns]
+
+
 def write_reports(reports: dict[str, DataFrame], target: SinkTarget, index: bool = False,
-                  entity_parts: dict[str, Sequence[DataFrame]] | None = None) -> None:
-    """M8: write every report; with ``index`` each gets a positional index
-    over its key order (per part, for tables listed in ``entity_parts``)."""
+                  entity_parts: dict[str, Sequence[DataFrame]] | None = None,
+                  sort: bool = False) -> None:
+    """M8: write every report.
+
+    ``index``: add the positional index over the key order (per part, for
+    tables listed in ``entity_parts``).  ``sort`` (O1): write rows in key
+    order (a range-partitioned global sort; parts stay in append order)."""
     for name, df in reports.items():
-        if index:
-            parts = (entity_parts or {}).get(name) or [df]
-            keyed = []
-            for part in parts:
-                keys = [c for c in part.columns if c in (
-                    "state_name", "area_name", "supersector_name", "industry_name", "year", "Month")]
-                keyed.append(with_position_index(part, keys))
+        parts = (entity_parts or {}).get(name) or [df]
+        if index or (sort and len(parts) > 1):
+            keyed = [with_position_index(p, _keys(p)) if index else p for p in parts]
+            if sort:
+                keyed = [p.withColumn("_part", F.lit(i)) for i, p in enumerate(keyed)]
             df = keyed[0]
             for p in keyed[1:]:
                 df = df.unionByName(p)
+            if sort:
+                df = df.orderBy("_part", *_keys(df)).drop("_part")
+        elif sort:
+            df = df.orderBy(*_keys(df))
         write_table(df, name, target, BATCH_SIZES.get(name))
 
 

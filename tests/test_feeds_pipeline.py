@@ -92,3 +92,17 @@ def test_write_reports_index_restarts(spark, tmp_path):
                   entity_parts={"state_rankings": [a, b]})
     back = spark.read.parquet(target.path("state_rankings"))
     assert sorted((r["index"], r["state_name"]) for r in back.collect()) == [(0, "m"), (0, "w"), (1, "x")]
+
+
+def test_write_reports_sorted(spark, tmp_path):
+    a = spark.createDataFrame([("x", "s", "i", "2001", "02", 1.0), ("x", "s", "i", "2001", "01", 2.0)],
+                              "state_name string, supersector_name string, industry_name string, "
+                              "year string, Month string, value double")
+    b = spark.createDataFrame([("a", "s", "i", "2001", "01", 3.0)],
+                              "state_name string, supersector_name string, industry_name string, "
+                              "year string, Month string, value double")
+    target = SinkTarget("parquet", str(tmp_path / "sorted"))
+    write_reports({"state_rankings": a.unionByName(b)}, target, sort=True,
+                  entity_parts={"state_rankings": [a, b]})
+    back = spark.read.parquet(target.path("state_rankings")).collect()
+    assert [(r["state_name"], r["Month"]) for r in back] == [("x", "01"), ("x", "02"), ("a", "01")]
