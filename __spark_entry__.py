@@ -285,6 +285,56 @@ def q_sink_round_trip(spark, sf):
     return spark.read.parquet(target.path("state_rankings"))
 
 
+# --- the analog as real feeds: text facts + coded lookups -> readers -> joins ------
+
+FEED_OVER_THRESHOLD = 49.0             # on value (the feed has no size column)
+_LANDINGS: dict = {}
+
+
+def _landing(spark, sf):
+    from panelgrowth.sources.analog import write_analog_landing
+    key = (id(spark), sf)
+    if key not in _LANDINGS:
+        _LANDINGS[key] = write_analog_landing(spark, sf)
+    return _LANDINGS[key]
+
+
+def _feed_sm_panel(spark, sf):
+    from panelgrowth.plans.job import build_state_metro_panel, feed_paths
+    landing, lookups = _landing(spark, sf)
+    return build_state_metro_panel(spark, feed_paths(landing)["sm"], lookups)
+
+
+def _feed_ce_panel(spark, sf):
+    from panelgrowth.plans.job import build_national_panel, feed_paths
+    landing, lookups = _landing(spark, sf)
+    return build_national_panel(spark, feed_paths(landing)["ce"], lookups)
+
+
+def q_feed_state_report(spark, sf):
+    return R.state_report(_feed_sm_panel(spark, sf), AS_OF)
+
+
+def q_feed_metro_report(spark, sf):
+    return R.metro_report(_feed_sm_panel(spark, sf), AS_OF)
+
+
+def q_feed_metro_under_report(spark, sf):
+    return R.metro_under_report(_feed_sm_panel(spark, sf), AS_OF, threshold=UNDER_THRESHOLD)
+
+
+def q_feed_metro_over_report(spark, sf):
+    return R.metro_over_report(_feed_sm_panel(spark, sf), AS_OF, threshold=FEED_OVER_THRESHOLD)
+
+
+def q_feed_national_report(spark, sf):
+    return R.national_report(_feed_ce_panel(spark, sf), AS_OF)
+
+
+def q_feed_panel(spark, sf):
+    return _feed_sm_panel(spark, sf)
+
+
 # --- fused state/metro sections ------------------------------------------------
 
 def q_fused_sections(spark, sf):
@@ -408,16 +458,22 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "metro_over_report_frame": q_metro_over_report_frame,
     "metro_under_report_frame": q_metro_under_report_frame,
     "fused_sections": q_fused_sections,
+    "feed_panel": q_feed_panel,
+    "feed_state_report": q_feed_state_report,
+    "feed_metro_report": q_feed_metro_report,
+    "feed_metro_under_report": q_feed_metro_under_report,
+    "feed_metro_over_report": q_feed_metro_over_report,
+    "feed_national_report": q_feed_national_report,
     "rank_first_sorted": q_rank_first_sorted,
     "rank_average_sorted": q_rank_average_sorted,
     "national_report_frame": q_national_report_frame,
 }
 
 
-def _over_where() -> str:
+def _over_where(size: str = "size", threshold: float = OVER_THRESHOLD) -> str:
     return (f"area_name IN (SELECT area_name FROM panel WHERE seasonal = 'S' "
             f"AND {NOT_STATEWIDE_SQL} AND industry_name = 'Total Nonfarm' "
-            f"AND size > {OVER_THRESHOLD}{O.D})")
+            f"AND {size} > {threshold}{O.D})")
 
 
 def _under_where() -> str:
@@ -580,6 +636,14 @@ FROM (SELECT * RENAME (area_name AS state_name) FROM ({O.report_sql('area_name',
                 ("under", "area_name", O.report_sql("area_name", _under_where(), "left", K, "average")),
                 ("over", "area_name", O.report_sql("area_name", _over_where(), "left", K, "average",
                                                    value_from="S")))),
+        "feed_panel": (f"{O.BASE}\nSELECT area_name, state_name, supersector_name, industry_name, Month, "
+                       "year, value, data_type_code, seasonal FROM panel"),
+        "feed_state_report": O.report_sql("state_name", STATEWIDE_SQL, "left", K, "first"),
+        "feed_metro_report": O.report_sql("area_name", NOT_STATEWIDE_SQL, "left", K, "first"),
+        "feed_metro_under_report": O.report_sql("area_name", _under_where(), "left", K, "average"),
+        "feed_metro_over_report": O.report_sql(
+            "area_name", _over_where("value", FEED_OVER_THRESHOLD), "left", K, "average", value_from="S"),
+        "feed_national_report": O.national_sql(K),
         "rank_first_sorted": _block("state_name", STATEWIDE_SQL,
                                     f"{ss}, {O.rank_first_sql('f_yoy', 'state_name')} AS rank"),
         "rank_average_sorted": _block("area_name", NOT_STATEWIDE_SQL,

@@ -71,21 +71,31 @@ def _prefilter_series(series: DataFrame, with_data_type: bool) -> DataFrame:
     return series if cond is None else series.filter(cond)
 
 
+def build_state_metro_panel(spark: SparkSession, paths, lookups: LookupSource) -> DataFrame:
+    """M0a from the state/metro feed file(s) and its five lookups."""
+    lk = {n: read_lookup(spark, lookups, n) for n in SM_LOOKUPS}
+    facts = read_facts(spark, paths, strip_value=True)
+    return state_metro_panel(enrich_state_metro(
+        facts, lk["sm_state"], lk["sm_supersector"],
+        _prefilter_series(lk["sm_series"], with_data_type=True),
+        lk["sm_industry"], lk["sm_area"]))
+
+
+def build_national_panel(spark: SparkSession, paths, lookups: LookupSource) -> DataFrame:
+    """M0b from the national feed files and their three lookups."""
+    lk = {n: read_lookup(spark, lookups, n) for n in CE_LOOKUPS}
+    facts = read_facts(spark, paths, strip_value=True)
+    return national_panel(enrich_national(
+        facts, _prefilter_series(lk["ce_series"], with_data_type=False),
+        lk["ce_industry"], lk["ce_supersector"]))
+
+
 def build_panels(spark: SparkSession, landing_dir: str, lookups: LookupSource,
                  feeds: dict[str, list[str]] | None = None) -> tuple[DataFrame, DataFrame]:
     """M0a + M0b from the feeds."""
     feeds = feeds or feed_paths(landing_dir)
-    lk = {n: read_lookup(spark, lookups, n) for n in SM_LOOKUPS + CE_LOOKUPS}
-    sm_facts = read_facts(spark, feeds["sm"], strip_value=True)
-    ce_facts = read_facts(spark, feeds["ce"], strip_value=True)
-    sm = state_metro_panel(enrich_state_metro(
-        sm_facts, lk["sm_state"], lk["sm_supersector"],
-        _prefilter_series(lk["sm_series"], with_data_type=True),
-        lk["sm_industry"], lk["sm_area"]))
-    ce = national_panel(enrich_national(
-        ce_facts, _prefilter_series(lk["ce_series"], with_data_type=False),
-        lk["ce_industry"], lk["ce_supersector"]))
-    return sm, ce
+    return (build_state_metro_panel(spark, feeds["sm"], lookups),
+            build_national_panel(spark, feeds["ce"], lookups))
 
 
 def materialize(df: DataFrame, label: str) -> DataFrame:

@@ -130,3 +130,123 @@ def analog_feed_text(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.lpad(F.col("l_quantity").cast("string"), 12, " ").alias("value"),
         F.when(F.col("l_linestatus") == "O", F.lit("P")).alias("footnote_codes"),
     )
+
+
+# --- the analog panel as real feeds (text facts + coded lookups) -------------
+
+def _order_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    orders = table(spark, sf_dir, "orders").select(
+        F.col("o_orderkey").alias("l_orderkey"), F.col("o_custkey").alias("c_custkey"))
+    customer = table(spark, sf_dir, "customer").select("c_custkey", "c_nationkey", "c_mktsegment")
+    nation = table(spark, sf_dir, "nation").select(
+        F.col("n_nationkey").alias("c_nationkey"), "n_regionkey")
+    attrs = enrich(orders, [(customer, "c_custkey"), (nation, "c_nationkey")])
+    return attrs.select("l_orderkey", "c_mktsegment", "c_nationkey", "n_regionkey")
+
+
+def _segment_code(c) -> F.Column:
+    # a short numeric code derived from the segment name
+    return F.pmod(F.xxhash64(c), F.lit(99991))
+
+
+def _suffix(nationkey) -> F.Column:
+    return F.element_at(F.array(*[F.lit(s) for s in AREA_SUFFIXES]), (nationkey % 4 + 1).cast("int"))
+
+
+def analog_feeds(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
+    """The analog panel encoded the way the public feeds are: text facts keyed
+    by a series id, and lookups from codes to names.  Codes are numbers
+    (padded by the readers), area codes in the area lookup end in a line
+    feed, the area lookup carries a clashing ``state_name``, national series
+    ids in their lookup carry blanks.  Decoding these through the engine's
+    readers and joins gives back the analog panel."""
+    li = table(spark, sf_dir, "lineitem").select(
+        "l_orderkey", "l_linenumber", "l_suppkey", "l_quantity", "l_returnflag", "l_linestatus",
+        "l_shipdate")
+    rows = join_lookup(li, _order_codes(spark, sf_dir), "l_orderkey", broadcast_max_rows=None)
+    month = F.lpad(F.month("l_shipdate").cast("string"), 2, "0")
+    coded = rows.select(
+        F.when(F.col("l_linestatus") == "F", F.lit("U"))
+         .when(F.col("l_linestatus") == "O", F.lit("S")).alias("seasonal"),
+        F.col("n_regionkey").alias("state_code"),
+        F.when(F.col("l_suppkey") % 2 == 0, F.lit(0))
+         .otherwise(F.col("c_nationkey") + 1).alias("area_code"),
+        _segment_code(F.col("c_mktsegment")).alias("supersector_code"),
+        F.ascii("l_returnflag").alias("industry_code"),
+        F.when(F.col("l_linenumber") <= 5, F.lit(1)).otherwise(F.lit(2)).alias("data_type_code"),
+        F.year("l_shipdate").cast("string").alias("year"),
+        F.when(F.col("l_linenumber") == 7, F.lit("M13"))
+         .otherwise(F.concat(F.lit("M"), month)).alias("period"),
+        F.lpad(F.col("l_quantity").cast("string"), 12, " ").alias("value"),
+    )
+
+    def code(c, n):
+        return F.lpad(F.col(c).cast("string"), n, "0")
+
+    sm_id = F.concat(F.lit("SM"), F.coalesce(F.col("seasonal"), F.lit("X")), code("state_code", 2),
+                     code("area_code", 5), code("supersector_code", 8), code("industry_code", 8),
+                     F.col("data_type_code").cast("string"))
+    ce_id = F.concat(F.lit("CE"), F.coalesce(F.col("seasonal"), F.lit("X")),
+                     code("supersector_code", 8), code("industry_code", 8),
+                     F.col("data_type_code").cast("string"))
+    coded = coded.withColumns({"sm_id": sm_id, "ce_id": ce_id})
+
+    def facts(id_col):
+        return coded.select(F.rpad(F.col(id_col), 30, " ").alias("series_id"), "year", "period",
+                            "value", F.lit(None).cast("string").alias("footnote_codes"))
+
+    nation = table(spark, sf_dir, "nation")
+    region = table(spark, sf_dir, "region")
+    customer = table(spark, sf_dir, "customer")
+    segments = customer.select("c_mktsegment").distinct().select(
+        _segment_code(F.col("c_mktsegment")).alias("supersector_code"),
+        F.col("c_mktsegment").alias("supersector_name"))
+    flags = table(spark, sf_dir, "lineitem").select("l_returnflag").distinct().select(
+        F.ascii("l_returnflag").alias("industry_code"),
+        F.when(F.col("l_returnflag") == "N", F.lit(TOTAL_NONFARM))
+         .otherwise(F.col("l_returnflag")).alias("industry_name"))
+    statewide = region.agg(F.lit("00000").alias("area_code")).select(
+        "area_code", F.lit(STATEWIDE).alias("area_name"), F.lit("WRONG").alias("state_name"))
+    areas = nation.select(
+        F.concat(F.lpad((F.col("n_nationkey") + 1).cast("string"), 5, "0"), F.lit("\n")).alias("area_code"),
+        F.concat(F.col("n_name"), _suffix(F.col("n_nationkey"))).alias("area_name"),
+        F.lit("WRONG").alias("state_name"))
+    return {
+        "sm_facts": facts("sm_id"),
+        "ce_facts": facts("ce_id").withColumn("_file", F.pmod(F.xxhash64("series_id"), F.lit(11))),
+        "sm_state": region.select(F.col("r_regionkey").alias("state_code"),
+                                  F.col("r_name").alias("state_name")),
+        "sm_supersector": segments,
+        "sm_series": coded.select(F.col("sm_id").alias("series_id"), "state_code", "area_code",
+                                  "supersector_code", "industry_code", "data_type_code",
+                                  "seasonal").distinct(),
+        "sm_industry": flags,
+        "sm_area": statewide.unionByName(areas),
+        "ce_series": coded.select(F.concat(F.lit(" "), F.col("ce_id"), F.lit(" ")).alias("series_id"),
+                                  "supersector_code", "industry_code", "data_type_code",
+                                  "seasonal").distinct(),
+        "ce_industry": flags,
+        "ce_supersector": segments,
+    }
+
+
+def write_analog_landing(spark: SparkSession, sf_dir: str) -> tuple[str, "LookupSource"]:
+    """Write ``analog_feeds`` as a landing folder (text feeds under the
+    manifest's file names) plus parquet lookups, under the session's shared
+    folder.  Returns (landing folder, lookup source)."""
+    from panelgrowth.plans.job import CE_FILES, SM_FILES, materialize
+    from panelgrowth.sinks.writers import scratch_path, write_feed_tsv
+    from panelgrowth.sources.feeds import LookupSource
+
+    base = scratch_path(spark, "landing")
+    feeds = analog_feeds(spark, sf_dir)
+    sm_facts = materialize(feeds["sm_facts"], "sm_facts")
+    ce_facts = materialize(feeds["ce_facts"], "ce_facts")
+    write_feed_tsv(sm_facts, f"{base}/{SM_FILES[0]}.txt")
+    for i, name in enumerate(CE_FILES):
+        write_feed_tsv(ce_facts.filter(F.col("_file") == i).drop("_file"), f"{base}/{name}.txt")
+    lookups = LookupSource("parquet", f"{base}/lookups")
+    for name, df in feeds.items():
+        if not name.endswith("_facts"):
+            df.write.mode("overwrite").parquet(lookups.path(name))
+    return base, lookups

@@ -9,7 +9,8 @@ from panelgrowth.sources.analog import TABLES
 SF = "/root/testdata/sf0.001"
 NAMES = ["national_report", "state_report", "metro_report", "metro_over_report",
          "metro_under_report", "zero_pad", "lenient_numeric", "round_half_even", "strip_text",
-         "frame_lag_growth_12", "frame_rolling_mean", "run_date_row"]
+         "frame_lag_growth_12", "frame_rolling_mean", "run_date_row", "feed_state_report",
+         "feed_national_report", "fused_sections"]
 
 
 @pytest.fixture(scope="module")
