@@ -94,8 +94,12 @@ def write_reports(reports: dict[str, DataFrame], target: SinkTarget, index: bool
         write_table(df, name, target, BATCH_SIZES.get(name))
 
 
-def write_feed_tsv(df: DataFrame, path: str) -> None:
-    """Write a text feed (tab-separated, header) keeping field padding."""
+def write_feed_tsv(df: DataFrame, path: str, files: int | None = None) -> None:
+    """Write a text feed (tab-separated, header) keeping field padding;
+    ``files`` caps the number of part files (one per feed file, as
+    published)."""
+    if files:
+        df = df.coalesce(files)
     (df.write.mode("overwrite")
      .option("sep", "\t").option("header", True)
      .option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False)
