@@ -21,17 +21,18 @@ from pyspark.sql import functions as F
 BROADCAST_MAX_ROWS = 2_000_000
 
 
-_CHECKED: dict[tuple[int, int], bool] = {}
+_CHECKED: dict[tuple, bool] = {}
 
 
 def sized_broadcast(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
     """Broadcast-hint ``df`` only if it holds at most ``max_rows`` rows.
 
-    Counting is one small job over the lookup (never called on facts); the
-    answer is remembered per logical plan for the life of the process, so a
-    lookup used by several report sections is counted once.
+    Counting is one small job over the lookup (never called on facts).  The
+    answer is remembered per logical plan and input file list, so a lookup
+    used by several report sections is counted once, and a lookup whose
+    files were rewritten is counted again.
     """
-    key = (df.semanticHash(), max_rows)
+    key = (df.semanticHash(), tuple(sorted(df.inputFiles())), max_rows)
     small = _CHECKED.get(key)
     if small is None:
         small = df.limit(max_rows + 1).count() <= max_rows

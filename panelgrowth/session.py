@@ -20,6 +20,8 @@ DEFAULT_CONF = {
     "spark.ui.enabled": "false",
     "spark.ui.showConsoleProgress": "false",
     "spark.sql.ansi.enabled": "true",
+    # checkpoint files are removed once their DataFrames are unreferenced
+    "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
     # no broadcast from file-size estimates; explicit hints are placed only
     # after a row-count check, and AQE may broadcast a side it has measured
     "spark.sql.autoBroadcastJoinThreshold": "-1",
