@@ -76,6 +76,13 @@ def test_monthly_job(spark, tmp_path):
     ref = read("date_ref_t").first()
     assert (ref["month"], ref["year"]) == ("2", "2001")
 
+    # frame scope runs end to end (per-section path)
+    out3 = SinkTarget("parquet", str(tmp_path / "out3"))
+    run_monthly(spark, sm, ce, out3, dt.date(2001, 3, 1), scope="frame")
+    assert spark.read.parquet(out3.path("state_rankings")).count() == 15 * 3
+    nat3 = spark.read.parquet(out3.path("national_rankings_t")).count()
+    assert nat3 == 15
+
     # the fused pass and the per-section functions write the same tables
     out2 = SinkTarget("parquet", str(tmp_path / "out2"))
     run_monthly(spark, sm, ce, out2, dt.date(2001, 3, 1), index=True, fused=False)

@@ -48,3 +48,13 @@ def test_over_cohort_semi_join(spark, tmp_path):
     panel = _panel(spark, tmp_path)
     plan = _plan(R.metro_over_report(panel, dt.date(2001, 3, 1), threshold=5.0))
     assert "LeftSemi" in plan
+
+
+def test_feed_path_broadcasts_lookups_and_shuffles_three_times(spark):
+    import __spark_entry__ as E
+    df = E.queries()["feed_state_report"](spark, "/root/testdata/sf0.001")
+    df.write.format("noop").mode("overwrite").save()
+    plan = _plan(df)
+    assert "SortMergeJoin" not in plan
+    assert plan.count("BroadcastHashJoin") == 5
+    assert plan.count("Exchange hashpartitioning") == 3
