@@ -75,3 +75,19 @@ def test_frame_growth_matches_whole_frame(spark):
                 None if pd.isna(got[c][i]) else float(got[c][i]),
                 None if pd.isna(want[c][i]) else float(want[c][i]))]
             assert not bad, (k, c, bad[:5])
+
+
+def test_frame_index_repeatable(spark):
+    rows = _random_cells(seed=5)
+    df = spark.createDataFrame(rows, SCHEMA)
+    a, _ = frame_index(df, KEYS, partitions=3)
+    b, _ = frame_index(df.repartition(7), KEYS, partitions=6)
+    key = lambda r: tuple(r[c] for c in KEYS)
+    assert {key(r): r["frame_index"] for r in a.collect()} == {key(r): r["frame_index"] for r in b.collect()}
+
+
+def test_empty_input(spark):
+    empty = spark.createDataFrame([], SCHEMA)
+    idx, n = frame_index(empty, KEYS)
+    assert n == 0 and idx.count() == 0
+    assert frame_growth_fractions(empty, KEYS, 2).count() == 0

@@ -56,3 +56,16 @@ def test_single_sums_measures_equal(spark):
     rows = [("A", "s", "ss", "TN", "01", "2001", 2.0, "S"), ("A", "s", "ss", "TN", "01", "2001", 3.0, "S")]
     r = single_sums(_panel(spark, rows), KEYS).first()
     assert r["value"] == r["value_mom"] == 5.0
+
+
+def test_empty_cohorts_in_reports(spark):
+    import datetime as dt
+    from panelgrowth.plans import reports as R
+    from panelgrowth.plans.fused import fused_metrics
+    rows = [("A", "s", "ss", "Total Nonfarm", f"{m:02d}", "2001", 5.0, fl)
+            for m in range(1, 13) for fl in ("U", "S")]
+    df = _panel(spark, rows)
+    assert R.metro_over_report(df, dt.date(2001, 3, 1), threshold=1e9).count() == 0
+    assert R.metro_under_report(df, dt.date(2001, 3, 1), threshold=0.0, scope="frame").count() == 0
+    levels = {r["level"] for r in fused_metrics(df, 2, over_threshold=1e9, under_threshold=0.0).collect()}
+    assert levels == {"msa"}
