@@ -1,8 +1,9 @@
 """Feed and lookup sources.
 
 * Fact feeds are tab-separated text with a header row.  Every column is read
-  as text under an explicit schema (headers are checked against it), then
-  the id/year/value/footnote fields are stripped with built-in expressions.
+  as text and matched by header name (names stripped: published files may
+  pad them; order and extra columns do not matter), then the
+  id/year/value/footnote fields are stripped with built-in expressions.
 * A feed may be one path, a glob, or a list of files; a list is read file by
   file and appended (UNION ALL, by column name): a series present in two
   files is counted twice, as in the source job.
@@ -32,13 +33,31 @@ def fact_schema(columns: Iterable[str] = FACT_COLUMNS) -> T.StructType:
     return T.StructType([T.StructField(c, T.StringType(), True) for c in columns])
 
 
-def _read_one(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
-    return (spark.read.schema(schema)
-            .option("sep", "\t")
-            .option("header", True)
-            .option("enforceSchema", False)
-            .option("mode", "PERMISSIVE")
-            .csv(path))
+def header_names(spark: SparkSession, path: str) -> list[str] | None:
+    """Column names from a feed's header line, blanks stripped (published
+    files may pad them).  Reads one line; None for an empty file."""
+    first = spark.read.text(path).limit(1).collect()
+    if not first:
+        return None
+    return [n.strip() for n in first[0][0].split("\t")]
+
+
+def _read_one(spark: SparkSession, path: str, columns: list[str]) -> DataFrame:
+    """One feed file (or folder of part files), every column as text,
+    matched by (stripped) header name; columns the header lacks are added
+    as NULL by the caller's union."""
+    names = header_names(spark, path) or list(columns)
+    schema = fact_schema(names)
+    df = (spark.read.schema(schema)
+          .option("sep", "\t")
+          .option("header", True)
+          .option("enforceSchema", True)
+          .option("mode", "PERMISSIVE")
+          .csv(path))
+    keep = [c for c in columns if c in names]
+    if not keep:
+        raise ValueError(f"{path}: header {names} has none of {list(columns)}")
+    return df.select(*keep)
 
 
 def read_facts(spark: SparkSession, paths, strip_value: bool = True,
@@ -49,11 +68,13 @@ def read_facts(spark: SparkSession, paths, strip_value: bool = True,
     it explicitly; the national feed's numeric read ignores surrounding
     blanks, which comes to the same, so both feeds use the default.
     """
-    schema = fact_schema(columns)
+    columns = list(columns)
     if isinstance(paths, str):
         paths = [paths]
-    frames = [_read_one(spark, p, schema) for p in paths]
+    frames = [_read_one(spark, p, columns) for p in paths]
     facts = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), frames)
+    missing = [c for c in columns if c not in facts.columns]
+    facts = facts.withColumns({c: F.lit(None).cast("string") for c in missing}).select(*columns)
     stripped = {"series_id", "year", "footnote_codes"} | ({"value"} if strip_value else set())
     return facts.select(*[
         (strip_all(c).alias(c) if c in stripped else F.col(c)) for c in facts.columns

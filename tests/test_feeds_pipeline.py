@@ -106,3 +106,12 @@ def test_write_reports_sorted(spark, tmp_path):
                   entity_parts={"state_rankings": [a, b]})
     back = spark.read.parquet(target.path("state_rankings")).collect()
     assert [(r["state_name"], r["Month"]) for r in back] == [("x", "01"), ("x", "02"), ("a", "01")]
+
+
+def test_feed_header_padding_order_and_extras(spark, tmp_path):
+    p = tmp_path / "padded.txt"
+    p.write_text("year\tseries_id                     \tperiod\textra\t       value\n"
+                 "2001\tS1   \tM01\tx\t   5.0\n")
+    r = read_facts(spark, str(p)).first()
+    assert (r["series_id"], r["year"], r["period"], r["value"], r["footnote_codes"]) == \
+        ("S1", "2001", "M01", "5.0", None)
