@@ -35,6 +35,10 @@ class SinkTarget:
     base: str = ""
     url: str | None = None
     properties: dict = field(default_factory=dict)
+    # JDBC only: at most this many concurrent connections (Spark coalesces
+    # the written partitions down to it), so a large cluster does not
+    # overwhelm the database
+    max_connections: int = 16
 
     def path(self, name: str) -> str:
         return f"{self.base.rstrip('/')}/{name}"
@@ -56,6 +60,7 @@ def write_table(df: DataFrame, name: str, target: SinkTarget, batchsize: int | N
     """K1-K6, K8: replace the table."""
     if target.fmt == "jdbc":
         props = dict(target.properties)
+        props.setdefault("numPartitions", str(target.max_connections))
         if batchsize:
             props["batchsize"] = str(batchsize)
         df.write.mode("overwrite").jdbc(target.url, name, properties=props)
