@@ -20,6 +20,7 @@ from __future__ import annotations
 
 import argparse
 import datetime as _dt
+from concurrent.futures import ThreadPoolExecutor
 from typing import Iterable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -105,25 +106,56 @@ def materialize(df: DataFrame, label: str) -> DataFrame:
     return df.sparkSession.read.parquet(path)
 
 
+def concurrently(*thunks):
+    """Run independent Spark actions from separate threads (Spark schedules
+    jobs from different threads side by side); returns their results."""
+    thunks = [t for t in thunks if t is not None]
+    if len(thunks) <= 1:
+        return [t() for t in thunks]
+    with ThreadPoolExecutor(max_workers=len(thunks)) as pool:
+        futures = [pool.submit(t) for t in thunks]
+        return [f.result() for f in futures]
+
+
 def run_monthly(spark: SparkSession, sm_panel: DataFrame | None, ce_panel: DataFrame | None,
                 target: SinkTarget, as_of: _dt.date, sections: Iterable[str] = tuple(R.SECTIONS),
                 scope: str = "series", index: bool = False, materialize_panels: bool = True,
                 over_threshold: float = 1000.0, under_threshold: float = 1000.0,
                 over_size: str = "value", fused: bool = True,
                 rank_strategy: str = "auto", sort: bool = False) -> dict[str, DataFrame]:
-    """M7 + M8 + K6: compute the sections and replace the tables."""
+    """M7 + M8 + K6: compute the sections and replace the tables.
+
+    Independent work runs side by side: the two panels are materialized
+    together, then the national branch and the state/metro branch are built
+    and written together."""
     sections = list(sections)
+    sm_sections = [x for x in sections if x != "national"]
     if materialize_panels:
-        if sm_panel is not None and set(sections) - {"national"}:
-            sm_panel = materialize(sm_panel, "sm_panel")
-        if ce_panel is not None and "national" in sections:
-            ce_panel = materialize(ce_panel, "ce_panel")
-    built = R.run(sm_panel, ce_panel, as_of, sections, scope,
-                  over_threshold, under_threshold, over_size, rank_strategy=rank_strategy,
-                  keep=materialize, fused=fused)
-    write_table(date_ref_row(spark, as_of), "date_ref_t", target)
-    write_reports(built.tables, target, index=index, entity_parts=built.parts, sort=sort)
-    return built.tables
+        sm_panel, ce_panel = concurrently(
+            (lambda: materialize(sm_panel, "sm_panel")) if sm_panel is not None and sm_sections
+            else (lambda: sm_panel),
+            (lambda: materialize(ce_panel, "ce_panel")) if ce_panel is not None and "national" in sections
+            else (lambda: ce_panel))
+
+    def branch(which: list[str]) -> dict[str, DataFrame]:
+        built = R.run(sm_panel, ce_panel, as_of, which, scope,
+                      over_threshold, under_threshold, over_size, rank_strategy=rank_strategy,
+                      keep=materialize, fused=fused)
+        concurrently(*[
+            (lambda n=n, d=d: write_reports({n: d}, target, index=index,
+                                            entity_parts=built.parts, sort=sort))
+            for n, d in built.tables.items()])
+        return built.tables
+
+    results = concurrently(
+        (lambda: branch(["national"])) if "national" in sections else None,
+        (lambda: branch(sm_sections)) if sm_sections else None,
+        lambda: write_table(date_ref_row(spark, as_of), "date_ref_t", target))
+    tables: dict[str, DataFrame] = {}
+    for r in results:
+        if isinstance(r, dict):
+            tables.update(r)
+    return tables
 
 
 def main(argv=None) -> None:

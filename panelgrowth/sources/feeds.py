@@ -15,6 +15,7 @@
 from __future__ import annotations
 
 import datetime as _dt
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
 from functools import reduce
 from typing import Iterable
@@ -42,11 +43,12 @@ def header_names(spark: SparkSession, path: str) -> list[str] | None:
     return [n.strip() for n in first[0][0].split("\t")]
 
 
-def _read_one(spark: SparkSession, path: str, columns: list[str]) -> DataFrame:
+def _read_one(spark: SparkSession, path: str, columns: list[str],
+              names: list[str] | None) -> DataFrame:
     """One feed file (or folder of part files), every column as text,
     matched by (stripped) header name; columns the header lacks are added
     as NULL by the caller's union."""
-    names = header_names(spark, path) or list(columns)
+    names = names or list(columns)
     schema = fact_schema(names)
     df = (spark.read.schema(schema)
           .option("sep", "\t")
@@ -71,7 +73,10 @@ def read_facts(spark: SparkSession, paths, strip_value: bool = True,
     columns = list(columns)
     if isinstance(paths, str):
         paths = [paths]
-    frames = [_read_one(spark, p, columns) for p in paths]
+    # one small job per file for its header line; submitted together
+    with ThreadPoolExecutor(max_workers=min(8, len(paths))) as pool:
+        headers = list(pool.map(lambda p: header_names(spark, p), paths))
+    frames = [_read_one(spark, p, columns, h) for p, h in zip(paths, headers)]
     facts = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), frames)
     missing = [c for c in columns if c not in facts.columns]
     facts = facts.withColumns({c: F.lit(None).cast("string") for c in missing}).select(*columns)
