@@ -8,8 +8,16 @@ oracle is the same query as DuckDB SQL over the same tables.
 from __future__ import annotations
 
 import datetime as _dt
+import os
+import sys
 from collections.abc import Callable
 
+# the engine package sits next to this file; make it importable however this
+# module is loaded
+_HERE = os.path.dirname(os.path.abspath(__file__))
+if _HERE not in sys.path:
+    sys.path.insert(0, _HERE)
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
