@@ -4,7 +4,7 @@ import datetime as dt
 
 import pandas as pd
 
-from panelgrowth.plans.job import CE_FILES, SM_FILES, build_panels, feed_paths, run_monthly
+from panelgrowth.plans.job import CE_FILES, SM_FILES, build_panels, feed_paths, main, run_monthly
 from panelgrowth.sinks.writers import SinkTarget
 from panelgrowth.sources.feeds import LookupSource
 
@@ -90,3 +90,14 @@ def test_monthly_job(spark, tmp_path):
         a = sorted(tuple(r) for r in read(t).collect())
         b = sorted(tuple(r) for r in spark.read.parquet(out2.path(t)).select(*read(t).columns).collect())
         assert a == b, t
+
+    # the command line: a subset of sections, sorted output
+    out4 = tmp_path / "cli"
+    main(["--landing", str(landing), "--lookups", str(lk), "--out", str(out4),
+          "--as-of", "2001-03-01", "--sections", "national,msa", "--sort"])
+    msa_cli = spark.read.parquet(str(out4 / "msa_rankings")).collect()
+    assert len(msa_cli) == 30
+    keys = [(r["state_name"], r["supersector_name"], r["industry_name"], r["year"], r["Month"]) for r in msa_cli]
+    assert keys == sorted(keys)
+    assert spark.read.parquet(str(out4 / "national_rankings_t")).count() == 15
+    assert not (out4 / "state_rankings").exists()
