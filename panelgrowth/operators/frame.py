@@ -20,7 +20,13 @@ forward fill across buckets
     rows back, which can lie any distance back.  Each bucket's last
     non-missing value is summarised (one row per bucket), carried forward
     over the bucket list, and joined back as the fill for rows that find
-    nothing inside their own bucket.
+    nothing inside their own bucket.  The rolling means are checkpointed
+    once, since both the summary and the main path read them.
+
+Cost compared with series scope: one range shuffle and two checkpoint
+writes of the cells, then one shuffle per bucketed pass.  The bounded side
+tables (offsets: one row per range partition; carry: one row per bucket)
+are the only data ordered in a single task.
 """
 
 from __future__ import annotations

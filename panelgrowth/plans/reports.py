@@ -9,7 +9,8 @@ Each section is a lazy DataFrame:
 3. peer ranks on the unrounded fractions, then rounding.
 
 Shuffles per section (series scope): the cell aggregation, the series
-window, the peer window.  The over-cohort adds a small semi-join.
+window, the peer window.  The over-cohort adds a small semi-join.  ``run``
+builds the four state/metro sections in one pass instead (``fused.py``).
 """
 
 from __future__ import annotations
