@@ -113,11 +113,12 @@ def split_levels(metrics: DataFrame) -> dict[str, DataFrame]:
 def state_metro_sections(panel: DataFrame, k: int, over_threshold: float = 1000.0,
                          under_threshold: float = 1000.0, over_size: str = "value",
                          rank_strategy: str = "window",
-                         keep: Callable[[DataFrame, str], DataFrame] | None = None) -> dict[str, DataFrame]:
-    """The four state/metro tables from one pass.  ``keep`` materializes the
-    combined metrics once (recommended: every table is a filter of it)."""
+                         keep: Callable[..., DataFrame] | None = None) -> dict[str, DataFrame]:
+    """The four state/metro tables from one pass.  ``keep(df, label,
+    partition_by=...)`` materializes the combined metrics once, partitioned
+    by level, so each table reads only its own partition."""
     metrics = fused_metrics(panel, k, over_threshold, under_threshold, over_size,
                             rank_strategy=rank_strategy)
     if keep is not None:
-        metrics = keep(metrics, "state_metro_metrics")
+        metrics = keep(metrics, "state_metro_metrics", partition_by=["level"])
     return split_levels(metrics)

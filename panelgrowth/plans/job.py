@@ -99,10 +99,14 @@ def build_panels(spark: SparkSession, landing_dir: str, lookups: LookupSource,
             build_national_panel(spark, feeds["ce"], lookups))
 
 
-def materialize(df: DataFrame, label: str) -> DataFrame:
-    """Write ``df`` once under the shared checkpoint folder and read it back."""
+def materialize(df: DataFrame, label: str, partition_by: list[str] | None = None) -> DataFrame:
+    """Write ``df`` once under the shared checkpoint folder and read it back
+    (optionally partitioned, so later filters on those columns prune)."""
     path = scratch_path(df.sparkSession, label)
-    df.write.mode("overwrite").parquet(path)
+    writer = df.write.mode("overwrite")
+    if partition_by:
+        writer = writer.partitionBy(*partition_by)
+    writer.parquet(path)
     return df.sparkSession.read.parquet(path)
 
 

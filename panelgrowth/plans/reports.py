@@ -179,7 +179,7 @@ def run(sm_panel: DataFrame | None, ce_panel: DataFrame | None, as_of: _dt.date,
         sections: Iterable[str] = tuple(SECTIONS), scope: str = "series",
         over_threshold: float = 1000.0, under_threshold: float = 1000.0,
         over_size: str = "value", rank_strategy: str = "auto",
-        keep: Callable[[DataFrame, str], DataFrame] | None = None,
+        keep: Callable[..., DataFrame] | None = None,
         fused: bool = True) -> Sections:
     """M7: build the requested sections (lazy).  Sink tables:
     ``national_rankings_t``, ``state_rankings``, ``msa_rankings``,
