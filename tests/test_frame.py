@@ -91,3 +91,35 @@ def test_empty_input(spark):
     idx, n = frame_index(empty, KEYS)
     assert n == 0 and idx.count() == 0
     assert frame_growth_fractions(empty, KEYS, 2).count() == 0
+
+
+def _cells_from(spec):
+    rows = []
+    for s, (n, nulls_v, nulls_m) in enumerate(spec):
+        for t in range(n):
+            v = None if (t * 7 + s) % 11 < nulls_v else float((t * 13 + s * 5) % 17)
+            m = None if (t * 5 + s) % 7 < nulls_m else float((t * 3 + s) % 19 + 1)
+            rows.append((f"a{s:02d}", "ss", "ind", str(2000 + t // 12), f"{t % 12 + 1:02d}", v, m))
+    return rows
+
+
+try:
+    from hypothesis import given, settings, strategies as st
+
+    @settings(max_examples=6, deadline=None)
+    @given(spec=st.lists(st.tuples(st.integers(1, 40), st.integers(0, 3), st.integers(0, 6)),
+                         min_size=1, max_size=6),
+           k=st.integers(0, 11), buckets=st.integers(1, 9))
+    def test_frame_growth_property(spark, spec, k, buckets):
+        rows = _cells_from(spec)
+        want = _pandas_frame(rows, k)
+        got = frame_growth_fractions(spark.createDataFrame(rows, SCHEMA), KEYS, k, buckets=buckets)
+        got = got.toPandas().sort_values(KEYS).reset_index(drop=True)
+        assert len(got) == len(want)
+        for c in ["value_ytd_avg", "value_ann_avg", "_f_mom", "_f_ytd", "_f_ann", "_f_yoy"]:
+            for i in range(len(want)):
+                a = None if pd.isna(got[c][i]) else float(got[c][i])
+                b = None if pd.isna(want[c][i]) else float(want[c][i])
+                assert _close(a, b), (c, i, a, b)
+except ImportError:  # pragma: no cover
+    pass
