@@ -67,3 +67,57 @@ def test_series_do_not_leak(spark):
                                                                "industry_name"], 2))
     first_b = df.filter((F.col("state_name") == "b") & (F.col("Month") == "01")).first()
     assert first_b["pct_change_mom"] is None
+
+
+try:
+    import math
+
+    import pandas as pd
+    from hypothesis import given, settings, strategies as st
+
+    def _pandas_series(rows, k):
+        df = pd.DataFrame(rows, columns=["state_name", "supersector_name", "industry_name", "year",
+                                         "Month", "value", "value_mom"])
+        df = df.sort_values(["state_name", "supersector_name", "industry_name", "year", "Month"])
+        g = df.groupby(["state_name", "supersector_name", "industry_name"], sort=False)
+
+        def pct(col, p):
+            def one(x):
+                base = x.ffill().shift(p)
+                return (x / base.where(base != 0) - 1).where(x.notna())
+            return g[col].transform(one)
+
+        df["value_ytd_avg"] = g["value"].transform(lambda x: x.rolling(k).mean()) if k > 0 else float("nan")
+        df["value_ann_avg"] = g["value"].transform(lambda x: x.rolling(12).mean())
+        g = df.groupby(["state_name", "supersector_name", "industry_name"], sort=False)
+        for fam, (m, p) in {"mom": ("value_mom", 1), "ytd": ("value_ytd_avg", 12),
+                            "ann": ("value_ann_avg", 12), "yoy": ("value", 12)}.items():
+            df[f"_f_{fam}"] = pct(m, p)
+            df[f"_lag_{fam}"] = g[m].shift(p)
+        return df.reset_index(drop=True)
+
+    @settings(max_examples=6, deadline=None)
+    @given(spec=st.lists(st.tuples(st.integers(1, 30), st.integers(0, 4), st.integers(0, 6)),
+                         min_size=1, max_size=5),
+           k=st.integers(0, 11))
+    def test_series_growth_property(spark, spec, k):
+        rows = []
+        for s, (n, nv, nm) in enumerate(spec):
+            for t in range(n):
+                v = None if (t * 7 + s) % 11 < nv else float((t * 13 + s * 5) % 17)
+                m = None if (t * 5 + s) % 7 < nm else float((t * 3 + s) % 19 + 1)
+                rows.append((f"e{s}", "ss", "ind", str(2000 + t // 12), f"{t % 12 + 1:02d}", v, m))
+        want = _pandas_series(rows, k)
+        got = growth_fractions(_cells(spark, rows), ["state_name", "supersector_name", "industry_name"], k)
+        got = got.toPandas().sort_values(["state_name", "year", "Month"]).reset_index(drop=True)
+        want = want.sort_values(["state_name", "year", "Month"]).reset_index(drop=True)
+        for c in ["value_ytd_avg", "value_ann_avg", "_f_mom", "_f_ytd", "_f_ann", "_f_yoy",
+                  "_lag_mom", "_lag_yoy"]:
+            for i in range(len(want)):
+                a, b = got[c][i], want[c][i]
+                if pd.isna(a) or pd.isna(b):
+                    assert pd.isna(a) and pd.isna(b), (c, i, a, b)
+                else:
+                    assert math.isclose(float(a), float(b), rel_tol=1e-12, abs_tol=1e-12), (c, i, a, b)
+except ImportError:  # pragma: no cover
+    pass
