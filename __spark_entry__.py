@@ -93,6 +93,11 @@ def q_metro_under_report(spark, sf):
     return R.metro_under_report(_panel(spark, sf), AS_OF, threshold=UNDER_THRESHOLD)
 
 
+def q_state_report_nation(spark, sf):
+    panel = state_metro_panel(analog_facts(spark, sf, state_level="nation"), extra=("size",))
+    return R.state_report(panel, AS_OF)
+
+
 def q_combined_report(spark, sf):
     panel = _panel(spark, sf)
     return R.combined_report(R.state_report(panel, AS_OF), R.metro_report(panel, AS_OF))
@@ -427,6 +432,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "metro_over_report": q_metro_over_report,
     "metro_under_report": q_metro_under_report,
     "combined_report": q_combined_report,
+    "state_report_nation": q_state_report_nation,
     "paired_sums_left": q_paired_sums_left,
     "paired_sums_inner": q_paired_sums_inner,
     "lag_growth_12": q_lag_growth_12,
@@ -541,6 +547,8 @@ def _oracles() -> dict[str, str]:
                                           value_from="S"),
         "metro_under_report": O.report_sql("area_name", _under_where(), "left", K, "average"),
         "combined_report": combined,
+        "state_report_nation": O.report_sql("state_name", STATEWIDE_SQL, "left", K, "first",
+                                            base=O.BASE_NATION),
         "paired_sums_left": (f"{O.BASE},\n{O.pair_ctes('panel', NOT_STATEWIDE_SQL, 'area_name', 'left')}\n"
                              "SELECT * FROM cells"),
         "paired_sums_inner": f"{O.BASE},\n{O.pair_ctes('npanel', 'TRUE', None, 'inner')}\nSELECT * FROM cells",

@@ -73,6 +73,8 @@ NATIONAL_PANEL = """npanel AS (
 )"""
 
 BASE = f"WITH {RAW},\n{CLEANED},\n{PANEL},\n{NATIONAL_PANEL}"
+# the same panel with nation names as state names
+BASE_NATION = BASE.replace("r.r_name AS state_name", "n.n_name AS state_name")
 
 TAIL = ["supersector_name", "industry_name", "year", "Month"]
 
@@ -164,7 +166,7 @@ def rank_average_sql(f: str) -> str:
 
 def report_sql(entity: str, where: str, how: str, k: int, mom_ties: str,
                value_from: str = "U", source: str = "panel", frame: bool = False,
-               extra_ctes: str = "") -> str:
+               extra_ctes: str = "", base: str = BASE) -> str:
     keys = [entity, "supersector_name", "industry_name"]
     order = ", ".join(keys + ["year", "Month"]) if frame else "year, Month"
     rk_mom = rank_first_sql("f_mom", entity) if mom_ties == "first" else rank_average_sql("f_mom")
@@ -182,7 +184,7 @@ def report_sql(entity: str, where: str, how: str, k: int, mom_ties: str,
             f"{rank_first_sql('f_yoy', entity)} AS rank",
             f"{fin['job_growth']} AS job_growth"]
     sel = ",\n  ".join(cols)
-    return (f"{BASE},\n{extra_ctes}{pair_ctes(source, where, entity, how, value_from)},\n"
+    return (f"{base},\n{extra_ctes}{pair_ctes(source, where, entity, how, value_from)},\n"
             f"{metric_ctes(keys, k, order, frame)}\nSELECT\n  {sel}\nFROM m2")
 
 
