@@ -27,6 +27,7 @@ from typing import Callable
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from panelgrowth.operators.enrich import sized_broadcast
 from panelgrowth.operators.filters import ADJUSTED, STATEWIDE, TOTAL_NONFARM, UNADJUSTED, not_equal
 from panelgrowth.operators.growth import finish_growth, growth_fractions
 from panelgrowth.operators.pairing import over_cohort_names
@@ -78,7 +79,10 @@ def fused_cells(panel: DataFrame, over_threshold: float, under_threshold: float,
     qualified = (over_cohort_names(panel.filter(is_s), over_size, over_threshold)
                  .select(F.lit("over").alias("level"), F.col("area_name").alias("entity"),
                          F.lit(True).alias("_qualified")))
-    return (cells.join(qualified, ["level", "entity"], "left")
+    # broadcast behind a row-count check (one row per qualifying area): a
+    # shuffle join here would leave the cells hashed by (level, entity) and
+    # the series window would reuse that, putting a hot area in one task
+    return (cells.join(sized_broadcast(qualified), ["level", "entity"], "left")
             .filter(~over | F.col("_qualified").isNotNull())
             .select(*keys, "value", "value_mom"))
 
