@@ -76,10 +76,14 @@ def over_cohort(panel: DataFrame, entity: str = "area_name", size: str = "value"
     non-statewide ``industry`` row with ``size > threshold``.
 
     The qualifying names are derived and applied as a left-semi join, so the
-    name list never passes through the driver.
+    name list never passes through the driver.  The list (one row per area)
+    is broadcast behind a row-count check: a shuffle join would leave the
+    rows hashed by area, and the aggregation and windows after it would
+    reuse that, putting a hot area in one task.
     """
+    from panelgrowth.operators.enrich import sized_broadcast
     names = over_cohort_names(panel, size, threshold, industry, entity)
-    return panel.join(names, entity, "left_semi")
+    return panel.join(sized_broadcast(names), entity, "left_semi")
 
 
 def under_rows(panel: DataFrame, size: str = "value", threshold: float = 1000.0,
