@@ -58,3 +58,19 @@ def test_feed_path_broadcasts_lookups_and_shuffles_three_times(spark):
     assert "SortMergeJoin" not in plan
     assert plan.count("BroadcastHashJoin") == 5
     assert plan.count("Exchange hashpartitioning") == 3
+
+
+def test_cohort_lists_are_broadcast_and_series_exchange_is_full_key(spark, tmp_path):
+    from panelgrowth.plans.fused import fused_metrics
+    panel = _panel(spark, tmp_path)
+    over = R.metro_over_report(panel, dt.date(2001, 3, 1), threshold=5.0)
+    over.write.format("noop").mode("overwrite").save()
+    assert "BroadcastHashJoin" in _plan(over) and "LeftSemi" in _plan(over)
+    fused = fused_metrics(panel, 2, over_threshold=5.0, under_threshold=10.0)
+    fused.write.format("noop").mode("overwrite").save()
+    plan = _plan(fused)
+    assert "SortMergeJoin" not in plan
+    # the series window's exchange hashes the whole series key
+    assert any("Exchange hashpartitioning(level" in line and "entity" in line and "supersector_name" in line
+               and "industry_name" in line and "year" not in line.split("hashpartitioning(")[1].split(")")[0]
+               for line in plan.splitlines())
