@@ -115,3 +115,10 @@ def test_feed_header_padding_order_and_extras(spark, tmp_path):
     r = read_facts(spark, str(p)).first()
     assert (r["series_id"], r["year"], r["period"], r["value"], r["footnote_codes"]) == \
         ("S1", "2001", "M01", "5.0", None)
+
+
+def test_csv_lookup_source(spark, tmp_path):
+    (tmp_path / "sm_industry.csv").write_text("industry_code,industry_name\n5000000,Mining\n0,Total Nonfarm\n")
+    src = LookupSource("csv", str(tmp_path), options={"header": "true"})
+    got = sorted(tuple(r) for r in read_lookup(spark, src, "sm_industry").collect())
+    assert got == [("0", "Total Nonfarm"), ("5000000", "Mining")]
