@@ -34,7 +34,7 @@ def open_out(folder: str, name: str):
     """Output stream of a new file; the folder is made if it is missing."""
     system, path = file_system(local_form(folder))
     system.create_dir(path, recursive=True)
-    return system.open_output_stream(f"{path}/{name}")
+    return system.open_output_stream(f"{path}/{name}", compression=None)
 
 
 def open_in(folder: str, name: str):

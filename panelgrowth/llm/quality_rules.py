@@ -90,9 +90,16 @@ def _counted(text: Column, pattern: str) -> Column:
     return (F.length(text) - F.length(F.regexp_replace(text, f"(?:{pattern})+", ""))).cast("long")
 
 
-def features(docs: DataFrame) -> DataFrame:
-    """Per document: base measures and the two histograms."""
-    d = only(docs, doc_id=("doc_id", "long"), text=("text", "string"), lang=("lang", "string"))
+def features(docs: DataFrame, carry: bool = False) -> DataFrame:
+    """Per document: base measures and the two histograms; ``carry`` adds the
+    whole input row as the struct ``row``."""
+    if carry:
+        named = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"))
+        field = lambda c, kind: (F.col("row").getField(c) if c in docs.columns else F.lit(None)).cast(kind)
+        d = named.select("row", field("doc_id", "long").alias("doc_id"), field("text", "string").alias("text"),
+                         field("lang", "string").alias("lang"))
+    else:
+        d = only(docs, doc_id=("doc_id", "long"), text=("text", "string"), lang=("lang", "string"))
     d = d.withColumn("text", F.coalesce("text", F.lit("")))
     d = d.withColumn("_w", words_of(F.col("text"))).withColumn("n_words", F.size("_w").cast("long"))
     lines = F.filter(F.split("text", "\n"), lambda x: F.length(F.regexp_replace(x, f"^{GAP}", "")) > 0)
@@ -112,6 +119,7 @@ def features(docs: DataFrame) -> DataFrame:
          .withColumn("_common", let(common, lambda c: F.transform(
              lists[F.col("lang")], lambda w: (F.size(c) - F.size(F.array_remove(c, w))).cast("long")))))
     return d.select(
+        *["row"] * carry,
         "doc_id", "lang", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
         F.concat("_counts", F.array(
             F.length("text") - F.col("word_chars"),
@@ -140,10 +148,8 @@ def js_distance(p: Column, q: Column) -> Column:
                lambda t: F.when((t["p"] > 0) & (t["q"] > 0), of(t["p"], t["q"])))
 
 
-def quality_rules(docs: DataFrame, max_char: float = MAX_CHAR_DISTANCE,
-                  max_word: float = MAX_WORD_DISTANCE) -> DataFrame:
-    """One row per input row: base measures, the two distances, ``base_failed``, ``kept``."""
-    f = written(features(docs), "quality-features").withColumn(
+def _judged(docs: DataFrame, max_char: float, max_word: float, carry: bool) -> DataFrame:
+    f = written(features(docs, carry), "quality-features").withColumn(
         "base_failed", (F.col("n_words") < MIN_WORDS)
         | (100 * F.col("n_repeat_words") > MAX_REPEAT_PCT * F.col("n_words")))
     n_common = max(map(len, COMMON_WORDS.values())) + 1
@@ -160,6 +166,18 @@ def quality_rules(docs: DataFrame, max_char: float = MAX_CHAR_DISTANCE,
     diverges = (((F.col("n_words") >= MIN_CHAR_WORDS) & F.coalesce(F.col("js_chars") > max_char, F.lit(False)))
                 | ((F.col("n_words") >= MIN_WORD_WORDS)
                    & F.coalesce(F.col("js_words") > max_word, F.lit(False))))
-    return j.withColumn("kept", ~F.col("base_failed") & ~diverges).select(
+    return j.withColumn("kept", ~F.col("base_failed") & ~diverges)
+
+
+def quality_rules(docs: DataFrame, max_char: float = MAX_CHAR_DISTANCE,
+                  max_word: float = MAX_WORD_DISTANCE) -> DataFrame:
+    """One row per input row: base measures, the two distances, ``base_failed``, ``kept``."""
+    return _judged(docs, max_char, max_word, False).select(
         "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
         "js_chars", "js_words", "base_failed", "kept")
+
+
+def passing(docs: DataFrame, max_char: float = MAX_CHAR_DISTANCE,
+            max_word: float = MAX_WORD_DISTANCE) -> DataFrame:
+    """The input rows that the rules keep, with the input's columns."""
+    return _judged(docs, max_char, max_word, True).where("kept").select("row.*")
