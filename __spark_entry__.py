@@ -680,9 +680,29 @@ def entry(spark: SparkSession) -> DataFrame:
     return q_state_report(spark, SMOKE_DIR)
 
 
+# The training-data operators live in one subpackage and the pipeline at the
+# top of the repository; without them the other queries work as they are.
+try:
+    import corpus_pipeline as _pipeline
+    from panelgrowth.llm import queries as _llm
+except ModuleNotFoundError as missing:
+    if missing.name not in ("corpus_pipeline", "panelgrowth.llm"):
+        raise
+    _pipeline = _llm = None
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return dict(QUERIES)
+    found = dict(QUERIES)
+    if _llm:
+        found |= _llm.QUERIES
+        found["pipeline"] = _pipeline.run
+    return found
 
 
 def oracle_sql() -> dict[str, str]:
-    return _oracles()
+    found = _oracles()
+    if _llm:
+        found |= _llm.ORACLES
+        if _pipeline.ORACLE_SQL:
+            found["pipeline"] = _pipeline.ORACLE_SQL
+    return found
