@@ -18,8 +18,9 @@ array only.
 
 Equal texts are handled once.  The copies of a text inside a task, and the
 equal surroundings of a gram inside a text (periodic text), are one item with
-several positions.  A gram beyond ``HOT`` items is not gathered: its strings are
-hashed and counted by an aggregation that reduces them map-side.
+several positions.  A gram beyond ``HOT`` items is not gathered: equal
+surroundings are reduced map-side to one, and the strings of those are hashed
+and counted by an aggregation.
 
 Defined results: a NULL text is empty; texts below ``MIN_BYTES`` bytes keep all
 bytes.  Rows that repeat a text (with or without the id) repeat each other's
@@ -44,7 +45,7 @@ from panelgrowth.llm.common import only, written
 MIN_BYTES = 400
 GRAM = 80
 #: Items of a gram that one task takes; beyond it strings are counted instead.
-HOT = 50_000
+HOT = 2_000
 #: Bits of the Bloom filter of repeated grams (16 MB), its pieces and probes.
 BLOOM_BITS = 1 << 27
 PIECE_BYTES = 1 << 18
@@ -369,6 +370,14 @@ def spans_by_count(found: DataFrame, size: int, gram: int) -> DataFrame:
     occurrence is hashed and counted, and no occurrence meets the others."""
     extra = size - gram
 
+    def spread(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            out = [(t, p - len(before), p + gram + len(after))
+                   for t, positions, before, after in zip(*(c.to_pylist() for c in batch.columns))
+                   for p in np.frombuffer(positions, "<i4").tolist()]
+            if out:
+                yield _span_batch(out)
+
     def strings(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             out: list[tuple] = []
@@ -385,10 +394,22 @@ def spans_by_count(found: DataFrame, size: int, gram: int) -> DataFrame:
             if out:
                 yield _string_batch(out)
 
-    rows = written(found.mapInArrow(strings, "name binary, t binary, start long"), "repeats-strings")
+    found = found.withColumn("same", F.xxhash64("gram", "before", "after"))
+    one = F.octet_length("positions") == 4
+    equal = found.groupBy("same").agg(
+        F.count(F.lit(1)).alias("n"), F.max((~one).cast("int")).alias("several"), F.min(F.xxhash64("t")).alias("first"))
+    named = written(found.join(equal, "same"), "repeats-equal")
+    # surroundings that stand at several places are repeats as a whole
+    whole = named.where("n > 1 OR several = 1").select("t", "positions", "before", "after").mapInArrow(
+        spread, "t binary, start long, end long")
+    # of all others, and one of each of these, the strings are counted
+    rows = written(named.where(F.xxhash64("t") == F.col("first")).select(
+        "gram", "t", "positions", "before", "after").mapInArrow(strings, "name binary, t binary, start long"),
+        "repeats-strings")
     place = F.xxhash64("t", "start")
     twice = rows.groupBy("name").agg(F.min(place).alias("a"), F.max(place).alias("b")).where("a < b").select("name")
-    return rows.join(twice, "name").select("t", "start", (F.col("start") + size).alias("end")).distinct()
+    counted = rows.join(twice, "name").select("t", "start", (F.col("start") + size).alias("end")).distinct()
+    return whole.unionByName(counted)
 
 
 def _string_batch(rows: list[tuple]) -> pa.RecordBatch:
