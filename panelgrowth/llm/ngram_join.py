@@ -4,28 +4,30 @@ A document's set holds its distinct word n-grams (hashes of 64 bits).  All
 sets are put in one global order, rarest n-gram first; two sets of Jaccard
 similarity t or more then share an n-gram within their prefixes, the first
 n - ceil(t n) + 1 of n.  Postings of the prefixes are joined on the n-gram;
-pairs are pruned by length, by position (what can still follow the shared
-n-gram) and by a suffix test (sketches of what follows the prefixes, a lower
-bound of the difference), and each pair is verified once on the whole sets.
+pairs are pruned by length, by position (what follows the first shared n-gram
+must hold the whole intersection) and by a suffix test (bitmaps of the sets,
+whose difference bounds the sets' difference from below), and each pair is
+verified once on the whole sets.
 
 The global order comes from counts over all documents of hashed n-grams
 (``TABLE`` counters, a fixed size to broadcast, kept as their logarithm), then
 the hash.  Any order gives the same result; the counts keep frequent n-grams
 out of the prefixes.
 
-Equal sets are one representative with members, so copies are joined once.
-The candidate pairs of a posting list are not all written out: first every
-document is verified against the first of its lists (stars); lists whose
-documents are then of one component are done, and only pairs of different
-components are joined in the second pass.  Components are what the contract
-asks for, and a pair inside a component cannot change them.
+Equal sets are one node, named by a 64-bit hash of the set, so copies are
+joined once; a task writes a set's rows once, however many copies it meets.
+The pairs of a posting list are not all written out: first every set is
+verified against the least set of its lists (stars); lists whose sets are then
+of one component are done, and only pairs of different components are joined
+in the second pass.  Components are what the contract asks for, and a pair
+inside a component cannot change them.
 
 Defined results: a NULL or wordless text has an empty set and links with
 nothing.  A text of fewer words than n has its whole word sequence as one
-n-gram.  Rows that repeat an id are one document if their sets are equal, else
-each keeps its own size and all share a component through their id.  A NULL id
-keeps its size, with NULL as component.  An empty table gives an empty result.
-Extra columns are ignored.
+n-gram.  Rows that repeat an id are one document: each keeps its own size, and
+their sets share a component.  A NULL id keeps its size, with the least id of
+its component (NULL where there is none).  An empty table gives an empty
+result.  Extra columns are ignored.
 """
 
 from __future__ import annotations
@@ -38,6 +40,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from panelgrowth.llm import wordhash
+from panelgrowth.llm.bloom import bloom_filter, bloom_hits
 from panelgrowth.llm.common import components, only, written
 
 WORDS = 4
@@ -46,15 +49,37 @@ PERCENT = 85
 #: Counters of the frequency table and of one of its pieces.
 TABLE = 1 << 22
 PIECE = 1 << 16
-#: Cells of the suffix sketch.
-CELLS = 32
+#: 64-bit words of a set's bitmap.
+WORDS_OF_MAP = 4
+#: Bytes of text handled at once.
+CHUNK = 1 << 20
 
 
-def shingle_sets(column: pa.Array, words: int) -> tuple[np.ndarray, np.ndarray]:
-    """(sorted distinct n-gram hashes, first of each text) of a text column."""
+def shingle_sets(column: pa.Array, words: int) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
+    """(first row, sorted distinct n-gram hashes, first of each text) of runs
+    of whole texts."""
     data, offsets = wordhash.text_bytes(column)
-    h, first = wordhash.words(data, offsets, lower=True)
-    return wordhash.distinct(*wordhash.shingles(h, first, words))
+    k, n = 0, len(offsets) - 1
+    while k < n:
+        e = max(k + 1, int(np.searchsorted(offsets, offsets[k] + CHUNK, "right")) - 1)
+        h, first = wordhash.words(data[offsets[k]:offsets[e]], offsets[k:e + 1] - offsets[k], lower=True)
+        yield k, *wordhash.distinct(*wordhash.shingles(h, first, words))
+        k = e
+
+
+def set_names(v: np.ndarray, begin: np.ndarray) -> np.ndarray:
+    """A 64-bit name per set, from the sum of its mixed members and its size."""
+    sums = np.concatenate(([np.uint64(0)], np.cumsum(wordhash.mix64(v + np.uint64(11)))))
+    return wordhash.mix64((sums[begin[1:]] - sums[begin[:-1]]) ^ np.diff(begin).astype(np.uint64)).view(np.int64)
+
+
+def bitmaps(v: np.ndarray, begin: np.ndarray) -> np.ndarray:
+    """(sets, WORDS_OF_MAP) bitmaps: each member sets the bit its hash names."""
+    n = len(begin) - 1
+    bits = np.zeros(n * WORDS_OF_MAP * 64, bool)
+    text = np.repeat(np.arange(n), np.diff(begin))
+    bits[text * (WORDS_OF_MAP * 64) + (v % np.uint64(WORDS_OF_MAP * 64)).astype(np.int64)] = True
+    return np.packbits(bits).view(np.int64).reshape(n, WORDS_OF_MAP)
 
 
 def _binary(values: np.ndarray, begin: np.ndarray) -> pa.Array:
@@ -64,39 +89,44 @@ def _binary(values: np.ndarray, begin: np.ndarray) -> pa.Array:
         None, pa.py_buffer((begin * values.itemsize).astype(np.int64)), pa.py_buffer(values)]).cast(pa.binary())
 
 
-def sizes(docs: DataFrame, words: int) -> DataFrame:
-    """doc_id, n_shingles and two hashes of the set (NULL for an empty one)."""
-
-    def measure(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            v, begin = shingle_sets(batch.column(1), words)
-            n = np.diff(begin)
-            sums = [np.concatenate(([np.uint64(0)], np.cumsum(wordhash.mix64(v + np.uint64(salt))))) for salt in (11, 23)]
-            a, b = ((s[begin[1:]] - s[begin[:-1]]).view(np.int64) for s in sums)
-            none = n == 0
-            yield pa.record_batch([batch.column(0), pa.array(n), pa.array(a, mask=none), pa.array(b, mask=none)],
-                                  names=["doc_id", "n_shingles", "h1", "h2"])
-
-    return docs.mapInArrow(measure, "doc_id long, n_shingles long, h1 long, h2 long")
+MEASURED = "doc_id long, n_shingles long, sid long, bits array<long>, piece int, counts binary"
+_MEASURED = pa.schema([("doc_id", pa.int64()), ("n_shingles", pa.int64()), ("sid", pa.int64()),
+                       ("bits", pa.list_(pa.int64())), ("piece", pa.int32()), ("counts", pa.binary())])
 
 
-def frequency_table(docs: DataFrame, words: int, table: int = TABLE) -> np.ndarray:
-    """Rounded binary logarithm of the document count of each hashed n-gram
-    counter, over all documents: ``table`` bytes, whatever the corpus."""
+def measure(docs: DataFrame, words: int, table: int) -> DataFrame:
+    """One pass over the texts: per document its size, set name (NULL for an
+    empty set) and bitmap; and per task (``piece`` not NULL) the document counts
+    of the hashed n-gram counters, compressed, in pieces."""
     bits = table.bit_length() - 1
+    piece = min(PIECE, table)
 
-    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        import zstandard
         total = np.zeros(table, np.uint32)
         for batch in batches:
-            v, _ = shingle_sets(batch.column(0), words)
-            total += np.bincount((v >> np.uint64(64 - bits)).astype(np.int64), minlength=table).astype(np.uint32)
+            for k, v, begin in shingle_sets(batch.column(1), words):
+                n = np.diff(begin)
+                np.add.at(total, (v >> np.uint64(64 - bits)).astype(np.int64), 1)
+                none = n == 0
+                maps = bitmaps(v, begin)
+                yield pa.record_batch([
+                    batch.column(0).slice(k, len(n)), pa.array(n), pa.array(set_names(v, begin), mask=none),
+                    pa.ListArray.from_arrays(pa.array(np.arange(len(n) + 1) * WORDS_OF_MAP, pa.int32()), pa.array(maps.ravel())),
+                    pa.nulls(len(n), pa.int32()), pa.nulls(len(n), pa.binary())], schema=_MEASURED)
         if total.any():
-            piece = min(PIECE, table)
-            import zstandard
             z = zstandard.ZstdCompressor(level=1)
-            for k in range(0, table, piece):
-                yield pa.record_batch([pa.array([k // piece], pa.int32()),
-                                       pa.array([z.compress(total[k:k + piece].tobytes())])], names=["piece", "counts"])
+            packed = [z.compress(total[k:k + piece].tobytes()) for k in range(0, table, piece)]
+            m = len(packed)
+            yield pa.record_batch([pa.nulls(m, t) for t in _MEASURED.types[:4]]
+                                  + [pa.array(range(m), pa.int32()), pa.array(packed, pa.binary())], schema=_MEASURED)
+
+    return docs.mapInArrow(run, MEASURED)
+
+
+def frequency_levels(measured: DataFrame, table: int) -> np.ndarray:
+    """Rounded binary logarithm (times four) of each counter over all
+    documents: ``table`` bytes, whatever the corpus."""
 
     def add(key, rows):
         import zstandard
@@ -106,7 +136,7 @@ def frequency_table(docs: DataFrame, words: int, table: int = TABLE) -> np.ndarr
         level = np.rint(np.log2(np.maximum(total, 1)) * 4).astype(np.uint8)
         return pa.table({"piece": pa.array([key[0].as_py()], pa.int32()), "level": pa.array([level.tobytes()])})
 
-    got = docs.select("text").mapInArrow(count, "piece int, counts binary").groupBy("piece").applyInArrow(
+    got = measured.where("piece IS NOT NULL").select("piece", "counts").groupBy("piece").applyInArrow(
         add, "piece int, level binary")
     out = np.zeros(table, np.uint8)
     piece = min(PIECE, table)
@@ -120,133 +150,157 @@ def prefix_length(n: np.ndarray, percent: int) -> np.ndarray:
     return n - -(-n * percent // 100) + 1
 
 
-def _ordered(v: np.ndarray, begin: np.ndarray, level: np.ndarray, bits: int) -> np.ndarray:
-    """``v`` with each text's n-grams in the global order: count, then hash."""
-    text = np.repeat(np.arange(len(begin) - 1), np.diff(begin))
-    return v[np.lexsort((v, level[(v >> np.uint64(64 - bits)).astype(np.int64)], text))]
+def ordered(v: np.ndarray, begin: np.ndarray, level: np.ndarray) -> np.ndarray:
+    """Each set's members in the global order, as ordered names: the counter's
+    level, then 56 bits of the hash."""
+    bits = len(level).bit_length() - 1
+    out = (level[(v >> np.uint64(64 - bits)).astype(np.int64)].astype(np.uint64) << np.uint64(56)) | (v >> np.uint64(8))
+    wordhash.sort_slices(out, begin)
+    return out
 
 
 def postings(docs: DataFrame, words: int, percent: int, level: np.ndarray) -> DataFrame:
-    """gram, doc_id, n, pos and sketch of the suffix, for each prefix n-gram."""
-    bits = len(level).bit_length() - 1
+    """gram, sid, n_pos (size and position) of each prefix member of each set."""
     shared = docs.sparkSession.sparkContext.broadcast(level)
 
     def post(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        seen: set[int] = set()  # sets this task has met
         for batch in batches:
-            v, begin = shingle_sets(batch.column(1), words)
-            v = _ordered(v, begin, shared.value, bits)
-            n = np.diff(begin)
-            p = np.where(n > 0, prefix_length(n, percent), 0)
-            text = np.repeat(np.arange(len(n)), p)
-            pos = np.arange(len(text)) - np.repeat(np.cumsum(p) - p, p)
-            yield pa.record_batch([
-                pa.array(v[begin[:-1][text] + pos].view(np.int64)),
-                batch.column(0).take(pa.array(text)),
-                pa.array((n[text] << 24 | np.minimum(pos, (1 << 24) - 1)).astype(np.int64))],
-                names=["gram", "doc_id", "n_pos"])
-
-    return docs.mapInArrow(post, "gram long, doc_id long, n_pos long")
+            for _, v, begin in shingle_sets(batch.column(1), words):
+                sid = set_names(v, begin)
+                g = ordered(v, begin, shared.value)
+                n = np.diff(begin)
+                fresh = np.zeros(len(n), bool)
+                for i, x in enumerate(sid.tolist()):
+                    if n[i] and x not in seen:
+                        seen.add(x)
+                        fresh[i] = True
+                p = np.where(fresh, prefix_length(n, percent), 0)
+                text = np.repeat(np.arange(len(n)), p)
+                pos = np.arange(len(text)) - np.repeat(np.cumsum(p) - p, p)
+                yield pa.record_batch([
+                    pa.array(g[begin[:-1][text] + pos].view(np.int64)), pa.array(sid[text]),
+                    pa.array((n[text] << 24 | np.minimum(pos, (1 << 24) - 1)).astype(np.int64))],
+                    names=["gram", "sid", "n_pos"])
+
+    return docs.mapInArrow(post, "gram long, sid long, n_pos long")
 
 
 def could_link(a: Column, b: Column, percent: int) -> Column:
-    """Length and position filters on two ``n_pos`` values of a shared n-gram:
-    the sizes are near enough, and what follows it can still make up the
-    intersection that the similarity asks for, ceil(t (na + nb) / (1 + t))."""
+    """Length and position filters on the ``n_pos`` of a shared member: the
+    sizes are near enough, and from it on either set can still hold the
+    intersection that the similarity asks for, t (na + nb) / (1 + t).  Of a pair
+    that links, at least the first shared member passes."""
     na, nb = F.shiftright(a, 24), F.shiftright(b, 24)
     pa_, pb = a.bitwiseAND((1 << 24) - 1), b.bitwiseAND((1 << 24) - 1)
-    least, most = F.least(na, nb), F.greatest(na, nb)
-    # before the shared n-gram at most the shorter of the two beginnings is shared
-    shared = F.least(pa_, pb) + 1 + F.least(na - pa_, nb - pb) - 1
-    return (100 * least >= percent * most) & ((100 + percent) * shared >= percent * (na + nb))
+    return ((100 * F.least(na, nb) >= percent * F.greatest(na, nb))
+            & ((100 + percent) * F.least(na - pa_, nb - pb) >= percent * (na + nb)))
+
+
+def near_maps(na: Column, ma: Column, nb: Column, mb: Column, percent: int) -> Column:
+    """Suffix filter: bits that differ are members that differ, of which a
+    linked pair has at most (1 - t) / (1 + t) (na + nb)."""
+    apart = F.lit(0)
+    for i in range(WORDS_OF_MAP):
+        apart = apart + F.bit_count(ma[i].bitwiseXOR(mb[i]))
+    return (100 + percent) * apart <= (100 - percent) * (na + nb)
 
 
-def verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """The pairs (a, b) whose whole sets have the similarity.
+def verified(pairs: DataFrame, docs: DataFrame, words: int, percent: int) -> DataFrame:
+    """The pairs (a, b) of set names whose whole sets have the similarity.
 
-    ``sets`` has doc_id, sketch and grams.  The suffix filter comes first: the
-    sketches (counts of hash cells) bound the intersection from above.
+    The sets are taken from the texts again, for the named sets only: a Bloom
+    filter of a fixed size finds them, and a join drops its few errors.
     """
-    left = sets.select(F.col("doc_id").alias("a"), F.col("sketch").alias("sa"), F.col("grams").alias("ga"))
-    right = sets.select(F.col("doc_id").alias("b"), F.col("sketch").alias("sb"), F.col("grams").alias("gb"))
-    j = pairs.join(left, "a").join(right, "b").select("a", "b", "sa", "sb", "ga", "gb")
+    wanted = written(pairs.select(F.col("a").alias("sid")).unionByName(pairs.select(F.col("b").alias("sid"))).distinct(),
+                     "ngram-wanted")
+    bloom = docs.sparkSession.sparkContext.broadcast(bloom_filter(wanted))
+
+    def build(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        seen: set[int] = set()
+        for batch in batches:
+            for _, v, begin in shingle_sets(batch.column(1), words):
+                sid = set_names(v, begin)
+                on = bloom_hits(bloom.value, sid.view(np.uint64)) & (np.diff(begin) > 0)
+                for i in np.flatnonzero(on).tolist():
+                    if int(sid[i]) in seen:
+                        on[i] = False
+                    seen.add(int(sid[i]))
+                rows = np.flatnonzero(on)
+                if len(rows):
+                    yield pa.record_batch([pa.array(sid[rows]), _binary(v, begin).take(pa.array(rows))], names=["sid", "grams"])
+
+    sets = docs.mapInArrow(build, "sid long, grams binary").groupBy("sid").agg(F.min("grams").alias("grams"))
+    sets = written(sets, "ngram-sets")
+    left = sets.select(F.col("sid").alias("a"), F.col("grams").alias("ga"))
+    right = sets.select(F.col("sid").alias("b"), F.col("grams").alias("gb"))
+    j = pairs.join(left, "a").join(right, "b").select("a", "b", "ga", "gb")
 
     def check(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             keep = []
-            sa, sb, ga, gb = (batch.column(c) for c in ("sa", "sb", "ga", "gb"))
+            ga, gb = batch.column(2), batch.column(3)
             for i in range(batch.num_rows):
-                x, y = (np.frombuffer(c[i].as_buffer(), np.uint64) for c in (ga, gb))
-                u, v = (np.frombuffer(c[i].as_buffer(), np.uint16) for c in (sa, sb))
-                if (100 + percent) * int(np.minimum(u, v).sum(dtype=np.int64)) < percent * (len(x) + len(y)):
-                    keep.append(False)  # suffix filter
-                    continue
-                z = np.concatenate((x, y))
-                z.sort(kind="stable")
+                z = np.concatenate([np.frombuffer(c[i].as_buffer(), np.uint64) for c in (ga, gb)])
+                z.sort()
                 same = int((z[1:] == z[:-1]).sum())
                 keep.append(100 * same >= percent * (len(z) - same))
             yield batch.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
 
-    return j.mapInArrow(check, "a long, b long")
-
-
-def set_table(docs: DataFrame, words: int) -> DataFrame:
-    """doc_id, sketch and grams (sorted uint64) of the given documents."""
-
-    def build(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            v, begin = shingle_sets(batch.column(1), words)
-            text = np.repeat(np.arange(len(begin) - 1), np.diff(begin))
-            cell = text * CELLS + (v & np.uint64(CELLS - 1)).astype(np.int64)
-            # a cell beyond 65535 says 65535 less than it holds nowhere: it is capped for both sides alike
-            sketch = np.bincount(cell, minlength=CELLS * (len(begin) - 1))
-            if sketch.size and sketch.max() > 65535:
-                sketch = np.where(sketch > 65535, 65535, sketch)
-            yield pa.record_batch([batch.column(0), _binary(sketch.astype(np.uint16), np.arange(len(begin)) * CELLS),
-                                   _binary(v, begin)], names=["doc_id", "sketch", "grams"])
-
-    return docs.mapInArrow(build, "doc_id long, sketch binary, grams binary")
+    return written(j.mapInArrow(check, "a long, b long"), "ngram-links")
 
 
 def similar_components(docs: DataFrame, words: int = WORDS, percent: int = PERCENT,
                        table: int = TABLE) -> DataFrame:
     """doc_id, n_shingles, component_id: one row per input row."""
     d = only(docs, doc_id=("doc_id", "long"), text=("text", "string"))
-    measured = written(sizes(d, words), "ngram-sizes")
-    # equal sets: the least id stands for all of them
-    same = measured.where("h1 IS NOT NULL AND doc_id IS NOT NULL")
-    reps = written(same.groupBy("h1", "h2").agg(F.min("doc_id").alias("rep")), "ngram-reps")
-    one = d.join(reps.select(F.col("rep").alias("doc_id")).distinct(), "doc_id", "left_semi")
-    level = frequency_table(one, words, table)
-    posts = written(postings(one, words, percent, level), "ngram-postings")
-    lists = posts.groupBy("gram").agg(F.count(F.lit(1)).alias("n"), F.min("doc_id").alias("lead")).where("n > 1")
-    lead = F.col("lead_pos")
-    # stars: every document of a list with the list's first
+    everything = written(measure(d, words, table), "ngram-measured")
+    measured = everything.where("piece IS NULL").select("doc_id", "n_shingles", "sid", "bits")
+    nodes = written(measured.where("sid IS NOT NULL").groupBy("sid").agg(
+        F.min("doc_id").alias("rep"), F.max("n_shingles").alias("n"),
+        *[F.max(F.col("bits")[i]).alias(f"b{i}") for i in range(WORDS_OF_MAP)]), "ngram-nodes")
+    maps = nodes.select("sid", "n", F.array(*[f"b{i}" for i in range(WORDS_OF_MAP)]).alias("bits"))
+    posts = written(postings(d, words, percent, frequency_levels(everything, table)), "ngram-postings")
+    lists = posts.groupBy("gram").agg(F.min("sid").alias("lead"), F.max("sid").alias("last")).where("lead < last")
     live = written(posts.join(lists.select("gram", "lead"), "gram"), "ngram-live")
-    heads = live.where("doc_id = lead").groupBy("gram").agg(F.min("n_pos").alias("lead_pos"))
-    stars = written(live.join(heads, "gram").where("doc_id <> lead").where(could_link(F.col("n_pos"), lead, percent))
-                    .select(F.col("lead").alias("a"), F.col("doc_id").alias("b")).distinct(), "ngram-stars")
-    docs_in = live.select("doc_id").distinct()
-    sets = written(set_table(one.join(docs_in, "doc_id", "left_semi").dropDuplicates(["doc_id"]), words), "ngram-sets")
-    links = written(verified(stars, sets, percent), "ngram-links")
+    # stars: every set of a list with the list's least
+    heads = live.where("sid = lead").groupBy("gram").agg(F.min("n_pos").alias("lead_pos"))
+    stars = (live.join(heads, "gram").where("sid <> lead")
+             .where(could_link(F.col("n_pos"), F.col("lead_pos"), percent))
+             .select(F.col("lead").alias("a"), F.col("sid").alias("b")).distinct())
+    side = lambda c: maps.select(F.col("sid").alias(c), F.col("n").alias("n" + c), F.col("bits").alias("m" + c))
+    stars = written(stars.join(side("a"), "a").join(side("b"), "b").where(
+        near_maps(F.col("na"), F.col("ma"), F.col("nb"), F.col("mb"), percent)).select("a", "b"), "ngram-stars")
+    links = verified(stars, d, words, percent)
     comp = written(components(links, "a", "b"), "ngram-components-1")
-    # second pass: lists with documents of different components
-    named = (live.select("gram", "doc_id", "n_pos").join(comp.withColumnRenamed("node", "doc_id"), "doc_id", "left")
-             .withColumn("component", F.coalesce("component", "doc_id")))
+    # second pass: lists with sets of different components
+    named = (live.select("gram", "sid", "n_pos").join(comp.withColumnRenamed("node", "sid"), "sid", "left")
+             .withColumn("component", F.coalesce("component", "sid")))
     open_ = named.groupBy("gram").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).where("lo < hi")
-    rest = written(named.join(open_.select("gram"), "gram", "left_semi"), "ngram-rest")
-    x = rest.select("gram", *[F.col(c).alias("x_" + c) for c in ("doc_id", "n_pos", "component")])
-    y = rest.select("gram", *[F.col(c).alias("y_" + c) for c in ("doc_id", "n_pos", "component")])
-    pairs = (x.join(y, "gram").where((F.col("x_doc_id") < F.col("y_doc_id")) & (F.col("x_component") != F.col("y_component")))
-             .where(could_link(F.col("x_n_pos"), F.col("y_n_pos"), percent))
-             .select(F.col("x_doc_id").alias("a"), F.col("y_doc_id").alias("b")).distinct()
-             .join(stars, ["a", "b"], "left_anti"))
-    more = written(verified(pairs, sets, percent), "ngram-more")
-    # representatives with their members' ids: rows that repeat an id tie sets together
-    members = same.join(reps, ["h1", "h2"]).where("doc_id <> rep").select(
-        F.col("rep").alias("a"), F.col("doc_id").alias("b")).distinct()
-    final = written(components(links.unionByName(more).unionByName(members), "a", "b"), "ngram-components")
-    return measured.join(final, measured["doc_id"] == final["node"], "left").select(
-        measured["doc_id"], "n_shingles", F.coalesce("component", measured["doc_id"]).alias("component_id"))
+    rest = written(named.join(open_.select("gram"), "gram", "left_semi").join(maps, "sid")
+                   .dropDuplicates(["gram", "sid"]), "ngram-rest")
+    fields = ("sid", "n_pos", "component", "n", "bits")
+    x = rest.select("gram", *[F.col(c).alias("x_" + c) for c in fields])
+    y = rest.select("gram", *[F.col(c).alias("y_" + c) for c in fields])
+    pairs = x.join(y, (x["gram"] == y["gram"]) & (F.col("x_sid") < F.col("y_sid"))
+                   & (F.col("x_component") != F.col("y_component"))
+                   & could_link(F.col("x_n_pos"), F.col("y_n_pos"), percent)
+                   & near_maps(F.col("x_n"), F.col("x_bits"), F.col("y_n"), F.col("y_bits"), percent))
+    pairs = written(pairs.select(F.col("x_sid").alias("a"), F.col("y_sid").alias("b")).distinct()
+                    .join(stars, ["a", "b"], "left_anti"), "ngram-pairs")
+    if not pairs.isEmpty():
+        links = links.unionByName(verified(pairs, d, words, percent))
+    # rows that repeat an id tie their sets together
+    ids = measured.where("sid IS NOT NULL AND doc_id IS NOT NULL").groupBy("doc_id").agg(
+        F.min("sid").alias("a"), F.max("sid").alias("z")).where("a < z")
+    ties = measured.join(ids.select("doc_id", "a"), "doc_id").where("sid IS NOT NULL").select("a", F.col("sid").alias("b"))
+    final = written(components(links.unionByName(ties), "a", "b"), "ngram-components")
+    named = nodes.select("sid", "rep").join(final.withColumnRenamed("node", "sid"), "sid", "left").withColumn(
+        "component", F.coalesce("component", "sid"))
+    least = named.groupBy("component").agg(F.min("rep").alias("component_id"))
+    least = written(named.select(F.col("sid").alias("_sid"), "component").join(least, "component").drop("component"), "ngram-least")
+    return measured.join(least, F.col("sid") == F.col("_sid"), "left").select(
+        "doc_id", "n_shingles", F.coalesce("component_id", F.when(F.col("sid").isNull(), F.col("doc_id"))).alias("component_id"))
 
 
 def one_of_each(docs: DataFrame, words: int = 5, percent: int = 80, table: int = TABLE) -> DataFrame:

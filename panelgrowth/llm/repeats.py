@@ -39,17 +39,13 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from panelgrowth.llm import wordhash
+from panelgrowth.llm import bloom, wordhash
 from panelgrowth.llm.common import only, written
 
 MIN_BYTES = 400
 GRAM = 80
 #: Items of a gram that one task takes; beyond it strings are counted instead.
 HOT = 2_000
-#: Bits of the Bloom filter of repeated grams (16 MB), its pieces and probes.
-BLOOM_BITS = 1 << 27
-PIECE_BYTES = 1 << 18
-PROBES = 4
 #: Bytes of text handled at once, and starting positions of a block.
 CHUNK = 1 << 22
 BLOCK = 1 << 19
@@ -134,62 +130,20 @@ def repeated_grams(texts: DataFrame, size: int, gram: int) -> DataFrame:
             .where("a < b").select("gram"))
 
 
-def _slots(keys: np.ndarray, bits: int) -> np.ndarray:
-    shift = np.uint64(64 - bits.bit_length() + 1)
-    return np.stack([wordhash.mix64(keys + np.uint64(0x1234567 * (i + 1))) >> shift for i in range(PROBES)]).astype(np.int64)
-
-
-def bloom_filter(grams: DataFrame, bits: int = BLOOM_BITS) -> np.ndarray:
-    """Bloom filter (packed bits) of the grams: a fixed size, whatever their number."""
-    piece = min(PIECE_BYTES, bits // 8)
-
-    def fill(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        import zstandard
-        held = None
-        for batch in batches:
-            if held is None:
-                held = np.zeros(bits // 8, np.uint8)
-            slots = _slots(batch.column(0).to_numpy().view(np.uint64), bits).ravel()
-            np.bitwise_or.at(held, slots >> 3, (1 << (slots & 7)).astype(np.uint8))
-        if held is not None:
-            z = zstandard.ZstdCompressor(level=1)
-            for k in range(0, len(held), piece):
-                yield pa.record_batch([pa.array([k // piece], pa.int32()),
-                                       pa.array([z.compress(held[k:k + piece].tobytes())])], names=["piece", "bits"])
-
-    def join(key, rows):
-        import zstandard
-        z, out = zstandard.ZstdDecompressor(), None
-        for raw in rows.column("bits").to_pylist():
-            own = np.frombuffer(z.decompress(raw), np.uint8)
-            out = own if out is None else out | own
-        return pa.table({"piece": pa.array([key[0].as_py()], pa.int32()),
-                         "bits": pa.array([zstandard.ZstdCompressor(level=1).compress(out.tobytes())])})
-
-    import zstandard
-    z = zstandard.ZstdDecompressor()
-    out = np.zeros(bits // 8, np.uint8)
-    for k, raw in grams.mapInArrow(fill, "piece int, bits binary").groupBy("piece").applyInArrow(
-            join, "piece int, bits binary").collect():
-        out[k * piece:(k + 1) * piece] = np.frombuffer(z.decompress(raw), np.uint8)
-    return out
-
-
-def contexts(texts: DataFrame, bloom: np.ndarray, size: int, gram: int) -> DataFrame:
+def contexts(texts: DataFrame, grams: np.ndarray, size: int, gram: int) -> DataFrame:
     """One row per text, repeated gram and surroundings: the positions of the
     gram, and the bytes before (reversed) and after it that its strings have."""
-    shared = texts.sparkSession.sparkContext.broadcast(bloom)
+    shared = texts.sparkSession.sparkContext.broadcast(grams)
     extra = size - gram
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held, bits = shared.value, len(shared.value) * 8
+        held = shared.value
         seen: set[bytes] = set()  # texts this task has met
         for batch in batches:
             for _, data, offsets in _chunks(batch.column(0)):
                 pos, key, lo, hi = anchors(data, offsets, size, gram)
                 if len(pos):
-                    slots = _slots(key, bits)
-                    on = ((held[slots >> 3] >> (slots & 7)) & 1).all(0)
+                    on = bloom.bloom_hits(held, key)
                     pos, key, lo, hi = pos[on], key[on], lo[on], hi[on]
                 doc = np.searchsorted(offsets, pos, "right") - 1
                 raw = data.tobytes()
@@ -419,11 +373,11 @@ def _string_batch(rows: list[tuple]) -> pa.RecordBatch:
 
 def found_contexts(texts: DataFrame, size: int, gram: int, bloom_bits: int) -> DataFrame:
     grams = written(repeated_grams(texts, size, gram), "repeats-grams")
-    return written(contexts(texts, bloom_filter(grams, bloom_bits), size, gram), "repeats-contexts")
+    return written(contexts(texts, bloom.bloom_filter(grams, bloom_bits), size, gram), "repeats-contexts")
 
 
 def repeat_spans(texts: DataFrame, size: int = MIN_BYTES, gram: int = GRAM, hot: int = HOT,
-                 bloom_bits: int = BLOOM_BITS) -> DataFrame:
+                 bloom_bits: int = bloom.BITS) -> DataFrame:
     """t (16 bytes of the text's SHA-256), start, end: byte spans covered by
     repeats of ``size`` bytes between different texts or inside one.  ``texts``
     has one column."""
@@ -436,7 +390,7 @@ def repeat_spans(texts: DataFrame, size: int = MIN_BYTES, gram: int = GRAM, hot:
 
 
 def maximal_repeats(docs: DataFrame, size: int = MIN_BYTES, gram: int = GRAM,
-                    bloom_bits: int = BLOOM_BITS) -> DataFrame:
+                    bloom_bits: int = bloom.BITS) -> DataFrame:
     """repeat (id), length, t, start: the groups of maximal repeats with all
     their occurrences, as seen around each anchor gram (a repeat is followed at
     most ``size - gram`` bytes to either side of the gram; a longer one shows
@@ -460,7 +414,7 @@ def maximal_repeats(docs: DataFrame, size: int = MIN_BYTES, gram: int = GRAM,
 
 
 def remove_repeats(docs: DataFrame, size: int = MIN_BYTES, gram: int = GRAM, hot: int = HOT,
-                   bloom_bits: int = BLOOM_BITS) -> DataFrame:
+                   bloom_bits: int = bloom.BITS) -> DataFrame:
     """doc_id, n_bytes, n_removed, n_spans, kept_sha256: one row per input row."""
     d = only(docs, doc_id=("doc_id", "long"), text=("text", "string")).withColumn("text", F.coalesce("text", F.lit("")))
     narrow = written(d.select("doc_id", F.octet_length("text").cast("long").alias("n_bytes"),

@@ -15,7 +15,7 @@ _MASK = (1 << 64) - 1
 _BASE = 0x9E3779B97F4A7C15
 _INVERSE = pow(_BASE, -1, 1 << 64)
 #: Bytes of a batch handled at once.
-BLOCK = 1 << 22
+BLOCK = 1 << 19
 _POWERS: dict[str, np.ndarray] = {}
 
 _SPACE = np.zeros(256, bool)
@@ -126,12 +126,20 @@ def shingles(hashes: np.ndarray, first: np.ndarray, k: int) -> tuple[np.ndarray,
     return mix64(out ^ left.astype(np.uint64)), begin
 
 
+def sort_slices(values: np.ndarray, begin: np.ndarray) -> None:
+    """Sorts each text's values in place."""
+    at = begin.tolist()
+    for a, b in zip(at, at[1:]):
+        if b - a > 1:
+            values[a:b].sort()
+
+
 def distinct(values: np.ndarray, begin: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Per text, its distinct values in ascending order."""
-    text = np.repeat(np.arange(len(begin) - 1), np.diff(begin))
-    order = np.lexsort((values, text))
-    v, t = values[order], text[order]
+    v = values.copy()
+    sort_slices(v, begin)
     keep = np.ones(len(v), bool)
-    keep[1:] = (v[1:] != v[:-1]) | (t[1:] != t[:-1])
-    v, t = v[keep], t[keep]
-    return v, np.searchsorted(t, np.arange(len(begin))).astype(np.int64)
+    keep[1:] = v[1:] != v[:-1]
+    some = begin[:-1][begin[:-1] < len(v)]
+    keep[some] = True
+    return v[keep], np.concatenate(([0], np.cumsum(keep)))[begin].astype(np.int64)
