@@ -17,7 +17,7 @@ out of the prefixes.
 Equal sets are one node, named by a 64-bit hash of the set, so copies are
 joined once; a task writes a set's rows once, however many copies it meets.
 The pairs of a posting list are not all written out: first every set is
-verified against the least set of its lists (stars); lists whose sets are then
+verified against a few sets of each of its lists (stars); lists whose sets are then
 of one component are done, and only pairs of different components are joined
 in the second pass.  Components are what the contract asks for, and a pair
 inside a component cannot change them.
@@ -50,7 +50,9 @@ PERCENT = 85
 TABLE = 1 << 22
 PIECE = 1 << 16
 #: 64-bit words of a set's bitmap.
-WORDS_OF_MAP = 4
+WORDS_OF_MAP = 8
+#: Sets of a list that all its others are verified against first.
+LEADS = 3
 #: Bytes of text handled at once.
 CHUNK = 1 << 20
 
@@ -74,12 +76,13 @@ def set_names(v: np.ndarray, begin: np.ndarray) -> np.ndarray:
 
 
 def bitmaps(v: np.ndarray, begin: np.ndarray) -> np.ndarray:
-    """(sets, WORDS_OF_MAP) bitmaps: each member sets the bit its hash names."""
-    n = len(begin) - 1
-    bits = np.zeros(n * WORDS_OF_MAP * 64, bool)
+    """(sets, WORDS_OF_MAP) parity bitmaps: each member flips the bit its hash
+    names, so bits that differ are at most the members that differ, however
+    large the sets are."""
+    n, bits = len(begin) - 1, WORDS_OF_MAP * 64
     text = np.repeat(np.arange(n), np.diff(begin))
-    bits[text * (WORDS_OF_MAP * 64) + (v % np.uint64(WORDS_OF_MAP * 64)).astype(np.int64)] = True
-    return np.packbits(bits).view(np.int64).reshape(n, WORDS_OF_MAP)
+    count = np.bincount(text * bits + (v % np.uint64(bits)).astype(np.int64), minlength=n * bits)
+    return np.packbits((count & 1).astype(bool)).view(np.int64).reshape(n, WORDS_OF_MAP)
 
 
 def _binary(values: np.ndarray, begin: np.ndarray) -> pa.Array:
@@ -262,12 +265,15 @@ def similar_components(docs: DataFrame, words: int = WORDS, percent: int = PERCE
     maps = nodes.select("sid", "n", F.array(*[f"b{i}" for i in range(WORDS_OF_MAP)]).alias("bits"))
     posts = written(postings(d, words, percent, frequency_levels(everything, table)), "ngram-postings")
     lists = posts.groupBy("gram").agg(F.min("sid").alias("lead"), F.max("sid").alias("last")).where("lead < last")
-    live = written(posts.join(lists.select("gram", "lead"), "gram"), "ngram-live")
-    # stars: every set of a list with the list's least
-    heads = live.where("sid = lead").groupBy("gram").agg(F.min("n_pos").alias("lead_pos"))
+    live = written(posts.join(lists.select("gram"), "gram", "left_semi"), "ngram-live")
+    # stars: every set of a list with a few of its sets, drawn by a hash
+    draws = [F.min(F.struct(F.xxhash64(F.lit(r), "sid").alias("draw"), F.col("sid").alias("lead"),
+                            F.col("n_pos").alias("lead_pos"))).alias(f"d{r}") for r in range(LEADS)]
+    heads = live.groupBy("gram").agg(*draws).select("gram", F.explode(F.array_distinct(F.array(*[
+        F.struct(f"d{r}.lead", f"d{r}.lead_pos") for r in range(LEADS)]))).alias("x")).select("gram", "x.lead", "x.lead_pos")
     stars = (live.join(heads, "gram").where("sid <> lead")
              .where(could_link(F.col("n_pos"), F.col("lead_pos"), percent))
-             .select(F.col("lead").alias("a"), F.col("sid").alias("b")).distinct())
+             .select(F.least("lead", "sid").alias("a"), F.greatest("lead", "sid").alias("b")).distinct())
     side = lambda c: maps.select(F.col("sid").alias(c), F.col("n").alias("n" + c), F.col("bits").alias("m" + c))
     stars = written(stars.join(side("a"), "a").join(side("b"), "b").where(
         near_maps(F.col("na"), F.col("ma"), F.col("nb"), F.col("mb"), percent)).select("a", "b"), "ngram-stars")
