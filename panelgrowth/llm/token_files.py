@@ -2,8 +2,9 @@
 
 The ids of all documents, in ascending doc_id order, are one stream, cut into
 files at document ends.  A file holds its stream as sequences of
-``SEQ_LEN`` ids (``tokens``: fixed-size list of uint32) with a ``mask``
-(fixed-size list of uint8, 0 in the padding of the last sequence).  All batches
+``SEQ_LEN`` ids (``tokens``: fixed-size list of uint16, or uint32 for a
+vocabulary beyond 65,536 ids) with a ``mask`` (fixed-size list of bits, 0 in the
+padding of the last sequence).  All batches
 but the last have ``BATCH_SEQS`` sequences, so sequence k of a file is row
 k % BATCH_SEQS of batch k // BATCH_SEQS, and its ids are a slice of the mapped
 file: nothing is copied or decoded.  The file's documents (id, first id,
@@ -36,9 +37,14 @@ END_ID = 2
 #: A file is closed at the first document end beyond this many ids.
 FILE_IDS = 16 << 20
 #: Words whose ids a task remembers.
-CACHE_WORDS = 400_000
+CACHE_WORDS = 1_000_000
+
+
+
+def file_schema(id_type: pa.DataType) -> pa.Schema:
+    return pa.schema([("tokens", pa.list_(id_type, SEQ_LEN)), ("mask", pa.list_(pa.bool_(), SEQ_LEN))])
+
 
-FILE_SCHEMA = pa.schema([("tokens", pa.list_(pa.uint32(), SEQ_LEN)), ("mask", pa.list_(pa.uint8(), SEQ_LEN))])
 INDEX_SCHEMA = pa.schema([("doc_id", pa.int64()), ("start", pa.int64()), ("n_tokens", pa.int64())])
 MANIFEST = "part int, file_no int, name string, n_docs long, n_ids long"
 
@@ -58,7 +64,7 @@ class Encoder:
         from tokenizers import Tokenizer
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         self.tokenizer = Tokenizer.from_file(path)
-        n = self.tokenizer.get_vocab_size(with_added_tokens=True)
+        n = self.n_ids = self.tokenizer.get_vocab_size(with_added_tokens=True)
         self.starts = np.array([(self.tokenizer.id_to_token(i) or "").startswith("Ġ") for i in range(n)])
         self.odd = re.compile(r"\s |\s\Z| \s")
         self.known: dict[str, bytes] = {}
@@ -87,19 +93,19 @@ class Encoder:
         split = [None if not t or t[0] == " " or self.odd.search(t) else t.split(" ") for t in texts]
         for k in range(0, len(texts), 64):
             group = split[k:k + 64]
-            known = self.known
-            new = list({p for s in group if s for p in s[1:] if p not in known})
+            get = self.known.get
+            rows = [s and list(map(get, s[1:])) for s in group]
+            new = {p for s, r in zip(group, rows) if r and None in r for p, v in zip(s[1:], r) if v is None}
             if new:
-                self.learn(new)
-                missing = [p for s in group if s for p in s[1:] if p not in self.known]
-                if missing:  # the words were forgotten to make room
-                    self.learn(list(set(missing)))
-            get = self.known.__getitem__
-            for t, s in zip(texts[k:k + 64], group):
+                self.learn(list(new))
+            learnt = self.known
+            for t, s, r in zip(texts[k:k + 64], group, rows):
                 if s is None:
                     out.append(self.whole(t) if t else b"")
-                else:
-                    out.append(self.whole(s[0]) + b"".join(map(get, s[1:])))
+                    continue
+                if None in r:
+                    r = [learnt[p] if v is None else v for p, v in zip(s[1:], r)]
+                out.append(self.whole(s[0]) + b"".join(r))
         return out
 
 
@@ -113,19 +119,16 @@ def encoder_of(path: str) -> Encoder:
     return _ENCODERS[path]
 
 
-def _array(values: np.ndarray, kind: pa.DataType, n: int) -> pa.Array:
-    flat = pa.Array.from_buffers(kind, len(values), [None, pa.py_buffer(values)])
-    return pa.FixedSizeListArray.from_arrays(flat, SEQ_LEN) if n else pa.array([], pa.list_(kind, SEQ_LEN))
-
-
 class FileWriter:
     """One token file and its index."""
 
-    def __init__(self, folder: str, part: int, file_no: int):
+    def __init__(self, folder: str, part: int, file_no: int, n_ids: int = 1 << 32):
+        self.kind = (pa.uint16(), np.uint16) if n_ids <= 1 << 16 else (pa.uint32(), np.uint32)
+        self.schema = file_schema(self.kind[0])
         self.part, self.file_no, self.folder = part, file_no, folder
         self.name = new_name(f"tokens-{part:05d}-{file_no:05d}", "")
         self.out = open_out(folder, self.name + ".arrow")
-        self.file = pa.ipc.new_file(self.out, FILE_SCHEMA)
+        self.file = pa.ipc.new_file(self.out, self.schema)
         self.held: list[bytes] = []
         self.held_ids = 0
         self.ids = 0
@@ -145,19 +148,19 @@ class FileWriter:
         size = SEQ_LEN * BATCH_SEQS
         full = len(data) // size * size
         for k in range(0, full, size):
-            self._batch(data[k:k + size], np.ones(size, np.uint8))
+            self._batch(data[k:k + size], size)
         rest = data[full:]
         if last and len(rest):
             pad = -len(rest) % SEQ_LEN
-            self._batch(np.concatenate((rest, np.zeros(pad, "<u4"))),
-                        np.concatenate((np.ones(len(rest), np.uint8), np.zeros(pad, np.uint8))))
+            self._batch(np.concatenate((rest, np.zeros(pad, "<u4"))), len(rest))
             rest = rest[:0]
         self.held, self.held_ids = [rest.tobytes()], len(rest)
 
-    def _batch(self, ids: np.ndarray, mask: np.ndarray) -> None:
-        n = len(ids) // SEQ_LEN
+    def _batch(self, ids: np.ndarray, real: int) -> None:
+        tokens = pa.array(ids.astype(self.kind[1]))
+        mask = pa.array(np.arange(len(ids)) < real)
         self.file.write_batch(pa.record_batch(
-            [_array(ids.astype(np.uint32), pa.uint32(), n), _array(mask, pa.uint8(), n)], schema=FILE_SCHEMA))
+            [pa.FixedSizeListArray.from_arrays(x, SEQ_LEN) for x in (tokens, mask)], schema=self.schema))
 
     def close(self) -> tuple:
         self._write(True)
@@ -178,18 +181,18 @@ class TokenFile:
         with open_in(folder, name + ".index.arrow") as f:
             self.index = pa.ipc.open_file(f).read_all()
 
-    def sequence(self, k: int) -> tuple[np.ndarray, np.ndarray]:
+    def sequence(self, k: int) -> tuple[np.ndarray, pa.Array]:
+        """(ids, mask) of sequence k: a view of the file, and its mask bits."""
         batch = self.file.get_batch(k // BATCH_SEQS)
-        row = k % BATCH_SEQS
-        return tuple(batch.column(c).values.to_numpy(zero_copy_only=True)[row * SEQ_LEN:(row + 1) * SEQ_LEN]
-                     for c in (0, 1))
+        at = k % BATCH_SEQS * SEQ_LEN
+        return (batch.column(0).values.to_numpy(zero_copy_only=True)[at:at + SEQ_LEN],
+                batch.column(1).values.slice(at, SEQ_LEN))
 
     def stream(self) -> Iterator[np.ndarray]:
         """The file's ids, batch after batch, without the padding."""
         for k in range(self.file.num_record_batches):
             batch = self.file.get_batch(k)
-            ids, mask = (batch.column(c).flatten().to_numpy() for c in (0, 1))
-            yield ids[:int(mask.sum())]
+            yield batch.column(0).flatten().to_numpy()[:batch.column(1).flatten().true_count]
 
 
 def write_token_files(docs: DataFrame, tokenizer: str, folder: str | None = None,
@@ -212,7 +215,7 @@ def write_token_files(docs: DataFrame, tokenizer: str, folder: str | None = None
             encoder = encoder or encoder_of(tokenizer)
             ids = encoder.encode(batch.column(1).to_pylist())
             for doc_id, own in zip(batch.column(0).to_pylist(), ids):
-                writer = writer or FileWriter(folder, part, file_no)
+                writer = writer or FileWriter(folder, part, file_no, max(encoder.n_ids, end_id + 1))
                 writer.add(doc_id, own + end)
                 if writer.ids >= file_ids:
                     rows.append(writer.close())
