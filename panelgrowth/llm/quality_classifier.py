@@ -142,6 +142,13 @@ def hashed(column: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     return np.concatenate(out_f)[order], np.concatenate(out_v)[order], first
 
 
+def _parts(batches: Iterator[pa.RecordBatch], rows: int = 256) -> Iterator[pa.RecordBatch]:
+    """The batches in slices of few rows, to bound a task's memory."""
+    for batch in batches:
+        for k in range(0, batch.num_rows, rows):
+            yield batch.slice(k, rows)
+
+
 def fit_scorer(rows: list[tuple[np.ndarray, np.ndarray]], labels: np.ndarray,
                epochs: int = EPOCHS) -> tuple[np.ndarray, float]:
     """Logistic regression on soft labels by adaptive gradient steps; a rarer
@@ -183,7 +190,7 @@ def quality_classifier(docs: DataFrame, sample_docs: int = SAMPLE_DOCS,
     last = spark.createDataFrame([(k,) for k in ids], "doc_id long")
 
     def extract(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in _parts(batches):
             f, v, first = hashed(batch.column(1))
             cut = pa.array(first, pa.int32())
             yield pa.record_batch([batch.column(0), pa.ListArray.from_arrays(cut, pa.array(f, pa.int32())),
@@ -201,7 +208,7 @@ def quality_classifier(docs: DataFrame, sample_docs: int = SAMPLE_DOCS,
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         w, b = shared.value
-        for batch in batches:
+        for batch in _parts(batches):
             f, v, first = hashed(batch.column(1))
             total = np.concatenate(([0.0], np.cumsum(w[f] * v)))
             z = total[first[1:]] - total[first[:-1]] + b
