@@ -122,12 +122,12 @@ def q_paired_sums_inner(spark, sf):
 
 def q_lag_growth_12(spark, sf):
     return _metrics(_metro_cells(spark, sf), "area_name").select(
-        "area_name", *TAIL, "value", "pct_change", "job_growth")
+        "area_name", *TAIL, "value", "pct_change", "abs_change")
 
 
 def q_lag_growth_1(spark, sf):
     return _metrics(_metro_cells(spark, sf), "area_name").select(
-        "area_name", *TAIL, "value_mom", "pct_change_mom", "job_growth_mom")
+        "area_name", *TAIL, "value_mom", "pct_change_mom", "abs_change_mom")
 
 
 def q_rolling_mean_12(spark, sf):
@@ -142,12 +142,12 @@ def q_rolling_mean_ytd(spark, sf):
 
 def q_growth_ann(spark, sf):
     return _metrics(_state_cells(spark, sf), "state_name").select(
-        "state_name", *TAIL, "value_ann_avg", "pct_change_ann", "job_growth_ann")
+        "state_name", *TAIL, "value_ann_avg", "pct_change_ann", "abs_change_ann")
 
 
 def q_growth_ytd(spark, sf):
     return _metrics(_state_cells(spark, sf), "state_name").select(
-        "state_name", *TAIL, "value_ytd_avg", "pct_change_ytd", "job_growth_ytd")
+        "state_name", *TAIL, "value_ytd_avg", "pct_change_ytd", "abs_change_ytd")
 
 
 def q_rank_first(spark, sf):
@@ -410,18 +410,18 @@ def q_frame_index(spark, sf):
 
 def q_frame_lag_growth_12(spark, sf):
     return _frame_metrics(_metro_cells(spark, sf), "area_name").select(
-        *METRO_KEYS, "value", "pct_change", "job_growth")
+        *METRO_KEYS, "value", "pct_change", "abs_change")
 
 
 def q_frame_lag_growth_1(spark, sf):
     return _frame_metrics(_metro_cells(spark, sf), "area_name").select(
-        *METRO_KEYS, "value_mom", "pct_change_mom", "job_growth_mom")
+        *METRO_KEYS, "value_mom", "pct_change_mom", "abs_change_mom")
 
 
 def q_frame_rolling_mean(spark, sf):
     return _frame_metrics(_metro_cells(spark, sf), "area_name").select(
-        *METRO_KEYS, "value_ytd_avg", "value_ann_avg", "pct_change_ytd", "job_growth_ytd",
-        "pct_change_ann", "job_growth_ann")
+        *METRO_KEYS, "value_ytd_avg", "value_ann_avg", "pct_change_ytd", "abs_change_ytd",
+        "pct_change_ann", "abs_change_ann")
 
 
 def q_metro_report_frame(spark, sf):
@@ -561,18 +561,18 @@ def _oracles() -> dict[str, str]:
         "paired_sums_inner": f"{O.BASE},\n{O.pair_ctes('npanel', 'TRUE', None, 'inner')}\nSELECT * FROM cells",
         "lag_growth_12": _block("area_name", NOT_STATEWIDE_SQL,
                                 f"{ms}, value, {fin['pct_change']} AS pct_change, "
-                                f"{fin['job_growth']} AS job_growth"),
+                                f"{fin['abs_change']} AS abs_change"),
         "lag_growth_1": _block("area_name", NOT_STATEWIDE_SQL,
                                f"{ms}, value_mom, {fin['pct_change_mom']} AS pct_change_mom, "
-                               f"{fin['job_growth_mom']} AS job_growth_mom"),
+                               f"{fin['abs_change_mom']} AS abs_change_mom"),
         "rolling_mean_12": _block("state_name", STATEWIDE_SQL, f"{ss}, value, value_ann_avg"),
         "rolling_mean_ytd": _block("state_name", STATEWIDE_SQL, f"{ss}, value, value_ytd_avg"),
         "growth_ann": _block("state_name", STATEWIDE_SQL,
                              f"{ss}, value_ann_avg, {fin['pct_change_ann']} AS pct_change_ann, "
-                             f"{fin['job_growth_ann']} AS job_growth_ann"),
+                             f"{fin['abs_change_ann']} AS abs_change_ann"),
         "growth_ytd": _block("state_name", STATEWIDE_SQL,
                              f"{ss}, value_ytd_avg, {fin['pct_change_ytd']} AS pct_change_ytd, "
-                             f"{fin['job_growth_ytd']} AS job_growth_ytd"),
+                             f"{fin['abs_change_ytd']} AS abs_change_ytd"),
         "rank_first": _block("state_name", STATEWIDE_SQL,
                              f"{ss}, {O.rank_first_sql('f_yoy', 'state_name')} AS rank"),
         "rank_average": _block("area_name", NOT_STATEWIDE_SQL,
@@ -637,13 +637,13 @@ FROM (SELECT * RENAME (area_name AS state_name) FROM ({O.report_sql('area_name',
                         f"SELECT {ms}, value, row_number() OVER (ORDER BY {ms}) - 1 AS frame_index "
                         "FROM cells"),
         "frame_lag_growth_12": _frame_block(f"{ms}, value, {fin['pct_change']} AS pct_change, "
-                                            f"{fin['job_growth']} AS job_growth"),
+                                            f"{fin['abs_change']} AS abs_change"),
         "frame_lag_growth_1": _frame_block(f"{ms}, value_mom, {fin['pct_change_mom']} AS pct_change_mom, "
-                                           f"{fin['job_growth_mom']} AS job_growth_mom"),
+                                           f"{fin['abs_change_mom']} AS abs_change_mom"),
         "frame_rolling_mean": _frame_block(
             f"{ms}, value_ytd_avg, value_ann_avg, {fin['pct_change_ytd']} AS pct_change_ytd, "
-            f"{fin['job_growth_ytd']} AS job_growth_ytd, {fin['pct_change_ann']} AS pct_change_ann, "
-            f"{fin['job_growth_ann']} AS job_growth_ann"),
+            f"{fin['abs_change_ytd']} AS abs_change_ytd, {fin['pct_change_ann']} AS pct_change_ann, "
+            f"{fin['abs_change_ann']} AS abs_change_ann"),
         "metro_report_frame": O.report_sql("area_name", NOT_STATEWIDE_SQL, "left", K, "first",
                                            frame=True),
         "national_report_frame": O.national_sql(K, frame=True),

@@ -46,9 +46,16 @@ def month_from_period(c) -> Column:
 
 def lenient_double(c) -> Column:
     """Parse text as double; text that is not a plain decimal or
-    exponent number (blank, '-', 'NaN', '1,000', '1d', ...) becomes NULL."""
+    exponent number (blank, '-', 'NaN', '1,000', '1d', ...) becomes NULL, and so
+    does a number beyond the range of a double ('1e400')."""
     c = _col(c)
-    return F.when(c.rlike(NUMERIC_TEXT), c.try_cast("double"))
+    return finite(F.when(c.rlike(NUMERIC_TEXT), c.try_cast("double")))
+
+
+def finite(c) -> Column:
+    """The value; NULL where it is NaN or infinite."""
+    c = _col(c)
+    return F.when(F.abs(c) < F.lit(float("inf")), c)
 
 
 def round2(c) -> Column:

@@ -4,7 +4,7 @@ Facts are joined to lookups with inner equi-joins.  Before each join the
 lookup drops every non-key column the left side already has, so the left
 value wins (the source job keeps the left copy of a clashing name).
 
-A lookup is broadcast only after its row count was checked against a bound;
+A lookup is broadcast only after its rows and bytes were checked against bounds;
 above the bound the join is left to the planner (sort-merge, or AQE's own
 runtime broadcast when the shuffled side turns out small).
 """
@@ -16,28 +16,25 @@ from typing import Iterable, Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-# Lookups at or under this many rows are broadcast.  Narrow lookups
-# (a code and a name) of this size stay well under executor memory.
+# Lookups at or under this many rows and bytes are broadcast.
 BROADCAST_MAX_ROWS = 2_000_000
+BROADCAST_MAX_BYTES = 128 << 20
 
 
-_CHECKED: dict[tuple, bool] = {}
+def within_bounds(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS,
+                  max_bytes: int = BROADCAST_MAX_BYTES) -> bool:
+    """Whether ``df`` has at most ``max_rows`` rows and ``max_bytes`` bytes of
+    values: one aggregation, of which each task sends one row."""
+    size = sum((F.coalesce(F.octet_length(F.col(f"`{c}`").cast("string")), F.lit(0)) + F.lit(16)
+                for c in df.columns), F.lit(0))
+    row = df.agg(F.count(F.lit(1)), F.coalesce(F.sum(size.cast("long")), F.lit(0))).first()
+    return row[0] <= max_rows and row[1] <= max_bytes
 
 
 def sized_broadcast(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
-    """Broadcast-hint ``df`` only if it holds at most ``max_rows`` rows.
-
-    Counting is one small job over the lookup (never called on facts).  The
-    answer is remembered per logical plan and input file list, so a lookup
-    used by several report sections is counted once, and a lookup whose
-    files were rewritten is counted again.
-    """
-    key = (df.semanticHash(), tuple(sorted(df.inputFiles())), max_rows)
-    small = _CHECKED.get(key)
-    if small is None:
-        small = df.limit(max_rows + 1).count() <= max_rows
-        _CHECKED[key] = small
-    return F.broadcast(df) if small else df
+    """Broadcast-hint ``df`` only if it is within the bounds.  Checked anew each
+    time: a table that grew is never taken for the small one it was."""
+    return F.broadcast(df) if within_bounds(df, max_rows) else df
 
 
 def join_lookup(facts: DataFrame, lookup: DataFrame, key: str | Sequence[str],

@@ -80,7 +80,7 @@ def finish_growth(df: DataFrame) -> DataFrame:
     for fam in FAMILIES:
         suffix = "" if fam == "yoy" else f"_{fam}"
         cols[f"pct_change{suffix}"] = pct_round(F.col(f"_f_{fam}"))
-        cols[f"job_growth{suffix}"] = round2(F.col(f"_lag_{fam}") * F.col(f"_f_{fam}"))
+        cols[f"abs_change{suffix}"] = round2(F.col(f"_lag_{fam}") * F.col(f"_f_{fam}"))
     return df.withColumns(cols)
 
 

@@ -146,7 +146,7 @@ def finish_cols() -> dict[str, str]:
     for fam in ("mom", "ytd", "ann", "yoy"):
         sfx = "" if fam == "yoy" else f"_{fam}"
         out[f"pct_change{sfx}"] = pct(f"f_{fam}")
-        out[f"job_growth{sfx}"] = round2(f"lag_{fam} * f_{fam}")
+        out[f"abs_change{sfx}"] = round2(f"lag_{fam} * f_{fam}")
     return out
 
 
@@ -173,16 +173,16 @@ def report_sql(entity: str, where: str, how: str, k: int, mom_ties: str,
     fin = finish_cols()
     cols = [entity, "supersector_name", "industry_name", "year", "Month", "value", "value_mom",
             f"{fin['pct_change_mom']} AS pct_change_mom", f"{rk_mom} AS rank_mom",
-            f"{fin['job_growth_mom']} AS job_growth_mom",
+            f"{fin['abs_change_mom']} AS abs_change_mom",
             "value_ytd_avg", f"{fin['pct_change_ytd']} AS pct_change_ytd",
             f"{rank_first_sql('f_ytd', entity)} AS rank_ytd",
-            f"{fin['job_growth_ytd']} AS job_growth_ytd",
+            f"{fin['abs_change_ytd']} AS abs_change_ytd",
             "value_ann_avg", f"{fin['pct_change_ann']} AS pct_change_ann",
             f"{rank_first_sql('f_ann', entity)} AS rank_ann",
-            f"{fin['job_growth_ann']} AS job_growth_ann",
+            f"{fin['abs_change_ann']} AS abs_change_ann",
             f"{fin['pct_change']} AS pct_change",
             f"{rank_first_sql('f_yoy', entity)} AS rank",
-            f"{fin['job_growth']} AS job_growth"]
+            f"{fin['abs_change']} AS abs_change"]
     sel = ",\n  ".join(cols)
     return (f"{base},\n{extra_ctes}{pair_ctes(source, where, entity, how, value_from)},\n"
             f"{metric_ctes(keys, k, order, frame)}\nSELECT\n  {sel}\nFROM m2")
@@ -196,13 +196,13 @@ def national_sql(k: int, frame: bool = False) -> str:
         return f"replace(replace({c}, chr(13), ''), 'Goods-Producing', 'Goods Producing') AS {c}"
     cols = [clean("supersector_name"), clean("industry_name"), "year", "Month", "value",
             "value_mom", "value_ytd_avg", f"{fin['pct_change_ytd']} AS pct_change_ytd",
-            "'' AS rank_ytd", f"{fin['job_growth_ytd']} AS job_growth_ytd",
+            "'' AS rank_ytd", f"{fin['abs_change_ytd']} AS abs_change_ytd",
             "value_ann_avg", f"{fin['pct_change_ann']} AS pct_change_ann", "'' AS rank_ann",
-            f"{fin['job_growth_ann']} AS job_growth_ann", "'' AS rank",
-            f"{fin['pct_change']} AS pct_change", f"{fin['job_growth']} AS job_growth",
+            f"{fin['abs_change_ann']} AS abs_change_ann", "'' AS rank",
+            f"{fin['pct_change']} AS pct_change", f"{fin['abs_change']} AS abs_change",
             "'United States' AS area_name", "'United States' AS state_name",
             f"{fin['pct_change_mom']} AS pct_change_mom", "'' AS rank_mom",
-            f"{fin['job_growth_mom']} AS job_growth_mom"]
+            f"{fin['abs_change_mom']} AS abs_change_mom"]
     sel = ",\n  ".join(cols)
     return (f"{BASE},\n{pair_ctes('npanel', 'TRUE', None, 'inner')},\n"
             f"{metric_ctes(keys, k, order if frame else 'year, Month', frame)}\n"

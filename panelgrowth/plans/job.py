@@ -19,6 +19,7 @@ Scale notes
 from __future__ import annotations
 
 import argparse
+import json
 import datetime as _dt
 from concurrent.futures import ThreadPoolExecutor
 from typing import Iterable
@@ -163,7 +164,7 @@ def run_monthly(spark: SparkSession, sm_panel: DataFrame | None, ce_panel: DataF
 
 
 def main(argv=None) -> None:
-    from panelgrowth.session import get_spark
+    from panelgrowth.session import DEFAULT_CONF, get_spark
     p = argparse.ArgumentParser(description="monthly panel growth job")
     p.add_argument("--landing", required=True, help="folder with the feed .txt files")
     p.add_argument("--lookups", required=True, help="lookup base folder (or JDBC URL with --lookup-format jdbc)")
@@ -176,13 +177,25 @@ def main(argv=None) -> None:
     p.add_argument("--index", action="store_true", help="write the positional index column")
     p.add_argument("--sort", action="store_true", help="write rows in key order")
     p.add_argument("--master", default=None)
+    p.add_argument("--jdbc-options", default=None,
+                   help="JSON file: lookup_properties, lookup_partitions (by table), out_properties")
     a = p.parse_args(argv)
     spark = get_spark(master=a.master) if a.master else SparkSession.builder.getOrCreate()
+    # the session settings of get_spark, where the submitter set none
+    given = spark.sparkContext.getConf()
+    for k, v in DEFAULT_CONF.items():
+        if k.startswith("spark.sql.") and not given.contains(k):
+            spark.conf.set(k, v)
+    jdbc: dict = {}
+    if a.jdbc_options:
+        with open(a.jdbc_options) as f:
+            jdbc = json.load(f)
     if a.lookup_format == "jdbc":
-        lookups = LookupSource("jdbc", url=a.lookups)
+        lookups = LookupSource("jdbc", url=a.lookups, properties=jdbc.get("lookup_properties", {}),
+                               partitions=jdbc.get("lookup_partitions", {}))
     else:
         lookups = LookupSource(a.lookup_format, a.lookups)
-    target = (SinkTarget("jdbc", url=a.out) if a.out_format == "jdbc"
+    target = (SinkTarget("jdbc", url=a.out, properties=jdbc.get("out_properties", {})) if a.out_format == "jdbc"
               else SinkTarget(a.out_format, a.out))
     sm, ce = build_panels(spark, a.landing, lookups)
     run_monthly(spark, sm, ce, target, _dt.date.fromisoformat(a.as_of),

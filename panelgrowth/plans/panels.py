@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from panelgrowth.functions.clean import (
+    finite,
     lenient_double, month_from_period, remove, strip_all, zero_pad,
 )
 from panelgrowth.operators.enrich import enrich
@@ -21,6 +22,7 @@ from panelgrowth.operators.filters import (
     state_metro_split_condition,
 )
 
+# The panels' columns.
 SM_COLUMNS = ["area_name", "state_name", "supersector_name", "industry_name", "period",
               "year", "value", "data_type_code", "seasonal"]
 CE_COLUMNS = ["supersector_name", "industry_name", "period", "year", "value",
@@ -34,7 +36,7 @@ def _numeric_value(df: DataFrame) -> F.Column:
     """Text values get the lenient parse; numeric ones are cast."""
     if isinstance(df.schema["value"].dataType, T.StringType):
         return lenient_double("value")
-    return F.nanvl(F.col("value").cast("double"), F.lit(None).cast("double"))
+    return finite(F.col("value").cast("double"))
 
 
 def clean_state_metro(enriched: DataFrame, extra=()) -> DataFrame:

@@ -17,6 +17,7 @@ from __future__ import annotations
 
 import datetime as _dt
 from dataclasses import dataclass, field
+from functools import reduce
 from typing import Callable, Iterable
 
 from pyspark.sql import DataFrame
@@ -28,25 +29,26 @@ from panelgrowth.operators.growth import finish_growth, growth_fractions
 from panelgrowth.operators.pairing import over_cohort, paired_sums, single_sums, under_rows
 from panelgrowth.operators.ranks import MAX_WINDOW_GROUP_ROWS, peer_ranks
 
+# The nation's name and the output columns.
 NATION = "United States"
 CELL_TAIL = ["supersector_name", "industry_name", "year", "Month"]
 
 NATIONAL_COLUMNS = [
     "supersector_name", "industry_name", "year", "Month", "value", "value_mom",
-    "value_ytd_avg", "pct_change_ytd", "rank_ytd", "job_growth_ytd",
-    "value_ann_avg", "pct_change_ann", "rank_ann", "job_growth_ann",
-    "rank", "pct_change", "job_growth", "area_name", "state_name",
-    "pct_change_mom", "rank_mom", "job_growth_mom",
+    "value_ytd_avg", "pct_change_ytd", "rank_ytd", "abs_change_ytd",
+    "value_ann_avg", "pct_change_ann", "rank_ann", "abs_change_ann",
+    "rank", "pct_change", "abs_change", "area_name", "state_name",
+    "pct_change_mom", "rank_mom", "abs_change_mom",
 ]
 
 
 def report_columns(entity: str) -> list[str]:
     return [
         entity, "supersector_name", "industry_name", "year", "Month", "value", "value_mom",
-        "pct_change_mom", "rank_mom", "job_growth_mom",
-        "value_ytd_avg", "pct_change_ytd", "rank_ytd", "job_growth_ytd",
-        "value_ann_avg", "pct_change_ann", "rank_ann", "job_growth_ann",
-        "pct_change", "rank", "job_growth",
+        "pct_change_mom", "rank_mom", "abs_change_mom",
+        "value_ytd_avg", "pct_change_ytd", "rank_ytd", "abs_change_ytd",
+        "value_ann_avg", "pct_change_ann", "rank_ann", "abs_change_ann",
+        "pct_change", "rank", "abs_change",
     ]
 
 
@@ -181,9 +183,12 @@ def run(sm_panel: DataFrame | None, ce_panel: DataFrame | None, as_of: _dt.date,
         over_size: str = "value", rank_strategy: str = "auto",
         keep: Callable[..., DataFrame] | None = None,
         fused: bool = True) -> Sections:
-    """M7: build the requested sections (lazy).  Sink tables:
+    """M7: build the requested sections.  Sink tables:
     ``national_rankings_t``, ``state_rankings``, ``msa_rankings``,
-    ``msa_rankings_under``, ``msa_rankings_over``.
+    ``msa_rankings_under``, ``msa_rankings_over``.  ``state_rankings`` holds
+    the states, and the metros too where both were asked for; an unknown section
+    name is an error.  The tables are lazy, but choosing the rank strategy and
+    ``keep`` run jobs here.
 
     With ``fused`` (series scope, all four state/metro sections) those
     sections come from one pass (``fused.py``).  ``keep(df, label)`` (for
@@ -192,6 +197,9 @@ def run(sm_panel: DataFrame | None, ce_panel: DataFrame | None, as_of: _dt.date,
     state/metro panel feeds every section: materialize it before calling.
     """
     sections = list(sections)
+    unknown = sorted(set(sections) - set(SECTIONS))
+    if unknown:
+        raise ValueError(f"unknown sections {unknown}; choose from {list(SECTIONS)}")
     res = Sections()
     out = res.tables
     if "national" in sections:
@@ -227,12 +235,13 @@ def run(sm_panel: DataFrame | None, ce_panel: DataFrame | None, as_of: _dt.date,
                                      size=over_size, rank_strategy=strat["area_name"])
     if metros is not None:
         out["msa_rankings"] = metros
-    if states is not None and metros is not None:
-        out["state_rankings"] = states.unionByName(metros)
+    parts = [x for x in (states, metros) if x is not None] if states is not None else []
+    if parts:
+        out["state_rankings"] = reduce(DataFrame.unionByName, parts)
     if under is not None:
         out["msa_rankings_under"] = under
     if over is not None:
         out["msa_rankings_over"] = over
-    if states is not None and metros is not None:
-        res.parts["state_rankings"] = [states, metros]
+    if parts:
+        res.parts["state_rankings"] = parts
     return res

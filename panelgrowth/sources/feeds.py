@@ -4,9 +4,9 @@
   as text and matched by header name (names stripped: published files may
   pad them; order and extra columns do not matter), then the
   id/year/value/footnote fields are stripped with built-in expressions.
-* A feed may be one path, a glob, or a list of files; a list is read file by
-  file and appended (UNION ALL, by column name): a series present in two
-  files is counted twice, as in the source job.
+* A feed may be files, folders or globs; files are grouped by header line and
+  appended (UNION ALL, by column name): a series present in two files is
+  counted twice, as in the source job.
 * Lookups are whole-table reads from any Spark source (parquet, csv, jdbc).
 * The run-date row is built from a run date, or from the latest date found
   in the data, never from the wall clock inside a plan.
@@ -15,7 +15,6 @@
 from __future__ import annotations
 
 import datetime as _dt
-from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
 from functools import reduce
 from typing import Iterable
@@ -34,49 +33,54 @@ def fact_schema(columns: Iterable[str] = FACT_COLUMNS) -> T.StructType:
     return T.StructType([T.StructField(c, T.StringType(), True) for c in columns])
 
 
-def header_names(spark: SparkSession, path: str) -> list[str] | None:
-    """Column names from a feed's header line, blanks stripped (published
-    files may pad them).  Reads one line; None for an empty file."""
-    first = spark.read.text(path).limit(1).collect()
-    if not first:
-        return None
-    return [n.strip() for n in first[0][0].split("\t")]
-
-
-def _read_one(spark: SparkSession, path: str, columns: list[str],
-              names: list[str] | None) -> DataFrame:
-    """One feed file (or folder of part files), every column as text,
-    matched by (stripped) header name; columns the header lacks are added
-    as NULL by the caller's union."""
-    names = names or list(columns)
-    schema = fact_schema(names)
-    df = (spark.read.schema(schema)
-          .option("sep", "\t")
-          .option("header", True)
-          .option("enforceSchema", True)
-          .option("mode", "PERMISSIVE")
-          .csv(path))
-    keep = [c for c in columns if c in names]
-    if not keep:
-        raise ValueError(f"{path}: header {names} has none of {list(columns)}")
-    return df.select(*keep)
+def files_by_header(spark: SparkSession, paths: list[str], columns: list[str]) -> dict[tuple, list[str]]:
+    """Column names (blanks stripped) -> files with that header line.
+
+    One job over all files: a header is a line that holds the first expected
+    column's name as a field, which no data line does.  One small row per file
+    reaches the driver, as in Spark's own file listing.
+    """
+    names = F.transform(F.split("value", "\t"), lambda x: strip_all(x))
+    text = spark.read.text(paths)
+    found = (text.select(F.col("_metadata.file_path").alias("file"), names.alias("names"))
+             .where(F.array_contains("names", columns[0])).distinct().collect())
+    by: dict[tuple, list[str]] = {}
+    known: dict[str, tuple] = {}
+    for r in found:
+        if known.setdefault(r["file"], tuple(r["names"])) != tuple(r["names"]):
+            raise ValueError(f"{r['file']}: two header lines")
+        by.setdefault(tuple(r["names"]), []).append(r["file"])
+    headless = text.select(F.col("_metadata.file_path").alias("file")).distinct()
+    if found:
+        headless = headless.where(~F.col("file").isin(list(known)))
+    bad = headless.limit(1).collect()
+    if bad:
+        raise ValueError(f"{bad[0]['file']}: no header line with {columns[0]}")
+    return by
 
 
 def read_facts(spark: SparkSession, paths, strip_value: bool = True,
                columns: Iterable[str] = FACT_COLUMNS) -> DataFrame:
     """Read a fact feed as text.
 
+    Files, folders and globs may be mixed; files are grouped by their header
+    line and each group is one scan, so part files may order their columns
+    differently.  A file without a header is an error; a file listed twice is
+    appended twice.
+
     ``strip_value``: strip the value field too.  The state/metro feed strips
     it explicitly; the national feed's numeric read ignores surrounding
     blanks, which comes to the same, so both feeds use the default.
     """
     columns = list(columns)
-    if isinstance(paths, str):
-        paths = [paths]
-    # one small job per file for its header line; submitted together
-    with ThreadPoolExecutor(max_workers=min(8, len(paths))) as pool:
-        headers = list(pool.map(lambda p: header_names(spark, p), paths))
-    frames = [_read_one(spark, p, columns, h) for p, h in zip(paths, headers)]
+    paths = [paths] if isinstance(paths, str) else list(paths)
+    frames = []
+    for names, files in sorted(files_by_header(spark, paths, columns).items()):
+        scan = (spark.read.schema(fact_schema(names)).option("sep", "\t").option("header", True)
+                .option("enforceSchema", True).option("mode", "PERMISSIVE").csv(sorted(files)))
+        frames.append(scan.select(*[c for c in columns if c in names]))
+    if not frames:
+        return spark.createDataFrame([], fact_schema(columns))
     facts = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), frames)
     missing = [c for c in columns if c not in facts.columns]
     facts = facts.withColumns({c: F.lit(None).cast("string") for c in missing}).select(*columns)
@@ -96,6 +100,8 @@ class LookupSource:
     options: dict = field(default_factory=dict)
     url: str | None = None
     properties: dict = field(default_factory=dict)
+    # JDBC only: partitioned reads by table (column, lowerBound, upperBound, numPartitions)
+    partitions: dict = field(default_factory=dict)
 
     def path(self, name: str) -> str:
         suffix = "" if self.fmt in ("jdbc",) else f".{self.fmt}" if self.fmt != "csv" else ".csv"
@@ -105,7 +111,8 @@ class LookupSource:
 def read_lookup(spark: SparkSession, source: LookupSource, name: str) -> DataFrame:
     """S3: whole-table lookup read."""
     if source.fmt == "jdbc":
-        return spark.read.jdbc(source.url, name, properties=dict(source.properties))
+        return spark.read.jdbc(source.url, name, properties=dict(source.properties),
+                               **source.partitions.get(name, {}))
     reader = spark.read.format(source.fmt).options(**source.options)
     return reader.load(source.path(name))
 

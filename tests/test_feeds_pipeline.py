@@ -67,7 +67,7 @@ def test_feed_to_state_report(spark, tmp_path):
     out = rep.collect()
     a = [r for r in out if r["state_name"] == "Alpha"]
     assert a[0]["pct_change"] == round((112 / 100 - 1) * 100, 2)
-    assert a[0]["job_growth"] == 12.0
+    assert a[0]["abs_change"] == 12.0
     assert a[0]["value_mom"] is None                     # no adjusted series: left pairing
     b = [r for r in out if r["state_name"] == "Beta"]
     # Beta's series is exactly twice Alpha's: equal growth every month, so the

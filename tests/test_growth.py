@@ -29,7 +29,7 @@ def test_mom_gap_padding(spark):
     out = _run(spark, [1.0] * 7, moms)
     assert [r["_f_mom"] for r in out] == [None, None, 0.19999999999999996, None, None, 0.25, 0.19999999999999996]
     assert [r["pct_change_mom"] for r in out] == [None, None, 20.0, None, None, 25.0, 20.0]
-    assert [r["job_growth_mom"] for r in out] == [None, None, None, None, None, None, 3.0]
+    assert [r["abs_change_mom"] for r in out] == [None, None, None, None, None, None, 3.0]
 
 
 def test_rolling_and_yoy_warmup(spark):
@@ -44,12 +44,12 @@ def test_rolling_and_yoy_warmup(spark):
     yoy = [r["pct_change"] for r in out]
     assert yoy[:12] == [None] * 12
     assert out[12]["pct_change"] == round((112 / 100 - 1) * 100, 2)
-    assert out[12]["job_growth"] == 12.0
+    assert out[12]["abs_change"] == 12.0
 
 
 def test_zero_base_is_null(spark):
     out = _run(spark, [1.0] * 3, [0.0, 5.0, 6.0])
-    assert out[1]["_f_mom"] is None and out[1]["job_growth_mom"] is None
+    assert out[1]["_f_mom"] is None and out[1]["abs_change_mom"] is None
     assert out[2]["pct_change_mom"] == 20.0
 
 

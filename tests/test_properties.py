@@ -45,10 +45,10 @@ def test_growth_is_difference_without_gaps(spark):
     out = finish_growth(growth_fractions(cells, KEYS[:3], 2))
     w = out.withColumn("_raw_lag", F.lag("value", 12).over(
         Window.partitionBy(*KEYS[:3]).orderBy("year", "Month")))
-    rows = w.filter(F.col("_raw_lag").isNotNull() & F.col("job_growth").isNotNull()).collect()
+    rows = w.filter(F.col("_raw_lag").isNotNull() & F.col("abs_change").isNotNull()).collect()
     assert rows
     for r in rows:
-        assert r["job_growth"] == round(r["value"] - r["_raw_lag"], 2)
+        assert r["abs_change"] == round(r["value"] - r["_raw_lag"], 2)
 
 
 def test_rank_permutation_and_average_sum(spark):
