@@ -6,7 +6,8 @@ from panelgrowth.llm.embed_dedup import encode, near_duplicates, rotation
 def brute(rows, t=0.98):
     good = [i for i, (_, e, lab) in enumerate(rows) if lab is not None and e and all(x is not None and np.isfinite(x) for x in e)
             and any(e)]
-    unit = {i: np.array(rows[i][1], float) / np.linalg.norm(np.array(rows[i][1], float)) for i in good}
+    scaled = {i: np.array(rows[i][1], float) / np.abs(np.array(rows[i][1], float)).max() for i in good}
+    unit = {i: x / np.linalg.norm(x) for i, x in scaled.items()}
     links, par = [0] * len(rows), list(range(len(rows)))
 
     def find(x):

@@ -1,8 +1,18 @@
+import random
+
 import numpy as np
 
 from panelgrowth.llm.quality_classifier import fit_votes, quality_classifier
 
 
+def prose(seed, n):
+    """Prose-like text without repeated passages."""
+    rng = random.Random(seed)
+    small = "the of and to in is that it for was with as on are".split()
+    word = lambda: rng.choice(small) if rng.random() < 0.4 else "".join(rng.choice("abdefilnorst") for _ in range(rng.randint(3, 8)))
+    return " ".join(" ".join(word() for _ in range(9)).capitalize() + "." for _ in range(n))
+
+
 def test_fit_votes_learns_accuracies():
     rng = np.random.default_rng(2)
     truth = rng.random(20_000) < 0.7
@@ -29,9 +39,8 @@ def test_held_out_accuracy(spark):
 
 
 def test_edges(docs_of):
-    prose = "The rain in the north was heavy and it fell on the hills. From there to the sea is a long way. "
-    rows = [(i, prose * 3 + f"End of text {i}.", "en") for i in range(60)] + [(100 + i, "JUNK!! " * 80, "en") for i in range(20)]
-    rows += [(200, None, None), (201, "", "en"), (202, " ", "xx"), (None, prose, "en"), (3, rows[3][1], "en"), (204, prose * 2000, "en")]
+    rows = [(i, prose(i, 12), "en") for i in range(60)] + [(100 + i, "JUNK!! " * 80, "en") for i in range(20)]
+    rows += [(200, None, None), (201, "", "en"), (202, " ", "xx"), (None, prose(90, 9), "en"), (3, rows[3][1], "en"), (204, prose(91, 2000), "en")]
     got = [(r["doc_id"], r["score"], r["kept"]) for r in quality_classifier(docs_of(rows)).collect()]
     assert len(got) == len(rows) and all(0 <= s <= 1 for _, s, _ in got)
     by = {}

@@ -1,4 +1,5 @@
 import math
+import random
 import re
 from collections import Counter
 
@@ -20,11 +21,16 @@ def base(text):
             n < 20 or 100 * len(covered) > 30 * n)
 
 
-PROSE = "The rain in the north was heavy and it fell on the hills. From there to the sea is a long way, as it was. "
+def prose(seed, n):
+    """Prose-like text without repeated passages."""
+    rng = random.Random(seed)
+    small = "the of and to in is that it for was with as on are".split()
+    word = lambda: rng.choice(small) if rng.random() < 0.4 else "".join(rng.choice("abdefilnorst") for _ in range(rng.randint(3, 8)))
+    return " ".join(" ".join(word() for _ in range(9)).capitalize() + "." for _ in range(n))
 
 
 def _rows():
-    rows = [(i, " ".join(f"{PROSE}w{i}x{k} went to the town and to the market." for k in range(6)), "en") for i in range(30)]
+    rows = [(i, prose(i, 15), "en") for i in range(30)]
     rows += [(100, None, "en"), (101, "", None), (102, " \n\t ", "xx"), (103, "a b c d e f g h " * 30, "en"),
              (104, "one\ntwo\none\n \none two", "en"), (105, " ".join("SHOUT!!" + str(i) for i in range(200)), "en"),
              (106, " | ".join(f"cell{i}" for i in range(300)), "en"), (107, "#*$%&|<> é ü\U0001F600 \x0bx\x0cy\rz", "de"),
