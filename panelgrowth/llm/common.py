@@ -15,6 +15,8 @@ from panelgrowth.sinks.writers import scratch_path
 WORD = r"[^\x20\x09-\x0D]+"
 #: Fixed value: a run of word separators.
 GAP = r"[\x20\x09-\x0D]+"
+#: Edges of a task of the union-find.
+EDGES_OF_TASK = 250_000
 
 
 def written(df: DataFrame, label: str) -> DataFrame:
@@ -84,17 +86,19 @@ def components(edges: DataFrame, a: str, b: str, kind: str = "long") -> DataFram
     e = edges.select(F.col(a).cast(kind).alias("u"), F.col(b).cast(kind).alias("v"))
     e = e.where("u IS NOT NULL AND v IS NOT NULL AND u <> v")
     e = pinned(e.select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).distinct())
+    # a round makes at most twice the rows: tasks (and shuffle files) by the state's size
+    parts = max(8, 1 + e.count() // EDGES_OF_TASK)
     state = None
     while True:
         # large star: every larger neighbour of u (and u) points at u's least neighbour
         both = e.unionByName(e.select(F.col("v").alias("u"), F.col("u").alias("v")))
         least = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
         large = (both.join(least, "u").where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v"))
-                 .where("u <> v").distinct())
+                 .where("u <> v").coalesce(parts))
         # small star: u and its smaller neighbours point at the least of them
         least = large.groupBy("u").agg(F.min("v").alias("m"))
-        small = large.join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).where("u <> v")
-        e = pinned(small.unionByName(least.select("u", F.col("m").alias("v"))).distinct())
+        small = large.join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).where("u <> v").coalesce(parts)
+        e = pinned(small.unionByName(least.select("u", F.col("m").alias("v")).coalesce(parts)).distinct().coalesce(parts))
         now = e.agg(F.count(F.lit(1)), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).head()
         if now == state:
             break
