@@ -77,13 +77,46 @@ def over_cohort(panel: DataFrame, entity: str = "area_name", size: str = "value"
 
     The qualifying names are derived and applied as a left-semi join, so the
     name list never passes through the driver.  The list (one row per area)
-    is broadcast behind a row-count check: a shuffle join would leave the
-    rows hashed by area, and the aggregation and windows after it would
-    reuse that, putting a hot area in one task.
+    is written once and broadcast behind a size check; beyond it the rows
+    are dealt out by the full cell key after the join, so that a hot area is
+    not left in one task.
     """
-    from panelgrowth.operators.enrich import sized_broadcast
-    names = over_cohort_names(panel, size, threshold, industry, entity)
-    return panel.join(sized_broadcast(names), entity, "left_semi")
+    from panelgrowth.sinks.writers import materialize
+    names = materialize(over_cohort_names(panel, size, threshold, industry, entity), "cohort_names")
+    joined, spread = cohort_join(panel, names, [entity], "left_semi")
+    cell = [c for c in (entity, "supersector_name", "industry_name", "year", "Month") if c in panel.columns]
+    return joined.repartition(*cell) if spread else joined
+
+
+def cohort_join(df: DataFrame, names: DataFrame, on: Sequence[str],
+                how: str) -> tuple[DataFrame, bool]:
+    """Join ``df`` to a written list of names: broadcast within the bounds.
+    Beyond them it is a shuffle join, and True says that the rows are left hashed
+    by name: the caller must deal them out anew by a finer key, or a hot name
+    stays in one task."""
+    from panelgrowth.operators.enrich import within_bounds
+    if within_bounds(names):
+        return df.join(F.broadcast(names), list(on), how), False
+    return df.join(names, list(on), how), True
+
+
+def over_cells(adjusted: DataFrame, keys: Sequence[str], size: str = "value",
+               threshold: float = 1000.0, industry: str = TOTAL_NONFARM,
+               entity: str = "area_name", value: str = "value") -> DataFrame:
+    """A4, A7, F7, J5 in one pass over the facts: the group sums of
+    ``single_sums(over_cohort(...))``.  The aggregation also carries the largest
+    qualifying size of each cell; its cells are written once, and the
+    qualifying names are taken from them."""
+    from panelgrowth.sinks.writers import materialize
+    keys = list(keys)
+    counts = not_equal("area_name", STATEWIDE) & (F.col("industry_name") == F.lit(industry))
+    cells = materialize(adjusted.groupBy(*keys).agg(
+        F.sum(F.col(value)).alias("value"), F.max(F.when(counts, F.col(size))).alias("_top")), "over_cells")
+    names = cells.filter(F.col("_top") > F.lit(threshold)).select(entity).distinct()
+    joined, spread = cohort_join(cells.dropna(subset=keys).drop("_top"), names, [entity], "left_semi")
+    if spread:
+        joined = joined.repartition(*[c for c in keys if c not in ("year", "Month")])
+    return joined.withColumn("value_mom", F.col("value"))
 
 
 def under_rows(panel: DataFrame, size: str = "value", threshold: float = 1000.0,

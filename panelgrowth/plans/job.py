@@ -11,9 +11,10 @@ Scale notes
 * The series lookup is filtered to the flags the panels keep (seasonal U/S,
   employment data type) before its size check, so a lookup that is too big
   to broadcast whole is often small enough once filtered.
-* The state/metro panel feeds four sections; it is written once as a table
-  under the session's shared checkpoint folder and read back, so every
-  section starts from a short lineage that survives executor loss.
+* The four state/metro sections come from one aggregation of the panel,
+  whose cells are written once under the session's shared checkpoint folder
+  and read back.  Fewer sections, or the frame scope, write the panel there
+  instead.
 """
 
 from __future__ import annotations
@@ -33,7 +34,7 @@ from panelgrowth.plans import reports as R
 from panelgrowth.plans.panels import (
     enrich_national, enrich_state_metro, national_panel, state_metro_panel,
 )
-from panelgrowth.sinks.writers import SinkTarget, scratch_path, write_reports, write_table
+from panelgrowth.sinks.writers import SinkTarget, materialize, write_reports, write_table
 from panelgrowth.sources.feeds import LookupSource, date_ref_row, read_facts, read_lookup
 
 # The feed files the job reads (the state/metro file and the
@@ -100,17 +101,6 @@ def build_panels(spark: SparkSession, landing_dir: str, lookups: LookupSource,
             build_national_panel(spark, feeds["ce"], lookups))
 
 
-def materialize(df: DataFrame, label: str, partition_by: list[str] | None = None) -> DataFrame:
-    """Write ``df`` once under the shared checkpoint folder and read it back
-    (optionally partitioned, so later filters on those columns prune)."""
-    path = scratch_path(df.sparkSession, label)
-    writer = df.write.mode("overwrite")
-    if partition_by:
-        writer = writer.partitionBy(*partition_by)
-    writer.parquet(path)
-    return df.sparkSession.read.parquet(path)
-
-
 def concurrently(*thunks):
     """Run independent Spark actions from separate threads (Spark schedules
     jobs from different threads side by side); returns their results."""
@@ -131,31 +121,36 @@ def run_monthly(spark: SparkSession, sm_panel: DataFrame | None, ce_panel: DataF
     """M7 + M8 + K6: compute the sections and replace the tables.
 
     Independent work runs side by side: the two panels are materialized
-    together, then the national branch and the state/metro branch are built
-    and written together."""
+    together (the state/metro panel only where several passes read it), then
+    the national branch and the state/metro branch are built and written
+    together."""
     sections = list(sections)
     sm_sections = [x for x in sections if x != "national"]
     if materialize_panels:
+        # one pass reads the state/metro panel once: nothing to write for it
+        keep_sm = sm_panel is not None and sm_sections and not R.one_pass(sections, scope, fused)
         sm_panel, ce_panel = concurrently(
-            (lambda: materialize(sm_panel, "sm_panel")) if sm_panel is not None and sm_sections
-            else (lambda: sm_panel),
+            (lambda: materialize(sm_panel, "sm_panel")) if keep_sm else (lambda: sm_panel),
             (lambda: materialize(ce_panel, "ce_panel")) if ce_panel is not None and "national" in sections
             else (lambda: ce_panel))
 
     def branch(which: list[str]) -> dict[str, DataFrame]:
         built = R.run(sm_panel, ce_panel, as_of, which, scope,
                       over_threshold, under_threshold, over_size, rank_strategy=rank_strategy,
-                      keep=materialize, fused=fused)
+                      keep=materialize, fused=fused, raw_keys=index or sort)
         concurrently(*[
             (lambda n=n, d=d: write_reports({n: d}, target, index=index,
                                             entity_parts=built.parts, sort=sort))
             for n, d in built.tables.items()])
         return built.tables
 
+    dated = date_ref_row(spark, as_of)
+    if index:
+        dated = dated.select(F.lit(0).cast("long").alias("index"), *dated.columns)
     results = concurrently(
         (lambda: branch(["national"])) if "national" in sections else None,
         (lambda: branch(sm_sections)) if sm_sections else None,
-        lambda: write_table(date_ref_row(spark, as_of), "date_ref_t", target))
+        lambda: write_table(dated, "date_ref_t", target))
     tables: dict[str, DataFrame] = {}
     for r in results:
         if isinstance(r, dict):

@@ -26,8 +26,9 @@ from pyspark.sql import functions as F
 from panelgrowth.functions.clean import remove, ytd_months_for
 from panelgrowth.operators.filters import ADJUSTED, not_statewide, statewide_only
 from panelgrowth.operators.growth import finish_growth, growth_fractions
-from panelgrowth.operators.pairing import over_cohort, paired_sums, single_sums, under_rows
+from panelgrowth.operators.pairing import over_cells, paired_sums, under_rows
 from panelgrowth.operators.ranks import MAX_WINDOW_GROUP_ROWS, peer_ranks
+from panelgrowth.sinks.writers import RAW_KEYS
 
 # The nation's name and the output columns.
 NATION = "United States"
@@ -88,8 +89,12 @@ def area_metrics(cells: DataFrame, entity: str, k: int, mom_ties: str = "first",
 
 
 def national_report(ce_panel: DataFrame, as_of: _dt.date | None = None,
-                    ytd_months: int | None = None, scope: str = "series") -> DataFrame:
-    """M1: nation-wide cells, inner pairing, no ranks (blank text)."""
+                    ytd_months: int | None = None, scope: str = "series",
+                    raw_keys: bool = False) -> DataFrame:
+    """M1: nation-wide cells, inner pairing, no ranks (blank text).
+
+    The source job orders the table by the names before their clean-up:
+    ``raw_keys`` adds them (``RAW_KEYS``) for the writer's index and order."""
     k = _k(ytd_months, as_of)
     cells = paired_sums(ce_panel, CELL_TAIL, how="inner")
     df = finish_growth(_fractions(cells, ["supersector_name", "industry_name"], k, scope))
@@ -98,13 +103,16 @@ def national_report(ce_panel: DataFrame, as_of: _dt.date | None = None,
         "rank_ytd": blank, "rank_ann": blank, "rank": blank, "rank_mom": blank,
         "area_name": F.lit(NATION), "state_name": F.lit(NATION),
     })
+    raw = list(RAW_KEYS.values()) if raw_keys else []
+    if raw_keys:
+        df = df.withColumns({r: F.col(c) for c, r in RAW_KEYS.items()})
     # names are cleaned after the sums and metrics, as in the source job
     goods = ("Goods-Producing", "Goods Producing")
     df = df.withColumns({
         c: F.replace(remove(c, "\r"), F.lit(goods[0]), F.lit(goods[1]))
         for c in ("industry_name", "supersector_name")
     })
-    return df.select(*NATIONAL_COLUMNS)
+    return df.select(*NATIONAL_COLUMNS, *raw)
 
 
 def state_report(panel: DataFrame, as_of=None, ytd_months=None, scope="series",
@@ -126,10 +134,10 @@ def metro_over_report(panel: DataFrame, as_of=None, ytd_months=None, scope="seri
                       rank_strategy: str = "window") -> DataFrame:
     """M4: all rows of the areas with any adjusted 'Total Nonfarm' row above
     the threshold.  Both measures come from the adjusted rows (as in the
-    source job); ``rank_mom`` averages ties."""
+    source job); ``rank_mom`` averages ties.  The cells are written while
+    this is called, so the facts are read once."""
     adjusted = panel.filter(F.col("seasonal") == ADJUSTED)
-    cells = single_sums(over_cohort(adjusted, "area_name", size, threshold),
-                        ["area_name"] + CELL_TAIL)
+    cells = over_cells(adjusted, ["area_name"] + CELL_TAIL, size, threshold)
     return area_metrics(cells, "area_name", _k(ytd_months, as_of), "average", scope, rank_strategy)
 
 
@@ -169,6 +177,11 @@ def rank_strategies(sm_panel: DataFrame, max_window_rows: int = MAX_WINDOW_GROUP
     return {"state_name": pick(row["s"]), "area_name": pick(row["a"])}
 
 
+def one_pass(sections: Iterable[str], scope: str = "series", fused: bool = True) -> bool:
+    """Whether ``run`` builds the state/metro sections in one pass over the panel."""
+    return fused and scope == "series" and SM_SECTIONS <= set(sections)
+
+
 @dataclass
 class Sections:
     """Sink tables by name, and the appended parts of combined tables."""
@@ -182,7 +195,7 @@ def run(sm_panel: DataFrame | None, ce_panel: DataFrame | None, as_of: _dt.date,
         over_threshold: float = 1000.0, under_threshold: float = 1000.0,
         over_size: str = "value", rank_strategy: str = "auto",
         keep: Callable[..., DataFrame] | None = None,
-        fused: bool = True) -> Sections:
+        fused: bool = True, raw_keys: bool = False) -> Sections:
     """M7: build the requested sections.  Sink tables:
     ``national_rankings_t``, ``state_rankings``, ``msa_rankings``,
     ``msa_rankings_under``, ``msa_rankings_over``.  ``state_rankings`` holds
@@ -193,8 +206,9 @@ def run(sm_panel: DataFrame | None, ce_panel: DataFrame | None, as_of: _dt.date,
     With ``fused`` (series scope, all four state/metro sections) those
     sections come from one pass (``fused.py``).  ``keep(df, label)`` (for
     example a write to the shared folder and read back) is applied to the
-    result that feeds several tables, so it is computed once.  The
-    state/metro panel feeds every section: materialize it before calling.
+    result that feeds several tables, so it is computed once.  That pass reads
+    the state/metro panel once; without it the panel feeds every section, so
+    materialize it before calling.  ``raw_keys``: see ``national_report``.
     """
     sections = list(sections)
     unknown = sorted(set(sections) - set(SECTIONS))
@@ -203,23 +217,22 @@ def run(sm_panel: DataFrame | None, ce_panel: DataFrame | None, as_of: _dt.date,
     res = Sections()
     out = res.tables
     if "national" in sections:
-        out["national_rankings_t"] = national_report(ce_panel, as_of, scope=scope)
+        out["national_rankings_t"] = national_report(ce_panel, as_of, scope=scope, raw_keys=raw_keys)
     sm_sections = set(sections) - {"national"}
     if not sm_sections:
         return res
-    if rank_strategy == "auto":
-        strat = rank_strategies(sm_panel)
-    else:
-        strat = {"state_name": rank_strategy, "area_name": rank_strategy}
     states = metros = under = over = None
-    if fused and scope == "series" and sm_sections == SM_SECTIONS:
+    if one_pass(sections, scope, fused):
         from panelgrowth.plans.fused import state_metro_sections
-        one = "sorted" if "sorted" in strat.values() else "window"
         levels = state_metro_sections(sm_panel, _k(None, as_of), over_threshold, under_threshold,
-                                      over_size, rank_strategy=one, keep=keep)
+                                      over_size, rank_strategy=rank_strategy, keep=keep)
         states, under, over = levels["state"], levels["under"], levels["over"]
         metros = levels["msa"].withColumnRenamed("area_name", "state_name")
     else:
+        if rank_strategy == "auto":
+            strat = rank_strategies(sm_panel)
+        else:
+            strat = {"state_name": rank_strategy, "area_name": rank_strategy}
         if "states" in sections:
             states = state_report(sm_panel, as_of, scope=scope, rank_strategy=strat["state_name"])
         if "msa" in sections:

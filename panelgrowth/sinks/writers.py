@@ -49,6 +49,17 @@ def scratch_path(spark: SparkSession, label: str) -> str:
     return f"{checkpoint_dir(spark).rstrip('/')}/tables/{label}-{uuid.uuid4().hex}"
 
 
+def materialize(df: DataFrame, label: str, partition_by: list[str] | None = None) -> DataFrame:
+    """Write ``df`` once under the shared checkpoint folder and read it back
+    (optionally partitioned, so later filters on those columns prune)."""
+    path = scratch_path(df.sparkSession, label)
+    writer = df.write.mode("overwrite")
+    if partition_by:
+        writer = writer.partitionBy(*partition_by)
+    writer.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def with_position_index(df: DataFrame, sort_keys: Sequence[str], name: str = "index") -> DataFrame:
     """K7: 0-based position in ``sort_keys`` order as column ``name``."""
     from panelgrowth.operators.frame import frame_index
@@ -69,10 +80,13 @@ def write_table(df: DataFrame, name: str, target: SinkTarget, batchsize: int | N
 
 
 KEY_ORDER = ("state_name", "area_name", "supersector_name", "industry_name", "year", "Month")
+# names before their clean-up, by which a table is ordered where it carries them;
+# they are not written
+RAW_KEYS = {"supersector_name": "_raw_supersector_name", "industry_name": "_raw_industry_name"}
 
 
 def _keys(df: DataFrame) -> list[str]:
-    return [c for c in KEY_ORDER if c in df.columns]
+    return [RAW_KEYS[c] if RAW_KEYS.get(c) in df.columns else c for c in KEY_ORDER if c in df.columns]
 
 
 def write_reports(reports: dict[str, DataFrame], target: SinkTarget, index: bool = False,
@@ -96,7 +110,7 @@ def write_reports(reports: dict[str, DataFrame], target: SinkTarget, index: bool
                 df = df.orderBy("_part", *_keys(df)).drop("_part")
         elif sort:
             df = df.orderBy(*_keys(df))
-        write_table(df, name, target, BATCH_SIZES.get(name))
+        write_table(df.drop(*RAW_KEYS.values()), name, target, BATCH_SIZES.get(name))
 
 
 def write_feed_tsv(df: DataFrame, path: str, files: int | None = None) -> None:
