@@ -432,6 +432,30 @@ def q_national_report_frame(spark, sf):
     return R.national_report(_national_panel(spark, sf), AS_OF, scope="frame")
 
 
+def q_national_index(spark, sf):
+    """K7: numbered by the names before their clean-up, which here merges two."""
+    from panelgrowth.sinks.writers import SinkTarget, scratch_path, write_reports
+    name = F.col("supersector_name")
+    panel = _national_panel(spark, sf).withColumn(
+        "supersector_name", F.when(name == "BUILDING", "Goods-Producing")
+        .when(name == "MACHINERY", "Goods Producing\r").otherwise(name))
+    target = SinkTarget("parquet", scratch_path(spark, "national"))
+    write_reports({"national_rankings_t": R.national_report(panel, AS_OF, raw_keys=True)}, target, index=True)
+    return spark.read.parquet(target.path("national_rankings_t"))
+
+
+def _monthly_table(table: str):
+    """K1, K3-K6, M8: a table of the whole monthly job, read back."""
+    def query(spark, sf):
+        from panelgrowth.plans.job import run_monthly
+        from panelgrowth.sinks.writers import SinkTarget, scratch_path
+        target = SinkTarget("parquet", scratch_path(spark, "monthly"))
+        run_monthly(spark, _panel(spark, sf), _national_panel(spark, sf), target, AS_OF,
+                    over_threshold=OVER_THRESHOLD, under_threshold=UNDER_THRESHOLD, over_size="size")
+        return spark.read.parquet(target.path(table))
+    return query
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "national_report": q_national_report,
     "state_report": q_state_report,
@@ -488,6 +512,10 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "rank_first_sorted": q_rank_first_sorted,
     "rank_average_sorted": q_rank_average_sorted,
     "national_report_frame": q_national_report_frame,
+    "national_index": q_national_index,
+    "monthly_msa": _monthly_table("msa_rankings"),
+    "monthly_under": _monthly_table("msa_rankings_under"),
+    "monthly_over": _monthly_table("msa_rankings_over"),
 }
 
 
@@ -667,6 +695,11 @@ FROM (SELECT * RENAME (area_name AS state_name) FROM ({O.report_sql('area_name',
         "feed_metro_over_report": O.report_sql(
             "area_name", _over_where("value", FEED_OVER_THRESHOLD), "left", K, "average", value_from="S"),
         "feed_national_report": O.national_sql(K),
+        "national_index": O.national_index_sql(K),
+        "monthly_msa": "SELECT * RENAME (area_name AS state_name) FROM ("
+                       + O.report_sql("area_name", NOT_STATEWIDE_SQL, "left", K, "first") + ")",
+        "monthly_under": O.report_sql("area_name", _under_where(), "left", K, "average"),
+        "monthly_over": O.report_sql("area_name", _over_where(), "left", K, "average", value_from="S"),
         "rank_first_sorted": _block("state_name", STATEWIDE_SQL,
                                     f"{ss}, {O.rank_first_sql('f_yoy', 'state_name')} AS rank"),
         "rank_average_sorted": _block("area_name", NOT_STATEWIDE_SQL,

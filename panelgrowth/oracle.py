@@ -188,6 +188,22 @@ def report_sql(entity: str, where: str, how: str, k: int, mom_ties: str,
             f"{metric_ctes(keys, k, order, frame)}\nSELECT\n  {sel}\nFROM m2")
 
 
+def national_index_sql(k: int) -> str:
+    """National table over names that the clean-up changes and merges, numbered
+    by the names before it."""
+    renamed = """rpanel AS (
+  SELECT * REPLACE (CASE supersector_name WHEN 'BUILDING' THEN 'Goods-Producing'
+    WHEN 'MACHINERY' THEN 'Goods Producing' || chr(13) ELSE supersector_name END AS supersector_name)
+  FROM npanel
+)"""
+    sql = national_sql(k).replace(f"{BASE},\n", f"{BASE},\n{renamed},\n", 1)
+    head, tail = sql.split(renamed)
+    tail = tail.replace("FROM npanel", "FROM rpanel")
+    tail = tail.replace("\nSELECT\n  ", "\nSELECT\n  row_number() OVER (ORDER BY m2.supersector_name, "
+                        "m2.industry_name, m2.year, m2.Month) - 1 AS index,\n  ")
+    return head + renamed + tail
+
+
 def national_sql(k: int, frame: bool = False) -> str:
     keys = ["supersector_name", "industry_name"]
     order = "supersector_name, industry_name, year, Month"

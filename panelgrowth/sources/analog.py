@@ -241,10 +241,11 @@ def write_analog_landing(spark: SparkSession, sf_dir: str) -> tuple[str, "Lookup
     base = scratch_path(spark, "landing")
     feeds = analog_feeds(spark, sf_dir)
     sm_facts = materialize(feeds["sm_facts"], "sm_facts")
-    ce_facts = materialize(feeds["ce_facts"], "ce_facts")
-    write_feed_tsv(sm_facts, f"{base}/{SM_FILES[0]}.txt", files=1)
+    # by file, so each file's write reads its own rows only
+    ce_facts = materialize(feeds["ce_facts"], "ce_facts", partition_by=["_file"])
+    write_feed_tsv(sm_facts, f"{base}/{SM_FILES[0]}.txt")
     for i, name in enumerate(CE_FILES):
-        write_feed_tsv(ce_facts.filter(F.col("_file") == i).drop("_file"), f"{base}/{name}.txt", files=1)
+        write_feed_tsv(ce_facts.filter(F.col("_file") == i).drop("_file"), f"{base}/{name}.txt")
     lookups = LookupSource("parquet", f"{base}/lookups")
     for name, df in feeds.items():
         if not name.endswith("_facts"):
