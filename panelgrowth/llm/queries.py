@@ -30,6 +30,10 @@ def op2_remove_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
     return repeats.remove_repeats(_read(spark, sf_dir, "documents"))
 
 
+def op2_maximal_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repeats.maximal_repeats(_read(spark, sf_dir, "documents"))
+
+
 def op3_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules.quality_rules(_read(spark, sf_dir, "documents")).drop("js_chars", "js_words")
 
@@ -64,7 +68,8 @@ def op10_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (
-        op1_mix_sources, op2_remove_repeats, op3_quality_rules, op4_token_files, op5_best_fit_packing,
-        op6_warc_archives, op7_embedding_near_dup, op8_line_dedup, op9_quality_classifier, op10_ngram_join)}
+        op1_mix_sources, op2_remove_repeats, op2_maximal_repeats, op3_quality_rules, op4_token_files,
+        op5_best_fit_packing, op6_warc_archives, op7_embedding_near_dup, op8_line_dedup,
+        op9_quality_classifier, op10_ngram_join)}
 
 ORACLES: dict[str, str] = {}

@@ -22,6 +22,15 @@ several positions.  A gram beyond ``HOT`` items is not gathered: equal
 surroundings are reduced map-side to one, and the strings of those are hashed
 and counted by an aggregation.
 
+``maximal_repeats`` returns the groups.  A maximal repeat is found once, at the
+anchor of its first ``MIN_BYTES`` bytes, from which it goes at most ``MIN_BYTES -
+GRAM`` bytes to the left; to the right all bytes are compared that may belong to
+one.  Anchors with the same bytes before them everywhere begin none and are
+dropped first, and what follows is cut in the same way at lengths of four times
+each other.  The intervals of what follows are each split by the
+intervals of what stands before.  Copies of a text count as places; a text's
+start and end differ from all others.
+
 Defined results: a NULL text is empty; texts below ``MIN_BYTES`` bytes keep all
 bytes.  Rows that repeat a text (with or without the id) repeat each other's
 strings, so a long one loses all bytes in every row.  An empty table gives an
@@ -46,6 +55,8 @@ MIN_BYTES = 400
 GRAM = 80
 #: Items of a gram that one task takes; beyond it strings are counted instead.
 HOT = 2_000
+#: Ranges of the bytes before a hot gram that are handled apart.
+SLICES = 16
 #: Bytes of text handled at once, and starting positions of a block.
 CHUNK = 1 << 22
 BLOCK = 1 << 19
@@ -112,17 +123,21 @@ def text_key(raw: bytes) -> bytes:
 
 
 def repeated_grams(texts: DataFrame, size: int, gram: int) -> DataFrame:
-    """gram hashes that occur as anchors at two places or more."""
+    """gram hashes that occur as anchors at two places or more.  A second column
+    of ``texts`` is the number of a text's copies, which are places as well."""
 
     def find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for _, data, offsets in _chunks(batch.column(0)):
+            for k, data, offsets in _chunks(batch.column(0)):
                 pos, key, _, _ = anchors(data, offsets, size, gram)
                 doc = np.searchsorted(offsets, pos, "right") - 1
                 raw = data.tobytes()
                 name = np.array([int.from_bytes(text_key(raw[a:b])[:8], "little") for a, b in
                                  zip(offsets[:-1].tolist(), offsets[1:].tolist())], np.uint64)
                 place = wordhash.mix64(name[doc] + (pos - offsets[doc]).astype(np.uint64)) if len(pos) else key
+                if batch.num_columns > 1:
+                    more = batch.column(1).to_numpy()[k + doc] > 1
+                    key, place = np.concatenate((key, key[more])), np.concatenate((place, ~place[more]))
                 yield pa.record_batch([pa.array(key.view(np.int64)), pa.array(place.view(np.int64))], names=["gram", "place"])
 
     places = texts.mapInArrow(find, "gram long, place long")
@@ -262,7 +277,7 @@ class IntervalTree:
 def _groups(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[int, list]]:
     """(gram, its rows) of rows sorted by gram."""
     now, rows = None, []
-    for batch in batches:
+    for batch in (b.slice(k, 256) for b in batches for k in range(0, b.num_rows, 256)):
         for row in zip(*(c.to_pylist() for c in batch.columns)):
             if row[0] != now:
                 if rows:
@@ -389,28 +404,220 @@ def repeat_spans(texts: DataFrame, size: int = MIN_BYTES, gram: int = GRAM, hot:
         spans_by_count(found.join(many, "gram", "left_semi"), size, gram))
 
 
-def maximal_repeats(docs: DataFrame, size: int = MIN_BYTES, gram: int = GRAM,
+def _reach(batch: pa.RecordBatch, held: np.ndarray, size: int, gram: int) -> Iterator[tuple]:
+    """(bytes, row, text's start and end, position, gram, low, high, end of the
+    covered span and one byte more) of the anchors of the given grams inside
+    repeats.  The columns are text, n and spans."""
+    for k, data, offsets in _chunks(batch.column(0)):
+        pos, key, lo, hi = anchors(data, offsets, size, gram)
+        on = bloom.bloom_hits(held, key) if len(pos) else np.zeros(0, bool)
+        pos, key, lo, hi = pos[on], key[on], lo[on], hi[on]
+        doc = np.searchsorted(offsets, pos, "right") - 1
+        raw, now = data.tobytes(), -1
+        for p, g, a, b, d in zip(pos.tolist(), key.view(np.int64).tolist(), lo.tolist(), hi.tolist(), doc.tolist()):
+            if d != now:
+                now, begin, end = d, int(offsets[d]), int(offsets[d + 1])
+                spans = merge_spans([(x["start"], x["end"]) for x in batch.column(2)[k + d].as_py()])
+                starts = [x[0] for x in spans]
+            near = bisect_left(starts, p - begin + 1) - 1
+            if near >= 0 and spans[near][1] >= p - begin + gram:
+                yield raw, k + d, begin, end, p, g, a, b, min(begin + spans[near][1] + 1, end)
+
+
+def _levels(raw: bytes, p: int, g: int, stop: int, size: int, gram: int) -> Iterator[tuple[int, int]]:
+    """(end, name) of the strings of 0, size, 4 size, 16 size ... bytes after a gram."""
+    h, at, n = hashlib.blake2b(g.to_bytes(8, "little", signed=True), digest_size=8), p + gram, 0
+    while p + gram + n <= stop:
+        h.update(raw[at:p + gram + n])
+        at = p + gram + n
+        yield at, int.from_bytes(h.digest(), "little", signed=True)
+        n = 4 * n or size
+
+
+def left_diverse(texts: DataFrame, grams: np.ndarray, size: int, gram: int) -> DataFrame:
+    """Names of the strings after the grams (``_levels``) whose places differ in
+    what stands before the gram, as far as a string can start there (a text's
+    start differs from all others).  No maximal repeat has its first anchor at
+    a gram and goes on through another string."""
+    shared = texts.sparkSession.sparkContext.broadcast(grams)
+
+    def sides(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            n = batch.column(1).to_numpy()
+            names, side = [], []
+            for raw, row, begin, end, p, g, _, b, stop in _reach(batch, shared.value, size, gram):
+                if p - b > begin:
+                    own = [raw[p - b - 1:p]]
+                else:
+                    own = [b"start" + bytes([c]) + raw[begin:end] for c in range(min(int(n[row]), 2))]
+                own = [int.from_bytes(text_key(x)[:8], "little", signed=True) for x in own]
+                for _, name in _levels(raw, p, g, stop, size, gram):
+                    names += [name] * len(own)
+                    side += own
+                if len(names) >= 65536:
+                    yield pa.record_batch([pa.array(names, pa.int64()), pa.array(side, pa.int64())], names=["name", "side"])
+                    names, side = [], []
+            yield pa.record_batch([pa.array(names, pa.int64()), pa.array(side, pa.int64())], names=["name", "side"])
+
+    return (texts.mapInArrow(sides, "name long, side long").groupBy("name")
+            .agg(F.min("side").alias("a"), F.max("side").alias("b")).where("a < b").select("name"))
+
+
+OPENING = ("part long, t binary, n long, position long, low int, high int, before binary, first boolean, "
+           "after binary, last boolean")
+
+
+def openings(texts: DataFrame, grams: np.ndarray, diverse: np.ndarray, size: int, gram: int) -> DataFrame:
+    """The anchors of the given grams inside repeats, where ``diverse`` has them:
+    how many bytes before one a string may start (low to high), one byte more
+    than these (reversed), and the bytes after the gram, as far as a maximal
+    repeat goes and one more.  ``texts`` has the columns text, n and spans."""
+    spark = texts.sparkSession
+    shared, ends = spark.sparkContext.broadcast(grams), spark.sparkContext.broadcast(diverse)
+    names = [x.split()[0] for x in OPENING.split(", ")]
+    kinds = [pa.int64(), pa.binary(), pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.binary(), pa.bool_(),
+             pa.binary(), pa.bool_()]
+
+    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            n = batch.column(1).to_numpy()
+            out, held, now = [], 0, -1
+            for raw, row, begin, end, p, g, a, b, stop in _reach(batch, shared.value, size, gram):
+                if row != now:
+                    now, t = row, text_key(raw[begin:end])
+                far = list(_levels(raw, p, g, stop, size, gram))
+                on = bloom.bloom_hits(ends.value, np.array([x for _, x in far], np.int64).view(np.uint64))
+                if not on[0]:
+                    continue
+                if not on.all():
+                    stop = min(stop, far[int(on.argmin())][0] + 1)
+                out.append((g, t, int(n[row]), p - begin, a, b, raw[max(p - b - 1, begin):p][::-1], p - b == begin,
+                            raw[p + gram:stop], stop == end))
+                held += stop - p
+                if len(out) >= 8192 or held > CHUNK:
+                    yield pa.record_batch([pa.array(c, x) for c, x in zip(zip(*out), kinds)], names=names)
+                    out, held = [], 0
+            if out:
+                yield pa.record_batch([pa.array(c, x) for c, x in zip(zip(*out), kinds)], names=names)
+
+    return texts.mapInArrow(cut, OPENING)
+
+
+def sliced(found: DataFrame, size: int, gram: int) -> DataFrame:
+    """The anchors of hot grams, dealt out: ``SLICES`` ranges of the bytes before
+    the anchor, each with the anchors that share what all its strings have."""
+    extra = size - gram
+    width = -(-(extra + 1) // SLICES)
+
+    def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            out = []
+            for g, t, n, at, a, b, before, first, after, last in zip(*(c.to_pylist() for c in batch.columns)):
+                for j in range(a // width, b // width + 1):
+                    most = min((j + 1) * width - 1, extra)
+                    name = hashlib.blake2b(g.to_bytes(8, "little", signed=True) + bytes([j]) + before[:j * width] + b"|"
+                                           + after[:extra - most], digest_size=8).digest()
+                    out.append((int.from_bytes(name, "little", signed=True), t, n, at, max(a, j * width), min(b, most),
+                                before, first, after, last))
+                    if len(out) >= 1024:
+                        yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*out), batch.schema)],
+                                                         names=batch.schema.names)
+                        out = []
+            if out:
+                yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*out), batch.schema)],
+                                                 names=batch.schema.names)
+
+    return found.mapInArrow(deal, OPENING)
+
+
+def intervals(strings: list[bytes]) -> Iterator[tuple[int, int, int]]:
+    """(depth, first, end) of the common-prefix intervals of sorted strings."""
+    stack: list[tuple[int, int]] = []
+    for k in range(1, len(strings) + 1):
+        depth = common_prefix(strings[k - 1], strings[k]) if k < len(strings) else -1
+        first = k - 1
+        while stack and stack[-1][0] > depth:
+            d, first = stack.pop()
+            yield d, first, k
+        if depth >= 0 and (not stack or stack[-1][0] < depth):
+            stack.append((depth, first))
+
+
+def maximal_groups(items: list[tuple], need: int) -> Iterator[tuple[int, int, list[int]]]:
+    """(left, right, items) of the maximal repeats that begin with this anchor.
+
+    ``items``: low, high, before, first, after, last and the number of places.
+    Each interval of what follows is split by all intervals of what stands
+    before; one whose members part on both sides is a maximal repeat.  A text's
+    start and end differ from all others."""
+    low, high, before, first, after, last, count = (list(x) for x in zip(*items))
+
+    def nodes(members: list[int], side: list[bytes], edge: list[bool]) -> Iterator[tuple[int, list[int]]]:
+        own = [side[i] for i in members]
+        for depth, a, e in intervals(own):
+            yield depth, members[a:e]
+        for k, i in enumerate(members):  # places of equal surroundings part at the text's edge
+            if (count[i] > 1 and edge[i] and (k == 0 or own[k - 1] != own[k])
+                    and (k + 1 == len(own) or not own[k + 1].startswith(own[k]))):
+                yield len(own[k]), [i]
+
+    def parts(members: list[int], side: list[bytes], edge: list[bool], depth: int) -> bool:
+        least, most = min(side[i] for i in members), max(side[i] for i in members)
+        return common_prefix(least, most) == depth and (
+            len(least) > depth or any(edge[i] for i in members if len(side[i]) == depth))
+
+    most = max(high)
+    order = sorted(range(len(items)), key=after.__getitem__)
+    for right, held in nodes(order, after, last):
+        if most + right < need:
+            continue
+        for left, own in nodes(sorted(held, key=before.__getitem__), before, first):
+            if (left + right >= need and low[own[0]] <= left <= high[own[0]]
+                    and parts(own, before, first, left) and parts(own, after, last, right)):
+                yield left, right, own
+
+
+def maximal_repeats(docs: DataFrame, size: int = MIN_BYTES, gram: int = GRAM, hot: int = HOT,
                     bloom_bits: int = bloom.BITS) -> DataFrame:
-    """repeat (id), length, t, start: the groups of maximal repeats with all
-    their occurrences, as seen around each anchor gram (a repeat is followed at
-    most ``size - gram`` bytes to either side of the gram; a longer one shows
-    as overlapping groups)."""
-    found = found_contexts(docs.select(F.col("text").cast("string").alias("text")), size, gram, bloom_bits)
+    """repeat (id), length, t, start, doc_id: the maximal repeats of ``size``
+    bytes at least, of any length, each once, with all their occurrences in all
+    rows.  A repeat is found at the anchor of its first ``size`` bytes."""
+    d = only(docs, doc_id=("doc_id", "long"), text=("text", "string")).where(F.octet_length("text") >= size)
+    d = d.withColumn("t", F.unhex(F.substring(F.sha2("text", 256), 1, 32)))
+    rows = written(d.select("doc_id", "t"), "repeats-rows")
+    texts = written(d.groupBy("t").agg(F.min("text").alias("text"), F.count(F.lit(1)).alias("n")), "repeats-distinct")
+    spans = repeat_spans(texts.select("text"), size, gram, hot, bloom_bits).unionByName(
+        texts.where("n > 1").select("t", F.lit(0).cast("long").alias("start"), F.octet_length("text").cast("long").alias("end")))
+    spans = written(spans.groupBy("t").agg(F.collect_set(F.struct("start", "end")).alias("spans")), "repeats-spans")
+    inside = written(texts.join(spans, "t").select("text", "n", "spans"), "repeats-inside")
+    grams = written(repeated_grams(texts.select("text", "n"), size, gram), "repeats-grams")
+    grams = bloom.bloom_filter(grams, bloom_bits)
+    diverse = bloom.bloom_filter(written(left_diverse(inside, grams, size, gram), "repeats-diverse"), bloom_bits)
+    found = written(openings(inside, grams, diverse, size, gram), "repeats-openings")
+    many = written(found.groupBy("part").count().where(F.col("count") > hot).select("part"), "repeats-hot")
+    dealt = found.join(many, "part", "left_anti").unionByName(
+        sliced(found.join(many, "part", "left_semi"), size, gram))
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for g, rows in _groups(batches):
-            before, after, places = _items(rows)
-            tree = IntervalTree(before, after, [len(p) > 1 for p in places], size - gram, groups=True)
-            for k, (a, b, items) in enumerate(tree.groups):
-                own = [x for i in items for x in places[i]]
-                yield pa.record_batch([pa.array([f"{g & (1 << 64) - 1:016x}-{k}"] * len(own)),
-                                       pa.array([a + gram + b] * len(own), pa.int64()),
-                                       pa.array([t for t, _ in own], pa.binary()),
-                                       pa.array([p - a for _, p in own], pa.int64())],
+        for g, own in _groups(batches):
+            if len(own) == 1 and own[0][2] == 1:
+                continue
+            places: dict[tuple, list] = {}
+            for _, t, n, at, *rest in own:
+                places.setdefault(tuple(rest), []).append((t, at, n))
+            held = list(places.values())
+            items = [(*k, sum(n for _, _, n in v)) for k, v in places.items()]
+            for k, (a, b, members) in enumerate(maximal_groups(items, size - gram)):
+                out = [x for i in members for x in held[i]]
+                yield pa.record_batch([pa.array([f"{g & (1 << 64) - 1:016x}-{k}"] * len(out)),
+                                       pa.array([a + gram + b] * len(out), pa.int64()),
+                                       pa.array([t for t, _, _ in out], pa.binary()),
+                                       pa.array([at - a for _, at, _ in out], pa.int64())],
                                       names=["repeat", "length", "t", "start"])
 
-    return (found.repartition("gram").sortWithinPartitions("gram")
-            .mapInArrow(scan, "repeat string, length long, t binary, start long"))
+    groups = (dealt.repartition("part").sortWithinPartitions("part")
+              .mapInArrow(scan, "repeat string, length long, t binary, start long"))
+    return groups.join(rows, "t").select("repeat", "length", "t", "start", "doc_id")
 
 
 def remove_repeats(docs: DataFrame, size: int = MIN_BYTES, gram: int = GRAM, hot: int = HOT,

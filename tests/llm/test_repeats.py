@@ -86,3 +86,46 @@ def test_maximal_repeats(docs_of):
 
 def test_empty(docs_of):
     assert remove_repeats(docs_of([(1, "a")]).where("doc_id < 0"), bloom_bits=1 << 14).count() == 0
+
+
+def brute_maximal(rows, size):
+    """{string: places} of all maximal repeats; a text's edges differ from all others."""
+    raw = [(i, t.encode()) for i, t in rows if t]
+    out, n = {}, size
+    while True:
+        at = {}
+        for k, (_, b) in enumerate(raw):
+            for j in range(len(b) - n + 1):
+                at.setdefault(b[j:j + n], []).append((k, j))
+        at = {w: v for w, v in at.items() if len(v) > 1}
+        if not at:
+            return out
+        for w, v in at.items():
+            left = {raw[k][1][j - 1] if j else (k, "start") for k, j in v}
+            right = {raw[k][1][j + n] if j + n < len(raw[k][1]) else (k, "end") for k, j in v}
+            if len(left) > 1 and len(right) > 1:
+                out[w] = sorted(((raw[k][0], j) for k, j in v), key=str)
+        n += 1
+
+
+def test_maximal_repeats_match_brute_force(docs_of):
+    rng = random.Random(17)
+    word = lambda n, of="ab": "".join(rng.choice(of) for _ in range(n))
+    long, part = word(260, "abcdefgh"), word(60, "abcdefgh")
+    rows = [(i, word(60)) for i in range(12)]
+    # much longer than an anchor sees, nested in one another, copies, with and without their ids
+    rows += [(20, "x" + long + "y"), (21, long), (22, word(9) + long + word(8)), (23, part), (24, "q" + long[:80] + part + long[150:]),
+             (25, part + "r" + part), (30, rows[0][1]), (31, rows[0][1]), (0, rows[0][1]), (None, rows[3][1]), (32, "abc" * 20),
+             (33, long[5:]), (34, long[5:]), (35, "z" * 30), (36, None), (37, "short"), (38, word(40, "mnop")), (39, None)]
+    rows[-1] = (39, rows[-2][1])
+    want = brute_maximal(rows, 12)
+    text = {i: t.encode() for i, t in rows if t}
+    assert max(map(len, want)) == 260
+    for hot in (10**6, 0):
+        got = {}
+        for r in maximal_repeats(docs_of(rows), size=12, gram=4, hot=hot, bloom_bits=1 << 14).collect():
+            got.setdefault((r["repeat"], text[r["doc_id"]][r["start"]:r["start"] + r["length"]]
+                            if r["doc_id"] is not None else rows[3][1].encode()[r["start"]:r["start"] + r["length"]]),
+                           []).append((r["doc_id"], r["start"]))
+        assert len({name for name, _ in got}) == len(got) == len({w for _, w in got})
+        assert {w: sorted(v, key=str) for (_, w), v in got.items()} == want
