@@ -55,7 +55,7 @@ def op7_embedding_near_dup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op8_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return line_dedup.line_report(_read(spark, sf_dir, "documents"))
+    return line_dedup.line_report(_read(spark, sf_dir, "documents"), short_copies=True)
 
 
 def op9_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
