@@ -19,7 +19,7 @@ def line_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_duplicate_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return ngram_join.one_of_each(docs, words=5, percent=80)
+    return ngram_join.one_of_each(docs, words=5, percent=80, null_ids=True)
 
 
 def mix_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -309,12 +309,23 @@ def similar_components(docs: DataFrame, words: int = WORDS, percent: int = PERCE
         "doc_id", "n_shingles", F.coalesce("component_id", F.when(F.col("sid").isNull(), F.col("doc_id"))).alias("component_id"))
 
 
-def one_of_each(docs: DataFrame, words: int = 5, percent: int = 80, table: int = TABLE) -> DataFrame:
-    """The input with one document (the least id) of each component, and one
-    row of each id.  Rows without an id stay."""
-    group = similar_components(docs, words, percent, table)
-    stay = written(group.where("doc_id = component_id").select(F.col("doc_id").alias("_stay")).distinct(), "ngram-stay")
+def one_of_each(docs: DataFrame, words: int = 5, percent: int = 80, table: int = TABLE,
+                null_ids: bool = False) -> DataFrame:
+    """The input with one row of each component: the least id, then the least
+    hash of id and text.  Rows are one if id and text agree; texts that share an
+    id only are not tied together.  Rows without an id stay, or with
+    ``null_ids`` count like others, after all ids."""
     named = docs.toDF(*[f"c{i}" for i in range(len(docs.columns))])
-    key = f"c{docs.columns.index('doc_id')}"
-    kept = named.join(stay, F.col(key).cast("long") == F.col("_stay"), "left_semi").dropDuplicates([key])
-    return kept.unionByName(named.where(F.col(key).isNull())).toDF(*docs.columns)
+    key = F.col(f"c{docs.columns.index('doc_id')}").cast("long")
+    text = F.col(f"c{docs.columns.index('text')}").cast("string")
+    name = F.xxhash64(key.isNull(), key, text.isNull(), text)
+    rows = written(named.select(name.alias("name"), key.alias("id")).distinct(), "ngram-rows")
+    group = similar_components(named.select(name.alias("doc_id"), text.alias("text")), words, percent, table)
+    first = F.min(F.struct(F.col("id").isNull().alias("none"), "id", "name")).alias("x")
+    stay = written(group.select(F.col("doc_id").alias("name"), "component_id").distinct().join(rows, "name")
+                   .groupBy("component_id").agg(first).select(F.col("x.name").alias("_stay")), "ngram-stay")
+    kept = (named.withColumn("_name", name).join(stay, F.col("_name") == F.col("_stay"), "left_semi")
+            .dropDuplicates(["_name"]).drop("_name"))
+    if not null_ids:
+        kept = kept.where(key.isNotNull()).unionByName(named.where(key.isNull()))
+    return kept.toDF(*docs.columns)

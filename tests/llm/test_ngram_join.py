@@ -74,3 +74,16 @@ def test_one_of_each(docs_of):
 def test_empty(docs_of):
     d = docs_of([(1, "a")]).where("doc_id < 0")
     assert similar_components(d, table=1 << 12).count() == 0 and one_of_each(d, table=1 << 12).count() == 0
+
+
+def test_one_of_each_judges_rows_by_their_own_text(docs_of):
+    rng = random.Random(4)
+    text = lambda: " ".join(f"w{rng.randrange(5000)}" for _ in range(60))
+    a, b, c, e = text(), text(), text(), text()
+    rows = [(1, a), (2, b), (2, c), (3, c + " more"), (4, a + " more"), (None, e), (None, e + " more"), (None, b), (5, b)]
+    kept = lambda **k: sorted(((r["doc_id"], r["text"]) for r in one_of_each(
+        docs_of(rows), 5, 80, table=1 << 12, **k).collect()), key=str)
+    some = kept(null_ids=True)
+    assert [x for x in some if x[0] is not None] == [(1, a), *sorted([(2, b), (2, c)])]
+    assert [i for i, _ in some].count(None) == 1  # one of e and its near copy
+    assert [i for i, _ in kept()].count(None) == 3
