@@ -10,7 +10,8 @@ others are recomputed exactly in double precision.
 
 Pairs are compared inside buckets: bands of the code's bits per label.  The
 number of bits of a band grows with the largest label, the number of bands so
-that a pair at the threshold is missed with probability ``MISS`` at most.
+that a pair at the threshold is missed with probability ``MISS`` at most (the bands
+are drawn from the same bits, which is reckoned in).
 Equal vectors (after normalisation, bit by bit) are one row with a
 multiplicity.  A pair that meets in several bands is decided in the first.  A
 bucket beyond ``CELL_ROWS`` rows is cut into groups, and each pair of groups is
@@ -61,12 +62,29 @@ def encode(units: np.ndarray, bits: int = CODE_BITS) -> tuple[np.ndarray, np.nda
     return np.packbits(turned > 0, axis=1), np.abs(turned).sum(1) / math.sqrt(d)
 
 
+def miss_probability(n: int, width: int, threshold: float, bits: int = CODE_BITS) -> float:
+    """That a pair at the threshold shares none of ``n`` bands of ``width`` of the
+    same ``bits`` bits, each of which differs with the pair's angle: summed over
+    the number of bits that differ."""
+    p = math.acos(min(threshold, 1.0)) / math.pi
+    total, same = 0.0, 1.0  # same: that a band has none of the d bits that differ
+    for d in range(bits + 1):
+        total += math.comb(bits, d) * p ** d * (1 - p) ** (bits - d) * (1 - same) ** n
+        same *= max(bits - d - width, 0) / max(bits - d, 1)
+    return total
+
+
 def bands_for(largest: int, threshold: float, bits: int = CODE_BITS, miss: float = MISS) -> list[np.ndarray]:
     """Bit positions of each band: about log2 of the largest label less 7 bits,
     and as many bands as the miss probability asks for."""
     width = int(min(max(round(math.log2(max(largest, 2))) - 7, 4), 24))
-    same = (1 - math.acos(min(threshold, 1.0)) / math.pi) ** width
-    n = max(1, math.ceil(math.log(miss) / math.log1p(-same)))
+    n = 1
+    while miss_probability(n, width, threshold, bits) > miss:
+        n *= 2
+    few = n // 2  # too few, or 0
+    while n - few > 1:
+        mid = (n + few) // 2
+        few, n = (few, mid) if miss_probability(mid, width, threshold, bits) <= miss else (mid, n)
     rng = np.random.default_rng(SEED + 1)
     return [np.sort(rng.permutation(bits)[:width]) for _ in range(n)]
 

@@ -1,6 +1,8 @@
+import math
+
 import numpy as np
 
-from panelgrowth.llm.embed_dedup import encode, near_duplicates, rotation
+from panelgrowth.llm.embed_dedup import CODE_BITS, MISS, bands_for, encode, near_duplicates, rotation
 
 
 def brute(rows, t=0.98):
@@ -63,3 +65,13 @@ def test_estimates_are_unbiased():
 
 def test_empty(spark):
     assert near_duplicates(spark.createDataFrame([], "vec_id long, embedding array<float>, label int")).count() == 0
+
+
+def test_bands_miss_few_pairs_at_any_size():
+    p = math.acos(0.98) / math.pi
+    for largest in (2_000, 100_000, 10**7, 10**8):
+        bands = bands_for(largest, 0.98)
+        width = len(bands[0])
+        same = [math.comb(CODE_BITS - d, width) / math.comb(CODE_BITS, width) for d in range(CODE_BITS + 1)]
+        assert sum(math.comb(CODE_BITS, d) * p ** d * (1 - p) ** (CODE_BITS - d) * (1 - same[d]) ** len(bands)
+                   for d in range(CODE_BITS + 1)) <= MISS * (1 + 1e-9)
