@@ -2,18 +2,22 @@
 
 from __future__ import annotations
 
-from typing import Iterator
+from typing import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from panelgrowth.llm import wordhash
+from panelgrowth.llm.common import written
 
 #: Bits of the filter (16 MB), bytes of its pieces, probes of a key.
 BITS = 1 << 27
 PIECE_BYTES = 1 << 18
 PROBES = 4
+#: Blocks of a piece that one group merges, about.
+BLOCKS_OF_GROUP = 32
 
 
 def _slots(keys: np.ndarray, bits: int) -> np.ndarray:
@@ -27,6 +31,20 @@ def bloom_hits(held: np.ndarray, keys: np.ndarray) -> np.ndarray:
     return ((held[slots >> 3] >> (slots & 7)) & 1).all(0)
 
 
+def merged(blocks: DataFrame, merge: Callable, label: str) -> DataFrame:
+    """One block a piece, of written blocks (piece int, bits binary): ``merge``
+    makes a table of one block of a group's table.  As many rounds as keep the
+    groups at ``BLOCKS_OF_GROUP`` blocks, whatever the number of tasks."""
+    while True:
+        n = blocks.groupBy("piece").count().agg(F.max("count")).head()[0] or 0
+        groups = -(-n // BLOCKS_OF_GROUP)
+        part = F.pmod(F.xxhash64(F.monotonically_increasing_id()), F.lit(max(groups, 1))).cast("int")
+        out = blocks.withColumn("part", part).groupBy("piece", "part").applyInArrow(merge, "piece int, bits binary")
+        if groups <= 1:
+            return out
+        blocks = written(out, label)
+
+
 def bloom_filter(keys: DataFrame, bits: int = BITS) -> np.ndarray:
     """Packed bits of the filter of the first column: a fixed size, whatever
     the number of keys.  Its errors only let more keys through."""
@@ -60,7 +78,7 @@ def bloom_filter(keys: DataFrame, bits: int = BITS) -> np.ndarray:
     import zstandard
     z = zstandard.ZstdDecompressor()
     out = np.zeros(bits // 8, np.uint8)
-    for k, raw in keys.mapInArrow(fill, "piece int, bits binary").groupBy("piece").applyInArrow(
-            join, "piece int, bits binary").collect():
+    blocks = written(keys.mapInArrow(fill, "piece int, bits binary"), "bloom-blocks")
+    for k, raw in merged(blocks, join, "bloom-merged").collect():
         out[k * piece:(k + 1) * piece] = np.frombuffer(z.decompress(raw), np.uint8)
     return out

@@ -40,7 +40,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from panelgrowth.llm import wordhash
-from panelgrowth.llm.bloom import bloom_filter, bloom_hits
+from panelgrowth.llm.bloom import bloom_filter, bloom_hits, merged
 from panelgrowth.llm.common import components, only, written
 
 WORDS = 4
@@ -131,18 +131,28 @@ def frequency_levels(measured: DataFrame, table: int) -> np.ndarray:
     """Rounded binary logarithm (times four) of each counter over all
     documents: ``table`` bytes, whatever the corpus."""
 
+    piece = min(PIECE, table)
+
     def add(key, rows):
         import zstandard
-        z, total = zstandard.ZstdDecompressor(), 0
-        for raw in rows.column("counts").to_pylist():
-            total = total + np.frombuffer(z.decompress(raw), np.uint32).astype(np.uint64)
-        level = np.rint(np.log2(np.maximum(total, 1)) * 4).astype(np.uint8)
-        return pa.table({"piece": pa.array([key[0].as_py()], pa.int32()), "level": pa.array([level.tobytes()])})
-
-    got = measured.where("piece IS NOT NULL").select("piece", "counts").groupBy("piece").applyInArrow(
-        add, "piece int, level binary")
+        z, total = zstandard.ZstdDecompressor(), np.zeros(piece, np.uint64)
+        for raw in rows.column("bits").to_pylist():
+            own = z.decompress(raw)
+            total += np.frombuffer(own, np.uint32 if len(own) == 4 * piece else np.uint64)
+        return pa.table({"piece": pa.array([key[0].as_py()], pa.int32()),
+                         "bits": pa.array([zstandard.ZstdCompressor(level=1).compress(total.tobytes())])})
+
+    def levels(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        import zstandard
+        z = zstandard.ZstdDecompressor()
+        for batch in batches:
+            totals = [np.frombuffer(z.decompress(x), np.uint64) for x in batch.column(1).to_pylist()]
+            own = [np.rint(np.log2(np.maximum(x, 1)) * 4).astype(np.uint8).tobytes() for x in totals]
+            yield pa.record_batch([batch.column(0), pa.array(own, pa.binary())], names=["piece", "level"])
+
+    blocks = measured.where("piece IS NOT NULL").select("piece", F.col("counts").alias("bits"))
+    got = merged(blocks, add, "ngram-counts").mapInArrow(levels, "piece int, level binary")
     out = np.zeros(table, np.uint8)
-    piece = min(PIECE, table)
     for k, raw in got.collect():  # ``table`` bytes in all
         out[k * piece:(k + 1) * piece] = np.frombuffer(raw, np.uint8)
     return out
