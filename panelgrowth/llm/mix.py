@@ -8,8 +8,8 @@ the rest is a fractional selection.
 
 No source is gathered in one task.  Keys fall into key bins, about one per
 ``BIN_ROWS`` documents of the source; bins are summed map-side, the bin in
-which the budget ends is found on the bin table, and only that bin's rows are
-ordered.  The decision is then one comparison per document with its source's
+which the budget ends is found on the bin table and cut again while it is large
+(bins are even at weight 1 only), and only the last cut's rows are ordered.  The decision is then one comparison per document with its source's
 cut.
 
 Defined results: a NULL or blank text has size 0 and is never taken.  NULL is
@@ -113,14 +113,32 @@ def source_cuts(rows: DataFrame, targets: DataFrame) -> DataFrame:
             .join(t.select("src", "rest"), "src")
             .where((F.col("before") < F.col("rest")) & (F.col("before") + F.col("words") >= F.col("rest")))
             .select("src", "bin", "before", "rest"))
+    order = F.struct("key", "doc_id", "size")
+    # bins are even at weight 1 only: the last one is cut again until it is small;
+    # done: the last document of what was cut off before it
+    held = written(d.join(last, ["src", "bin"]).withColumn("done", F.when(F.lit(False), order)), "mix-last")
+    while True:
+        span = held.groupBy("src").agg(F.count(F.lit(1)).alias("n"), F.min("key").alias("lo"), F.max("key").alias("hi"))
+        span = span.where((F.col("n") > 2 * BIN_ROWS) & (F.col("lo") < F.col("hi"))).withColumn(
+            "parts", F.ceil(F.col("n") / F.lit(BIN_ROWS)).cast("long"))
+        if span.isEmpty():
+            break
+        sub = F.least(F.floor((F.col("key") - F.col("lo")) / (F.col("hi") - F.col("lo")) * F.col("parts")), F.col("parts") - 1)
+        h = held.join(span, "src", "left").withColumn("sub", F.coalesce(sub, F.lit(0)).cast("long"))
+        run = Window.partitionBy("src").orderBy("sub").rowsBetween(Window.unboundedPreceding, -1)
+        subs = (h.groupBy("src", "sub").agg(F.sum("words").alias("sum"), F.max(order).alias("top"), F.min("before").alias("start"))
+                .withColumn("at", F.col("start") + F.coalesce(F.sum("sum").over(run), F.lit(0)))
+                .withColumn("prior", F.max("top").over(run)))
+        one = h.join(subs.select("src", "sub", "sum", "at", "prior"), ["src", "sub"]).where(
+            (F.col("at") < F.col("rest")) & (F.col("at") + F.col("sum") >= F.col("rest")))
+        held = written(one.select("src", "bin", "key", "doc_id", "size", "words", F.col("at").alias("before"), "rest",
+                                  F.coalesce("prior", "done").alias("done")), "mix-last")
     inside = Window.partitionBy("src").orderBy("key", "doc_id", "size").rowsBetween(
         Window.unboundedPreceding, -1)
-    order = F.struct("key", "doc_id", "size")
     # the document in which the budget ends is taken if that comes nearer to it
-    cut = (d.join(last, ["src", "bin"])
-           .withColumn("at", F.col("before") + F.coalesce(F.sum("words").over(inside), F.lit(0)))
-           .groupBy("src").agg(F.max(F.when(F.col("at") + F.col("words") / 2 <= F.col("rest"), order)).alias("cut"),
-                               F.first("bin").alias("cut_bin")))
+    cut = (held.withColumn("at", F.col("before") + F.coalesce(F.sum("words").over(inside), F.lit(0)))
+           .groupBy("src").agg(F.coalesce(F.max(F.when(F.col("at") + F.col("words") / 2 <= F.col("rest"), order)),
+                                          F.max("done")).alias("cut"), F.first("bin").alias("cut_bin")))
     # nothing of the last bin taken: everything before it is
     return (t.join(cut, "src", "left")
             .select("src", "source_size", "target", "epochs", "cut", "cut_bin", "n_bins"))

@@ -1,5 +1,6 @@
 import re
 
+import panelgrowth.llm.mix as module
 from panelgrowth.llm.mix import mix, mix_plan, sized
 
 GAP = re.compile(r"[\x20\x09-\x0D]+")
@@ -75,3 +76,23 @@ def test_mix_keeps_columns_and_counts(docs_of):
 def test_empty(docs_of):
     d = docs_of([(1, "a", None, "s")]).where("doc_id < 0")
     assert mix_plan(d).count() == 0 and mix(d).count() == 0
+
+
+def test_a_source_of_small_weights_is_ordered_in_small_runs(docs_of, monkeypatch):
+    rows = [(i, "y" * 100 + " " + "z" * (60 + i % 9), "en", "b") for i in range(900)] + [(5000 + i, "a b c", "en", "a") for i in range(300)]
+    d, most, real = docs_of(rows), [], module.written
+
+    def note(df, label):
+        out = real(df, label)
+        if label == "mix-last":
+            most.append(out.groupBy("src").count().agg({"count": "max"}).head()[0])
+        return out
+
+    monkeypatch.setattr(module, "written", note)
+    plan = lambda: sorted(tuple(r) for r in mix_plan(d).select("doc_id", "size", "taken").collect())
+    monkeypatch.setattr(module, "BIN_ROWS", 10**6)
+    want = plan()
+    most.clear()
+    monkeypatch.setattr(module, "BIN_ROWS", 16)
+    assert plan() == want
+    assert most[0] > 300 and 0 < most[-1] <= 32
