@@ -8,7 +8,8 @@ from typing import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from panelgrowth.llm import (
-    embed_dedup, line_dedup, mix, ngram_join, packing, quality_classifier, quality_rules, repeats, token_files, warc,
+    embed_dedup, line_dedup, mix, ngram_join, packing, quality_classifier, quality_rules, repeats, token_align,
+    token_files, warc,
 )
 
 
@@ -16,9 +17,9 @@ def _read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def tokenizer_file() -> str:
+def tokenizer_file(name: str = "byte_bpe_50k.json") -> str:
     import public_tokenizers
-    return public_tokenizers.path("byte_bpe_50k.json")
+    return public_tokenizers.path(name)
 
 
 def op1_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -66,10 +67,15 @@ def op10_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ngram_join.similar_components(_read(spark, sf_dir, "documents"))
 
 
+def op11_token_align(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_align.align_tokens(_read(spark, sf_dir, "documents"), tokenizer_file(),
+                                    tokenizer_file("piece_bpe_32k.model"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (
         op1_mix_sources, op2_remove_repeats, op2_maximal_repeats, op3_quality_rules, op4_token_files,
         op5_best_fit_packing, op6_warc_archives, op7_embedding_near_dup, op8_line_dedup,
-        op9_quality_classifier, op10_ngram_join)}
+        op9_quality_classifier, op10_ngram_join, op11_token_align)}
 
 ORACLES: dict[str, str] = {}
