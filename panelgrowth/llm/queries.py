@@ -8,8 +8,8 @@ from typing import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from panelgrowth.llm import (
-    embed_dedup, line_dedup, mix, ngram_join, packing, quality_classifier, quality_rules, repeats, token_align,
-    token_files, warc,
+    embed_dedup, kd_shards, lexical, line_dedup, mix, ngram_join, packing, quality_classifier, quality_rules, repeats,
+    token_align, token_files, warc,
 )
 
 
@@ -72,10 +72,18 @@ def op11_token_align(spark: SparkSession, sf_dir: str) -> DataFrame:
                                     tokenizer_file("piece_bpe_32k.model"))
 
 
+def op12_lexical_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lexical.rank_documents(_read(spark, sf_dir, "documents"), _read(spark, sf_dir, "benchmark"))
+
+
+def op13_kd_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return kd_shards.kd_shards(_read(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (
         op1_mix_sources, op2_remove_repeats, op2_maximal_repeats, op3_quality_rules, op4_token_files,
         op5_best_fit_packing, op6_warc_archives, op7_embedding_near_dup, op8_line_dedup,
-        op9_quality_classifier, op10_ngram_join, op11_token_align)}
+        op9_quality_classifier, op10_ngram_join, op11_token_align, op12_lexical_search, op13_kd_shards)}
 
-ORACLES: dict[str, str] = {}
+ORACLES: dict[str, str] = {"op12_lexical_search": lexical.ORACLE_SQL}

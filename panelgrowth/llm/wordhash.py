@@ -66,10 +66,10 @@ def text_bytes(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return data[first:int(offsets[-1]) if len(offsets) else 0], offsets - first
 
 
-def _word_block(data: np.ndarray, lower: bool) -> tuple[np.ndarray, np.ndarray]:
+def _word_block(data: np.ndarray, lower: bool, gaps: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     if lower:
         data = _LOWER[data]
-    space = _SPACE[data]
+    space = gaps[data]
     edge = np.flatnonzero(space[1:] != space[:-1]) + 1
     bounds = np.concatenate(([0], edge, [len(data)])) if len(data) else np.zeros(1, np.int64)
     if len(data) and space[0]:
@@ -85,9 +85,11 @@ def _word_block(data: np.ndarray, lower: bool) -> tuple[np.ndarray, np.ndarray]:
     return start, mix64(h ^ ((end - start).astype(np.uint64) << np.uint64(40)))
 
 
-def words(data: np.ndarray, offsets: np.ndarray, lower: bool = False) -> tuple[np.ndarray, np.ndarray]:
+def words(data: np.ndarray, offsets: np.ndarray, lower: bool = False,
+          gaps: np.ndarray = _SPACE) -> tuple[np.ndarray, np.ndarray]:
     """Hashes of all words of the texts, in order, and each text's first word
-    (len(texts) + 1 entries).  ``lower`` folds A-Z."""
+    (len(texts) + 1 entries).  ``lower`` folds A-Z; ``gaps`` says which bytes
+    (the blank is one) stand between words."""
     hashes, counts, k = [], [], 0
     n = len(offsets) - 1
     while k < n:
@@ -99,7 +101,7 @@ def words(data: np.ndarray, offsets: np.ndarray, lower: bool = False) -> tuple[n
         joined = np.insert(data[lo:hi], at[1:-1], 0x20)
         begin = at + np.arange(e - k + 1)
         begin[-1] -= 1 if e - k else 0
-        start, h = _word_block(joined, lower)
+        start, h = _word_block(joined, lower, gaps)
         hashes.append(h)
         cut = np.searchsorted(start, begin[:-1], "left")
         counts.append(np.diff(np.concatenate((cut, [len(h)]))))
