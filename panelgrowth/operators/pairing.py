@@ -7,7 +7,8 @@ left elsewhere).  Here both sums come from one aggregation over the rows
 of both flags: one scan and one shuffle (with map-side partial sums) instead
 of two aggregations and a join.  Counting the rows of each flag keeps the
 join semantics exact: ``left`` keeps cells with an unadjusted row, ``inner``
-keeps cells with rows of both flags.
+keeps cells with rows of both flags.  Sums do not depend on the order of the rows
+(``exact.py``).
 """
 
 from __future__ import annotations
@@ -17,6 +18,7 @@ from typing import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from panelgrowth.operators.exact import exact_sums
 from panelgrowth.operators.filters import (
     ADJUSTED, TOTAL_NONFARM, UNADJUSTED, not_equal, STATEWIDE,
 )
@@ -37,13 +39,10 @@ def paired_sums(panel: DataFrame, keys: Sequence[str], how: str = "left",
     keys = list(keys)
     is_base = F.col(flag) == F.lit(base_flag)
     is_mom = F.col(flag) == F.lit(mom_flag)
-    cells = (panel.dropna(subset=keys)
-             .filter(F.col(flag).isin(base_flag, mom_flag))
-             .groupBy(*keys)
-             .agg(F.sum(F.when(is_base, F.col(value))).alias("value"),
-                  F.sum(F.when(is_mom, F.col(value))).alias("value_mom"),
-                  F.count(F.when(is_base, F.lit(1))).alias("_n_base"),
-                  F.count(F.when(is_mom, F.lit(1))).alias("_n_mom")))
+    cells = exact_sums(panel.dropna(subset=keys).filter(F.col(flag).isin(base_flag, mom_flag)), keys,
+                       {"value": F.when(is_base, F.col(value)), "value_mom": F.when(is_mom, F.col(value))},
+                       F.count(F.when(is_base, F.lit(1))).alias("_n_base"),
+                       F.count(F.when(is_mom, F.lit(1))).alias("_n_mom"))
     keep = F.col("_n_base") > 0
     if how == "inner":
         keep = keep & (F.col("_n_mom") > 0)
@@ -54,7 +53,7 @@ def single_sums(panel: DataFrame, keys: Sequence[str], value: str = "value") ->
     """A4: one group sum used as both measures (the over-cohort pairs the
     adjusted panel with itself, so ``value_mom`` equals ``value``)."""
     keys = list(keys)
-    cells = panel.dropna(subset=keys).groupBy(*keys).agg(F.sum(F.col(value)).alias("value"))
+    cells = exact_sums(panel.dropna(subset=keys), keys, {"value": F.col(value)})
     return cells.withColumn("value_mom", F.col("value"))
 
 
@@ -110,8 +109,8 @@ def over_cells(adjusted: DataFrame, keys: Sequence[str], size: str = "value",
     from panelgrowth.sinks.writers import materialize
     keys = list(keys)
     counts = not_equal("area_name", STATEWIDE) & (F.col("industry_name") == F.lit(industry))
-    cells = materialize(adjusted.groupBy(*keys).agg(
-        F.sum(F.col(value)).alias("value"), F.max(F.when(counts, F.col(size))).alias("_top")), "over_cells")
+    cells = materialize(exact_sums(adjusted, keys, {"value": F.col(value)},
+                                   F.max(F.when(counts, F.col(size))).alias("_top")), "over_cells")
     names = cells.filter(F.col("_top") > F.lit(threshold)).select(entity).distinct()
     joined, spread = cohort_join(cells.dropna(subset=keys).drop("_top"), names, [entity], "left_semi")
     if spread:

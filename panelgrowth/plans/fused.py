@@ -28,6 +28,7 @@ from typing import Callable, Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from panelgrowth.operators.exact import exact_sums
 from panelgrowth.operators.filters import ADJUSTED, STATEWIDE, TOTAL_NONFARM, UNADJUSTED
 from panelgrowth.operators.growth import finish_growth, growth_fractions
 from panelgrowth.operators.pairing import cohort_join
@@ -49,19 +50,18 @@ def entity_cells(panel: DataFrame, under_threshold: float = 1000.0,
     metro_tn = ~F.col("statewide") & (F.col("industry_name") == F.lit(TOTAL_NONFARM))
     small = metro_tn & (F.col(under_size) < F.lit(under_threshold))
     statewide = F.col("area_name").eqNullSafe(F.lit(STATEWIDE))
-    return (panel.filter(F.col("seasonal").isin(UNADJUSTED, ADJUSTED))
+    rows = (panel.filter(F.col("seasonal").isin(UNADJUSTED, ADJUSTED))
             .withColumn("statewide", statewide)
             .withColumn("entity", F.when(F.col("statewide"), F.col("state_name"))
-                        .otherwise(F.col("area_name")))
-            .groupBy("statewide", "entity", *CELL_TAIL)
-            .agg(F.sum(F.when(is_u, F.col("value"))).alias("u"),
-                 F.sum(F.when(is_s, F.col("value"))).alias("s"),
-                 F.count(F.when(is_u, F.lit(1))).alias("n_u"),
-                 F.count(F.when(is_s, F.lit(1))).alias("n_s"),
-                 F.sum(F.when(small & is_u, F.col("value"))).alias("under_u"),
-                 F.sum(F.when(small & is_s, F.col("value"))).alias("under_s"),
-                 F.count(F.when(small & is_u, F.lit(1))).alias("n_under"),
-                 F.max(F.when(metro_tn & is_s, F.col(over_size))).alias("top")))
+                        .otherwise(F.col("area_name"))))
+    value = F.col("value")
+    return exact_sums(rows, ["statewide", "entity", *CELL_TAIL],
+                      {"u": F.when(is_u, value), "s": F.when(is_s, value),
+                       "under_u": F.when(small & is_u, value), "under_s": F.when(small & is_s, value)},
+                      F.count(F.when(is_u, F.lit(1))).alias("n_u"),
+                      F.count(F.when(is_s, F.lit(1))).alias("n_s"),
+                      F.count(F.when(small & is_u, F.lit(1))).alias("n_under"),
+                      F.max(F.when(metro_tn & is_s, F.col(over_size))).alias("top"))
 
 
 def level_cells(cells: DataFrame, over_threshold: float = 1000.0,
