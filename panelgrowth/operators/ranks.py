@@ -60,33 +60,56 @@ def largest_peer_group(df: DataFrame, peer_keys: Sequence[str] = PEER_KEYS) -> i
     return int(row[0] or 0)
 
 
-def sorted_rank(df: DataFrame, frac: str, entity: str, method: str, out: str,
-                peer_keys: Sequence[str] = PEER_KEYS) -> DataFrame:
-    """W10/W11 without a window: rows are numbered in (peer group, fraction
-    descending, entity) order by ``frame_index`` (range-partitioned, so one
-    peer group spreads over many tasks); a row's rank is its number minus
-    the number of its group's first row, plus one.  Average ranks use the
-    first and last number of the tied rows."""
+def sorted_ranks(df: DataFrame, entity: str, ranks: dict[str, tuple[str, str]],
+                 peer_keys: Sequence[str] = PEER_KEYS) -> DataFrame:
+    """W10/W11 without a window over a peer group, from one range sort for all
+    rank columns.
+
+    A row is melted into one row a fraction column (the first of them carries the
+    whole row), and all are numbered in (fraction column, peer group, fraction
+    descending, entity) order by ``frame_index``: range-partitioned, so a peer
+    group spreads over many tasks.  A position in the group is the number minus
+    that of the group's first row; tied rows share the first and the last of
+    theirs.  The melted rows then meet again by (peer group, entity), of which a
+    frame holds one row each."""
     from panelgrowth.operators.enrich import sized_broadcast
     from panelgrowth.operators.frame import frame_index
 
-    peer_keys = list(peer_keys)
-    keyed = df.withColumns({"_rk_null": F.col(frac).isNull(), "_rk_neg": -F.col(frac)})
-    indexed, _ = frame_index(keyed, peer_keys + ["_rk_null", "_rk_neg", entity], name="_ridx")
-    starts = indexed.groupBy(*peer_keys).agg(F.min("_ridx").alias("_rstart"))
-    ranked = indexed.join(sized_broadcast(starts), peer_keys, "left")
-    if method == "first":
-        pos = F.col("_ridx") - F.col("_rstart") + F.lit(1)
-    elif method == "average":
-        ties = (indexed.filter(F.col(frac).isNotNull())
-                .groupBy(*peer_keys, frac)
-                .agg(F.min("_ridx").alias("_tlo"), F.max("_ridx").alias("_thi")))
-        ranked = ranked.join(ties, peer_keys + [frac], "left")
-        pos = (F.col("_tlo") + F.col("_thi")) / F.lit(2.0) - F.col("_rstart") + F.lit(1)
-    else:
-        raise ValueError(f"unknown tie rule {method!r}")
-    ranked = ranked.withColumn(out, F.when(F.col(frac).isNotNull(), pos.cast("double")))
-    return ranked.drop("_rk_null", "_rk_neg", "_ridx", "_rstart", "_tlo", "_thi")
+    unknown = {m for _, m in ranks.values()} - {"first", "average"}
+    if unknown:
+        raise ValueError(f"unknown tie rule {unknown.pop()!r}")
+    peer_keys, fractions = list(peer_keys), list(dict.fromkeys(f for f, _ in ranks.values()))
+    key = [*peer_keys, entity]
+    row = F.struct(*[F.col(f"`{c}`") for c in df.columns if c not in key])
+    melted = df.select(*key, F.explode(F.array(*[
+        F.struct(F.lit(i).alias("_fam"), F.col(f).alias("_frac"), (row if i == 0 else F.lit(None)).alias("_row"))
+        for i, f in enumerate(fractions)])).alias("_m")).select(*key, "_m.*")
+    # unranked rows last, each in its own group's order
+    melted = melted.withColumns({"_none": F.col("_frac").isNull(), "_down": -F.col("_frac")})
+    numbered, _ = frame_index(melted, ["_fam", *peer_keys, "_none", "_down", entity], name="_at")
+    starts = numbered.groupBy("_fam", *peer_keys).agg(F.min("_at").alias("_start"))
+    placed = _null_safe(numbered, sized_broadcast(starts), ["_fam", *peer_keys])
+    tied = {fractions.index(f) for f, m in ranks.values() if m == "average"}
+    if tied:
+        ties = (numbered.filter(F.col("_fam").isin(*tied) & ~F.col("_none")).groupBy("_fam", *peer_keys, "_frac")
+                .agg(F.min("_at").alias("_low"), F.max("_at").alias("_high")).filter("_low < _high"))
+        placed = _null_safe(placed, sized_broadcast(ties), ["_fam", *peer_keys, "_frac"])
+    place = {"first": F.col("_at") - F.col("_start") + 1.0}
+    if tied:
+        place["average"] = F.coalesce((F.col("_low") + F.col("_high")) / 2.0, F.col("_at")) - F.col("_start") + 1.0
+    out = placed.groupBy(*key).agg(
+        F.first("_row", ignorenulls=True).alias("_row"),
+        *[F.max(F.when((F.col("_fam") == fractions.index(f)) & ~F.col("_none"), place[m].cast("double"))).alias(name)
+          for name, (f, m) in ranks.items()])
+    cols = [F.col(c) if c in key else F.col(f"_row.`{c}`") for c in df.columns]
+    return out.select(*cols, *ranks)
+
+
+def _null_safe(left: DataFrame, right: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Left join in which missing keys match, with the left copy of the keys."""
+    other = right.select(*[F.col(c).alias(f"_r{c}") if c in keys else F.col(c) for c in right.columns])
+    on = [F.col(c).eqNullSafe(F.col(f"_r{c}")) for c in keys]
+    return left.join(other, on, "left").drop(*[f"_r{c}" for c in keys])
 
 
 def peer_ranks(df: DataFrame, entity: str, ranks: dict[str, tuple[str, str]],
@@ -101,7 +124,4 @@ def peer_ranks(df: DataFrame, entity: str, ranks: dict[str, tuple[str, str]],
         return with_peer_ranks(df, entity, ranks, peer_keys)
     if strategy != "sorted":
         raise ValueError("strategy must be 'auto', 'window' or 'sorted'")
-    out = df
-    for name, (frac, method) in ranks.items():
-        out = sorted_rank(out, frac, entity, method, name, peer_keys)
-    return out
+    return sorted_ranks(df, entity, ranks, peer_keys)

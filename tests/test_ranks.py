@@ -40,3 +40,22 @@ def test_sorted_ranks_equal_window_ranks(spark):
     a = {r["area_name"]: (r["r1"], r["ra"]) for r in peer_ranks(df, "area_name", spec, strategy="auto",
                                                                   max_window_rows=10).collect()}
     assert a == w
+
+
+def test_five_sorted_ranks_take_one_checkpoint(spark, monkeypatch):
+    import random
+    from panelgrowth.operators.ranks import peer_ranks
+    rnd = random.Random(12)
+    pick = lambda: rnd.choice([None, 0.5, 0.25, 0.0, -0.0, rnd.randint(-5, 5) / 10])
+    rows = [(f"e{i:03d}", rnd.choice(["s1", None]), "ind", "2001", rnd.choice(["01", "02"]), pick(), pick(), pick(), pick(), float(i))
+            for i in range(300)]
+    df = spark.createDataFrame(rows, "area_name string, supersector_name string, industry_name string, year string,"
+                                     " Month string, f1 double, f2 double, f3 double, f4 double, other double")
+    spec = {"a": ("f1", "first"), "b": ("f1", "average"), "c": ("f2", "first"), "d": ("f3", "average"), "e": ("f4", "first")}
+    taken, real = [], type(df).checkpoint
+    monkeypatch.setattr(type(df), "checkpoint", lambda self, *a, **k: taken.append(1) or real(self, *a, **k))
+    got = peer_ranks(df, "area_name", spec, strategy="sorted")
+    want = peer_ranks(df, "area_name", spec, strategy="window")
+    assert got.columns == want.columns
+    assert sorted(map(repr, got.collect())) == sorted(map(repr, want.collect()))
+    assert len(taken) == 1
