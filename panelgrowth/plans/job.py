@@ -34,6 +34,7 @@ from panelgrowth.plans import reports as R
 from panelgrowth.plans.panels import (
     enrich_national, enrich_state_metro, national_panel, state_metro_panel,
 )
+from panelgrowth.sinks.publish import Run, fingerprint
 from panelgrowth.sinks.writers import SinkTarget, materialize, write_reports, write_table
 from panelgrowth.sources.feeds import LookupSource, date_ref_row, read_facts, read_lookup
 
@@ -158,6 +159,77 @@ def run_monthly(spark: SparkSession, sm_panel: DataFrame | None, ce_panel: DataF
     return tables
 
 
+def run_published(spark: SparkSession, landing_dir: str, lookups: LookupSource, target: SinkTarget,
+                  as_of: _dt.date, sections: Iterable[str] = tuple(R.SECTIONS), scope: str = "series",
+                  index: bool = False, sort: bool = False, over_threshold: float = 1000.0,
+                  under_threshold: float = 1000.0, over_size: str = "value",
+                  feeds: dict[str, list[str]] | None = None, version: str = "") -> str:
+    """M7 + M8 + K6 + K8: the monthly job from the feeds, whose tables appear
+    together and whose rerun skips what is finished; returns the run's name.
+
+    The run is named by its inputs: feed and lookup files by size and time, and the
+    parameters (``version`` stands for lookups that are not files, and for anything
+    else that should start anew).  Finished tables and the cells and metrics between
+    them are noted (``sinks/publish.py``); a rerun builds a panel only where a
+    table that needs it is missing, so after a fault in the last writes it reads no
+    facts.  Read the tables with ``read_published``."""
+    sections = list(sections)
+    unknown = sorted(set(sections) - set(R.SECTIONS))
+    if unknown:
+        raise ValueError(f"unknown sections {unknown}; choose from {list(R.SECTIONS)}")
+    feeds = feeds or feed_paths(landing_dir)
+    read = [f for f, wanted in (("ce", "national" in sections), ("sm", set(sections) - {"national"})) if wanted]
+    used = [p for f in read for p in feeds[f]]
+    files = [] if lookups.fmt == "jdbc" else [lookups.base]
+    run = Run(spark, target, fingerprint(
+        spark, [*used, *files], as_of=as_of, sections=sorted(sections), scope=scope, index=index, sort=sort,
+        thresholds=[over_threshold, under_threshold, over_size], fmt=target.fmt, version=version))
+    sm_tables = [R.SECTION_TABLES[x] for x in sections if x != "national"]
+
+    def write_all(built: R.Sections, tables: list[str]) -> None:
+        concurrently(*[
+            (lambda n=n: run.write(n, lambda to: write_reports({n: built.tables[n]}, to, index=index,
+                                                               entity_parts=built.parts, sort=sort)))
+            for n in tables if not run.has(n)])
+
+    def national() -> None:
+        table = R.SECTION_TABLES["national"]
+        if "national" in sections and not run.has(table):
+            panel = build_national_panel(spark, feeds["ce"], lookups)
+            write_all(R.run(None, panel, as_of, ["national"], scope, raw_keys=index or sort), [table])
+
+    def state_metro() -> None:
+        if all(run.has(n) for n in sm_tables):
+            return
+        if R.one_pass(sections, scope) and run.has("state_metro_metrics"):
+            from panelgrowth.plans.fused import split_levels
+            built = R.assemble(split_levels(run.read("state_metro_metrics")))
+        else:
+            if R.one_pass(sections, scope):
+                panel = build_state_metro_panel(spark, feeds["sm"], lookups)
+            elif run.has("sm_panel"):
+                panel = run.read("sm_panel")
+            else:
+                panel = run.keep(build_state_metro_panel(spark, feeds["sm"], lookups), "sm_panel")
+            which = [x for x in sections if x != "national"]
+            # tables that feed others are kept under names of their own
+            built = R.run(panel, None, as_of, which, scope, over_threshold, under_threshold, over_size,
+                          keep=lambda df, label, **how: run.keep(
+                              df, label if label in ("entity_cells", "state_metro_metrics") else f"kept_{label}", **how),
+                          raw_keys=index or sort)
+        write_all(built, sm_tables)
+
+    def dated() -> None:
+        row = date_ref_row(spark, as_of)
+        if index:
+            row = row.select(F.lit(0).cast("long").alias("index"), *row.columns)
+        run.write("date_ref_t", lambda to: write_table(row, "date_ref_t", to))
+
+    concurrently(national, state_metro, dated)
+    run.publish(["date_ref_t", *[R.SECTION_TABLES[x] for x in sections]])
+    return run.name
+
+
 def main(argv=None) -> None:
     from panelgrowth.session import DEFAULT_CONF, get_spark
     p = argparse.ArgumentParser(description="monthly panel growth job")
@@ -171,9 +243,12 @@ def main(argv=None) -> None:
     p.add_argument("--scope", default="series", choices=("series", "frame"))
     p.add_argument("--index", action="store_true", help="write the positional index column")
     p.add_argument("--sort", action="store_true", help="write rows in key order")
+    p.add_argument("--together", action="store_true",
+                   help="replace all tables at once and let a rerun skip finished sections (file outputs)")
     p.add_argument("--master", default=None)
     p.add_argument("--jdbc-options", default=None,
-                   help="JSON file: lookup_properties, lookup_partitions (by table), out_properties")
+                   help="JSON file: lookup_properties, lookup_partitions (by table), lookup_keys "
+                        "(by table: key column, parts), out_properties")
     a = p.parse_args(argv)
     spark = get_spark(master=a.master) if a.master else SparkSession.builder.getOrCreate()
     # the session settings of get_spark, where the submitter set none
@@ -187,14 +262,18 @@ def main(argv=None) -> None:
             jdbc = json.load(f)
     if a.lookup_format == "jdbc":
         lookups = LookupSource("jdbc", url=a.lookups, properties=jdbc.get("lookup_properties", {}),
-                               partitions=jdbc.get("lookup_partitions", {}))
+                               partitions=jdbc.get("lookup_partitions", {}),
+                               keyed={k: tuple(v) for k, v in jdbc.get("lookup_keys", {}).items()})
     else:
         lookups = LookupSource(a.lookup_format, a.lookups)
     target = (SinkTarget("jdbc", url=a.out, properties=jdbc.get("out_properties", {})) if a.out_format == "jdbc"
               else SinkTarget(a.out_format, a.out))
-    sm, ce = build_panels(spark, a.landing, lookups)
-    run_monthly(spark, sm, ce, target, _dt.date.fromisoformat(a.as_of),
-                sections=a.sections.split(","), scope=a.scope, index=a.index, sort=a.sort)
+    how = {"sections": a.sections.split(","), "scope": a.scope, "index": a.index, "sort": a.sort}
+    as_of = _dt.date.fromisoformat(a.as_of)
+    if a.together:
+        run_published(spark, a.landing, lookups, target, as_of, **how)
+    else:
+        run_monthly(spark, *build_panels(spark, a.landing, lookups), target, as_of, **how)
 
 
 if __name__ == "__main__":

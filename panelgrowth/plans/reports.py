@@ -215,9 +215,8 @@ def run(sm_panel: DataFrame | None, ce_panel: DataFrame | None, as_of: _dt.date,
     if unknown:
         raise ValueError(f"unknown sections {unknown}; choose from {list(SECTIONS)}")
     res = Sections()
-    out = res.tables
     if "national" in sections:
-        out["national_rankings_t"] = national_report(ce_panel, as_of, scope=scope, raw_keys=raw_keys)
+        res.tables["national_rankings_t"] = national_report(ce_panel, as_of, scope=scope, raw_keys=raw_keys)
     sm_sections = set(sections) - {"national"}
     if not sm_sections:
         return res
@@ -226,8 +225,7 @@ def run(sm_panel: DataFrame | None, ce_panel: DataFrame | None, as_of: _dt.date,
         from panelgrowth.plans.fused import state_metro_sections
         levels = state_metro_sections(sm_panel, _k(None, as_of), over_threshold, under_threshold,
                                       over_size, rank_strategy=rank_strategy, keep=keep)
-        states, under, over = levels["state"], levels["under"], levels["over"]
-        metros = levels["msa"].withColumnRenamed("area_name", "state_name")
+        return assemble(levels, res)
     else:
         if rank_strategy == "auto":
             strat = rank_strategies(sm_panel)
@@ -246,15 +244,29 @@ def run(sm_panel: DataFrame | None, ce_panel: DataFrame | None, as_of: _dt.date,
         if "msa_over" in sections:
             over = metro_over_report(sm_panel, as_of, scope=scope, threshold=over_threshold,
                                      size=over_size, rank_strategy=strat["area_name"])
+    return _filled(res, states, metros, under, over)
+
+
+def assemble(levels: dict[str, DataFrame], res: Sections | None = None) -> Sections:
+    """The sink tables of the four levels of the one pass (``fused.split_levels``)."""
+    return _filled(res or Sections(), levels["state"], levels["msa"].withColumnRenamed("area_name", "state_name"),
+                   levels["under"], levels["over"])
+
+
+def _filled(res: Sections, states, metros, under, over) -> Sections:
     if metros is not None:
-        out["msa_rankings"] = metros
+        res.tables["msa_rankings"] = metros
     parts = [x for x in (states, metros) if x is not None] if states is not None else []
     if parts:
-        out["state_rankings"] = reduce(DataFrame.unionByName, parts)
+        res.tables["state_rankings"] = reduce(DataFrame.unionByName, parts)
+        res.parts["state_rankings"] = parts
     if under is not None:
-        out["msa_rankings_under"] = under
+        res.tables["msa_rankings_under"] = under
     if over is not None:
-        out["msa_rankings_over"] = over
-    if parts:
-        res.parts["state_rankings"] = parts
+        res.tables["msa_rankings_over"] = over
     return res
+
+
+#: Sink table of each section.
+SECTION_TABLES = {"national": "national_rankings_t", "states": "state_rankings", "msa": "msa_rankings",
+                  "msa_over": "msa_rankings_over", "msa_under": "msa_rankings_under"}
