@@ -109,9 +109,9 @@ def clean_ce_lookups(series, industry, supersector):
 
 def enrich_state_metro(facts: DataFrame, state, supersector, series, industry, area) -> DataFrame:
     """J1 + J6: facts joined to the five state/metro lookups."""
-    return enrich(facts, clean_sm_lookups(state, supersector, series, industry, area))
+    return enrich(facts, clean_sm_lookups(state, supersector, series, industry, area), salt=True)
 
 
 def enrich_national(facts: DataFrame, series, industry, supersector) -> DataFrame:
     """Facts joined to the three national lookups."""
-    return enrich(facts, clean_ce_lookups(series, industry, supersector))
+    return enrich(facts, clean_ce_lookups(series, industry, supersector), salt=True)
