@@ -7,7 +7,7 @@ import random
 import numpy as np
 import pandas as pd
 
-from panelgrowth.operators.frame import frame_growth_fractions, frame_index
+from panelgrowth.operators.frame import carry_forward, frame_growth_fractions, frame_index, series_index
 
 KEYS = ["area_name", "supersector_name", "industry_name", "year", "Month"]
 SCHEMA = ("area_name string, supersector_name string, industry_name string, year string, "
@@ -64,9 +64,9 @@ def test_frame_index_is_key_order(spark):
 
 def test_frame_growth_matches_whole_frame(spark):
     rows = _random_cells()
-    for k, buckets in ((2, 7), (11, 3)):
+    for k, size, fan in ((2, 13, 2), (11, 60, 3), (0, 5000, 1024)):
         want = _pandas_frame(rows, k)
-        got = frame_growth_fractions(spark.createDataFrame(rows, SCHEMA), KEYS, k, buckets=buckets)
+        got = frame_growth_fractions(spark.createDataFrame(rows, SCHEMA), KEYS, k, bucket_rows=size, fan=fan)
         got = got.toPandas().sort_values(KEYS).reset_index(drop=True)
         assert len(got) == len(want)
         for c in ["value_ytd_avg", "value_ann_avg", "_f_mom", "_f_ytd", "_f_ann", "_f_yoy",
@@ -86,6 +86,39 @@ def test_frame_index_repeatable(spark):
     assert {key(r): r["frame_index"] for r in a.collect()} == {key(r): r["frame_index"] for r in b.collect()}
 
 
+def test_series_index_equals_frame_index(spark):
+    rows = _random_cells(seed=9) + [(a, "ss", "i", "2001", f"{m:02d}", 1.0, 1.0) for a in ("", "a", "aé", "zz", "日本", "a b")
+                                    for m in range(1, 4) if a != "a"]
+    df = spark.createDataFrame(rows, SCHEMA).repartition(5)
+    key = lambda r: tuple(r[c] for c in KEYS)
+    want = {key(r): r["frame_index"] for r in frame_index(df, KEYS)[0].collect()}
+    for series in (KEYS[:3], KEYS[:1]):
+        got = series_index(df, series, KEYS[len(series):])
+        assert got.columns == [*df.columns, "frame_index"]
+        assert {key(r): r["frame_index"] for r in got.collect()} == want
+
+
+def test_frame_scope_writes_no_checkpoint(spark, monkeypatch):
+    df = spark.createDataFrame(_random_cells(), SCHEMA)
+    for name in ("checkpoint", "localCheckpoint"):
+        monkeypatch.setattr(type(df), name, lambda self, *a, n=name, **k: (_ for _ in ()).throw(AssertionError(n)))
+    out = frame_growth_fractions(df, KEYS, 2)
+    assert "Checkpoint" not in out._jdf.queryExecution().executedPlan().toString() and out.count() == len(_random_cells())
+
+
+def test_many_buckets_carry_forward(spark):
+    from pyspark.sql import functions as F
+    n = 100_000
+    some = F.when(F.col("id") % 977 == 3, F.col("id").cast("double"))
+    one = F.when(F.col("id") == 70_001, F.lit(7.0))
+    summary = spark.range(n).select(F.col("id").alias("_b"), some.alias("_last_x"), one.alias("_last_y"))
+    got = {r["_b"]: (r["_carry_x"], r["_carry_y"]) for r in carry_forward(summary, ["x", "y"]).collect()}
+    assert len(got) == n
+    for b in range(n):
+        last = (b - 4) // 977 * 977 + 3 if b > 3 else None
+        assert got[b] == (None if last is None else float(last), 7.0 if b > 70_001 else None)
+
+
 def test_empty_input(spark):
     empty = spark.createDataFrame([], SCHEMA)
     idx, n = frame_index(empty, KEYS)
@@ -109,11 +142,11 @@ try:
     @settings(max_examples=6, deadline=None)
     @given(spec=st.lists(st.tuples(st.integers(1, 40), st.integers(0, 3), st.integers(0, 6)),
                          min_size=1, max_size=6),
-           k=st.integers(0, 11), buckets=st.integers(1, 9))
-    def test_frame_growth_property(spark, spec, k, buckets):
+           k=st.integers(0, 11), size=st.integers(1, 60), fan=st.integers(1, 4))
+    def test_frame_growth_property(spark, spec, k, size, fan):
         rows = _cells_from(spec)
         want = _pandas_frame(rows, k)
-        got = frame_growth_fractions(spark.createDataFrame(rows, SCHEMA), KEYS, k, buckets=buckets)
+        got = frame_growth_fractions(spark.createDataFrame(rows, SCHEMA), KEYS, k, bucket_rows=size, fan=fan)
         got = got.toPandas().sort_values(KEYS).reset_index(drop=True)
         assert len(got) == len(want)
         for c in ["value_ytd_avg", "value_ann_avg", "_f_mom", "_f_ytd", "_f_ann", "_f_yoy"]:
