@@ -32,7 +32,7 @@ from panelgrowth.operators.filters import (  # noqa: E402
     ADJUSTED, area_exclusion, not_statewide, statewide_only,
 )
 from panelgrowth.operators.growth import finish_growth, growth_fractions  # noqa: E402
-from panelgrowth.operators.pairing import over_cohort, paired_sums, under_rows  # noqa: E402
+from panelgrowth.operators.pairing import over_cohort, paired_sums, single_sums, under_rows  # noqa: E402
 from panelgrowth.operators.ranks import with_peer_ranks  # noqa: E402
 from panelgrowth.plans import reports as R  # noqa: E402
 from panelgrowth.plans.panels import (  # noqa: E402
@@ -42,7 +42,7 @@ from panelgrowth.sinks.writers import (  # noqa: E402
     SinkTarget, scratch_path, write_feed_tsv, write_reports,
 )
 from panelgrowth.sources.analog import (  # noqa: E402
-    analog_facts, analog_feed_text, analog_national_facts, table,
+    analog_facts, analog_feed_text, analog_national_facts, edge_facts, edge_national_facts, table,
 )
 from panelgrowth.sources.feeds import date_ref_from_column, read_facts  # noqa: E402
 
@@ -313,7 +313,7 @@ _LANDINGS: dict = {}
 
 def _landing(spark, sf):
     from panelgrowth.sources.analog import write_analog_landing
-    key = (id(spark), sf)
+    key = (spark.sparkContext.applicationId, sf)
     if key not in _LANDINGS:
         _LANDINGS[key] = write_analog_landing(spark, sf)
     return _LANDINGS[key]
@@ -403,9 +403,8 @@ def _frame_metrics(cells: DataFrame, entity: str, keep_index: bool = False) -> D
 
 
 def q_frame_index(spark, sf):
-    from panelgrowth.operators.frame import frame_index
-    indexed, _ = frame_index(_metro_cells(spark, sf), METRO_KEYS)
-    return indexed.select(*METRO_KEYS, "value", "frame_index")
+    from panelgrowth.operators.frame import series_index
+    return series_index(_metro_cells(spark, sf), METRO_KEYS[:3]).select(*METRO_KEYS, "value", "frame_index")
 
 
 def q_frame_lag_growth_12(spark, sf):
@@ -456,7 +455,144 @@ def _monthly_table(table: str):
     return query
 
 
+# --- values that the rules act on (edge analog) -----------------------------------
+
+EDGE_UNDER = 2000.0                    # on value, an eighth of the price
+
+
+def _edge_panel(spark, sf):
+    return state_metro_panel(edge_facts(spark, sf), extra=("size",))
+
+
+def q_edge_panel(spark, sf):
+    """Rows of the panel, with an excluded state, missing names and values."""
+    return split_state_metro(clean_state_metro(edge_facts(spark, sf, with_ids=True), extra=IDS)).select(
+        *IDS, *PANEL_COLS)
+
+
+def q_edge_state_report(spark, sf):
+    return R.state_report(_edge_panel(spark, sf), AS_OF)
+
+
+def q_edge_state_report_january(spark, sf):
+    """k = 0: the year-to-date columns are missing."""
+    return R.state_report(_edge_panel(spark, sf), _dt.date(2002, 1, 5))
+
+
+def q_edge_state_report_march(spark, sf):
+    """k = 2."""
+    return R.state_report(_edge_panel(spark, sf), _dt.date(2001, 3, 5))
+
+
+def q_edge_metro_report(spark, sf):
+    return R.metro_report(_edge_panel(spark, sf), AS_OF)
+
+
+def q_edge_metro_report_sorted(spark, sf):
+    """W10, W11 over many ties, from one range sort."""
+    return R.metro_report(_edge_panel(spark, sf), AS_OF, rank_strategy="sorted")
+
+
+def q_edge_metro_under_report(spark, sf):
+    return R.metro_under_report(_edge_panel(spark, sf), AS_OF, threshold=EDGE_UNDER)
+
+
+def q_edge_metro_over_report(spark, sf):
+    return R.metro_over_report(_edge_panel(spark, sf), AS_OF, threshold=OVER_THRESHOLD, size=OVER_SIZE)
+
+
+def q_edge_metro_report_frame(spark, sf):
+    """Fills over missing values that reach across series."""
+    return R.metro_report(_edge_panel(spark, sf), AS_OF, scope="frame")
+
+
+def q_edge_national_report(spark, sf):
+    return R.national_report(national_panel(edge_national_facts(spark, sf)), AS_OF)
+
+
+def q_edge_strip_text(spark, sf):
+    """Fields padded with every white-space character on both sides."""
+    li = table(spark, sf, "lineitem")
+    pad = lambda c: F.concat(F.lit(" \t\r"), c.cast("string"), F.lit("\x0b\x0c\n "))
+    return li.select(*IDS, strip_all(pad(F.col("l_quantity"))).alias("value"),
+                     strip_all(pad(F.concat_ws("\t", "l_returnflag", "l_linestatus"))).alias("flags"),
+                     strip_all(F.concat(F.lit("\t"), F.lit("\r\n"))).alias("blank"))
+
+
+def q_paired_sums_fractional(spark, sf):
+    """Sums of prices, whatever the order of the rows."""
+    panel = _panel(spark, sf).withColumn("value", F.col("size"))
+    return paired_sums(statewide_only(panel), ["state_name"] + TAIL, "left")
+
+
+def q_single_sums_fractional(spark, sf):
+    return single_sums(not_statewide(_panel(spark, sf)).withColumn("value", F.col("size")), ["area_name"] + TAIL)
+
+
+def q_salted_enrichment(spark, sf):
+    """Lines joined to their orders' attributes with the hot keys salted; a third of
+    the lines carry one key."""
+    from panelgrowth.operators.enrich import hot_keys, salted_join
+    li = table(spark, sf, "lineitem")
+    key = F.when(F.col("l_orderkey") % 3 == 0, F.lit(-1)).otherwise(F.col("l_suppkey"))
+    facts = li.select(*IDS, key.cast("long").alias("code"), "l_quantity")
+    supplier = table(spark, sf, "supplier")
+    lookup = supplier.select(F.col("s_suppkey").cast("long").alias("code"), "s_name").unionByName(
+        supplier.agg(F.lit(-1).cast("long").alias("code"), F.lit("hot").alias("s_name")))
+    return salted_join(facts, lookup, ["code"], hot_keys(facts, ["code"], share=0.2), salts=8)
+
+
+def q_feed_load_report(spark, sf):
+    """A feed of three folders, one listed twice, and an empty file."""
+    from panelgrowth.sources.feeds import feed_headers, load_report
+    feed = analog_feed_text(spark, sf)
+    paths = {x: scratch_path(spark, f"feed-{x}") for x in ("open", "shipped", "none")}
+    write_feed_tsv(feed.filter(F.col("footnote_codes").isNotNull()), paths["open"], files=1)
+    write_feed_tsv(feed.filter(F.col("footnote_codes").isNull()), paths["shipped"], files=1)
+    spark.createDataFrame([("\t".join(feed.columns),)], "line string").coalesce(1).write.text(paths["none"])
+    listed = [paths["open"], paths["shipped"], paths["none"], paths["open"]]
+    files = feed_headers(spark, listed)
+    facts = read_facts(spark, listed, file_column="source_file", files=files)
+    return load_report(files, facts, "source_file").select(
+        F.regexp_extract("file", "feed-([a-z]+)-", 1).alias("feed"), "listed", "rows", "status")
+
+
+def q_published_under(spark, sf):
+    """K8, M7: a table of a set that was published at once, from the text feeds."""
+    from panelgrowth.plans.job import run_published
+    from panelgrowth.sinks.publish import read_published
+    target = SinkTarget("parquet", scratch_path(spark, "published"))
+    landing, lookups = _landing(spark, sf)
+    run_published(spark, landing, lookups, target, AS_OF, over_threshold=FEED_OVER_THRESHOLD,
+                  under_threshold=UNDER_THRESHOLD)
+    return read_published(spark, target, "msa_rankings_under")
+
+
+def q_monthly_date_ref(spark, sf):
+    """K6: the run-date table of the whole job, of a run date taken from the data."""
+    from panelgrowth.plans.job import run_monthly
+    target = SinkTarget("parquet", scratch_path(spark, "dated"))
+    as_of = table(spark, sf, "lineitem").agg(F.max("l_shipdate").cast("date")).first()[0]
+    run_monthly(spark, _panel(spark, sf), _national_panel(spark, sf), target, as_of,
+                over_threshold=OVER_THRESHOLD, under_threshold=UNDER_THRESHOLD, over_size="size")
+    return spark.read.parquet(target.path("date_ref_t"))
+
+
+def q_states_only_tables(spark, sf):
+    """M7: one section alone; its table holds the states without the metros."""
+    from panelgrowth.plans.job import run_monthly
+    target = SinkTarget("parquet", scratch_path(spark, "states-only"))
+    run_monthly(spark, _panel(spark, sf), None, target, AS_OF, sections=["states"])
+    return spark.read.parquet(target.path("state_rankings"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    **{f.__name__[2:]: f for f in (
+        q_edge_panel, q_edge_state_report, q_edge_state_report_january, q_edge_state_report_march,
+        q_edge_metro_report, q_edge_metro_report_sorted, q_edge_metro_under_report, q_edge_metro_over_report,
+        q_edge_metro_report_frame, q_edge_national_report, q_edge_strip_text, q_paired_sums_fractional,
+        q_single_sums_fractional, q_salted_enrichment, q_feed_load_report, q_published_under,
+        q_monthly_date_ref, q_states_only_tables)},
     "national_report": q_national_report,
     "state_report": q_state_report,
     "metro_report": q_metro_report,
@@ -574,7 +710,41 @@ def _oracles() -> dict[str, str]:
     combined = (
         f"SELECT * FROM ({O.report_sql('state_name', STATEWIDE_SQL, 'left', K, 'first')}) "
         f"UNION ALL SELECT * FROM ({O.report_sql('area_name', NOT_STATEWIDE_SQL, 'left', K, 'first')})")
+    edge = {"base": O.BASE_EDGE}
+    edge_under = f"{NOT_STATEWIDE_SQL} AND industry_name = 'Total Nonfarm' AND value < {EDGE_UNDER}{O.D}"
+    cents = "sum(CAST(value AS DECIMAL(18, 2)))::DOUBLE"
+    priced = O.BASE.replace("CAST(l.l_quantity AS DOUBLE) AS value", "CAST(l.l_extendedprice AS DOUBLE) AS value")
+    summed = f"{priced},\n" + O.pair_ctes("panel", STATEWIDE_SQL, "state_name", "left", total=cents)
     return {
+        "edge_panel": f"{O.BASE_EDGE}\nSELECT l_orderkey, l_linenumber, {PANEL_SQL} FROM panel",
+        "edge_state_report": O.report_sql("state_name", STATEWIDE_SQL, "left", K, "first", **edge),
+        "edge_state_report_january": O.report_sql("state_name", STATEWIDE_SQL, "left", 0, "first", **edge),
+        "edge_state_report_march": O.report_sql("state_name", STATEWIDE_SQL, "left", 2, "first", **edge),
+        "edge_metro_report": O.report_sql("area_name", NOT_STATEWIDE_SQL, "left", K, "first", **edge),
+        "edge_metro_report_sorted": O.report_sql("area_name", NOT_STATEWIDE_SQL, "left", K, "first", **edge),
+        "edge_metro_under_report": O.report_sql("area_name", edge_under, "left", K, "average", **edge),
+        "edge_metro_over_report": O.report_sql("area_name", _over_where(), "left", K, "average", value_from="S", **edge),
+        "edge_metro_report_frame": O.report_sql("area_name", NOT_STATEWIDE_SQL, "left", K, "first", frame=True, **edge),
+        "edge_national_report": O.national_sql(K, **edge),
+        "edge_strip_text": """SELECT l_orderkey, l_linenumber, CAST(l_quantity AS VARCHAR) AS value,
+  concat_ws(chr(9), l_returnflag, l_linestatus) AS flags, '' AS blank FROM lineitem""",
+        "paired_sums_fractional": f"{summed}\nSELECT * FROM cells",
+        "single_sums_fractional": f"""{priced}
+SELECT {ms}, {cents} AS value, {cents} AS value_mom FROM panel
+WHERE {NOT_STATEWIDE_SQL} AND area_name IS NOT NULL GROUP BY {ms}""",
+        "salted_enrichment": """SELECT l_orderkey, l_linenumber, l_quantity,
+  CASE WHEN l_orderkey % 3 = 0 THEN -1 ELSE l_suppkey END AS code,
+  CASE WHEN l_orderkey % 3 = 0 THEN 'hot' ELSE s_name END AS s_name
+FROM lineitem LEFT JOIN supplier ON s_suppkey = l_suppkey
+WHERE l_orderkey % 3 = 0 OR s_suppkey IS NOT NULL""",
+        "feed_load_report": """SELECT 'open' AS feed, CAST(2 AS INTEGER) AS listed, 2 * count(*) AS rows, 'listed twice' AS status
+FROM lineitem WHERE l_linestatus = 'O'
+UNION ALL SELECT 'shipped', 1, count(*), 'ok' FROM lineitem WHERE l_linestatus IS DISTINCT FROM 'O'
+UNION ALL SELECT 'none', 1, 0, 'empty'""",
+        "published_under": O.report_sql("area_name", _under_where(), "left", K, "average"),
+        "monthly_date_ref": ("SELECT CAST(month(max(l_shipdate)) - 1 AS VARCHAR) AS month, "
+                             "CAST(year(max(l_shipdate)) AS VARCHAR) AS year FROM lineitem"),
+        "states_only_tables": O.report_sql("state_name", STATEWIDE_SQL, "left", K, "first"),
         "national_report": O.national_sql(K),
         "state_report": O.report_sql("state_name", STATEWIDE_SQL, "left", K, "first"),
         "metro_report": O.report_sql("area_name", NOT_STATEWIDE_SQL, "left", K, "first"),

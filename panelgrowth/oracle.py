@@ -76,6 +76,21 @@ BASE = f"WITH {RAW},\n{CLEANED},\n{PANEL},\n{NATIONAL_PANEL}"
 # the same panel with nation names as state names
 BASE_NATION = BASE.replace("r.r_name AS state_name", "n.n_name AS state_name")
 
+# the analog facts with the values that the rules act on
+EDGE_RAW = RAW.replace("raw AS (", "raw0 AS (", 1) + """,
+raw AS (
+  SELECT * REPLACE (
+    CASE WHEN state_name = 'AFRICA' THEN 'Puerto Rico'
+         WHEN state_name = 'ASIA' AND l_orderkey % 2 = 1 THEN 'AS' || chr(13) || 'IA' || chr(13)
+         WHEN state_name = 'EUROPE' AND l_orderkey % 11 = 0 THEN NULL ELSE state_name END AS state_name,
+    CASE WHEN supersector_name = 'HOUSEHOLD' AND l_orderkey % 3 = 0
+         THEN chr(13) || 'HOUSEHOLD' || chr(13) ELSE supersector_name END AS supersector_name,
+    CASE WHEN l_orderkey % 4 = 0 THEN NULL WHEN l_orderkey % 13 = 0 THEN 0
+         WHEN supersector_name = 'MACHINERY' THEN 0.125 ELSE floor(size) / 8 END::DOUBLE AS value)
+  FROM raw0
+)"""
+BASE_EDGE = f"WITH {EDGE_RAW},\n{CLEANED},\n{PANEL},\n{NATIONAL_PANEL}"
+
 TAIL = ["supersector_name", "industry_name", "year", "Month"]
 
 
@@ -88,8 +103,8 @@ def pct(x: str) -> str:
 
 
 def pair_ctes(source: str, where: str, entity: str | None, how: str,
-              value_from: str = "U") -> str:
-    """Two group sums joined on the cell keys."""
+              value_from: str = "U", total: str = "sum(value)") -> str:
+    """Two group sums (``total``) joined on the cell keys."""
     keys = ([entity] if entity else []) + TAIL
     k = ", ".join(keys)
     notnull = " AND ".join(f"{c} IS NOT NULL" for c in keys)
@@ -97,11 +112,11 @@ def pair_ctes(source: str, where: str, entity: str | None, how: str,
     on = " AND ".join(f"u.{c} = s.{c}" for c in keys)
     uk = ", ".join(f"u.{c}" for c in keys)
     return f"""u AS (
-  SELECT {k}, sum(value) AS value FROM {source}
+  SELECT {k}, {total} AS value FROM {source}
   WHERE seasonal = '{value_from}' AND {where} AND {notnull} GROUP BY {k}
 ),
 s AS (
-  SELECT {k}, sum(value) AS value_mom FROM {source}
+  SELECT {k}, {total} AS value_mom FROM {source}
   WHERE seasonal = 'S' AND {where} AND {notnull} GROUP BY {k}
 ),
 cells AS (
@@ -204,7 +219,7 @@ def national_index_sql(k: int) -> str:
     return head + renamed + tail
 
 
-def national_sql(k: int, frame: bool = False) -> str:
+def national_sql(k: int, frame: bool = False, base: str = BASE) -> str:
     keys = ["supersector_name", "industry_name"]
     order = "supersector_name, industry_name, year, Month"
     fin = finish_cols()
@@ -220,6 +235,6 @@ def national_sql(k: int, frame: bool = False) -> str:
             f"{fin['pct_change_mom']} AS pct_change_mom", "'' AS rank_mom",
             f"{fin['abs_change_mom']} AS abs_change_mom"]
     sel = ",\n  ".join(cols)
-    return (f"{BASE},\n{pair_ctes('npanel', 'TRUE', None, 'inner')},\n"
+    return (f"{base},\n{pair_ctes('npanel', 'TRUE', None, 'inner')},\n"
             f"{metric_ctes(keys, k, order if frame else 'year, Month', frame)}\n"
             f"SELECT\n  {sel}\nFROM m2")

@@ -41,14 +41,14 @@ TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineite
           "conversations")
 
 
-_TABLES: dict[tuple[int, str], DataFrame] = {}
+_TABLES: dict[tuple[str, str], DataFrame] = {}
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """One parquet table; the DataFrame (a plan, no data) is reused within a
     session so its schema and file listing are resolved once."""
     path = f"{sf_dir.rstrip('/')}/{name}.parquet"
-    key = (id(spark), path)
+    key = (spark.sparkContext.applicationId, path)
     df = _TABLES.get(key)
     if df is None or df.sparkSession is not spark:
         df = spark.read.parquet(path)
@@ -115,6 +115,30 @@ def analog_national_facts(spark: SparkSession, sf_dir: str, with_ids: bool = Fal
     return facts.select(*((["l_orderkey", "l_linenumber"] if with_ids else []) + keep))
 
 
+def edge_facts(spark: SparkSession, sf_dir: str, with_ids: bool = False) -> DataFrame:
+    """The analog facts with the values that the rules act on: an excluded state, a
+    state that is missing, carriage returns in names (which merge two of them), values
+    that are no number, zeros, fractions (eighths, so that sums are exact in any engine),
+    and one supersector whose small equal values make many ties."""
+    facts = analog_facts(spark, sf_dir, with_ids=True)
+    state, sector, order = F.col("state_name"), F.col("supersector_name"), F.col("l_orderkey")
+    eighths = (F.floor("size") / F.lit(8.0)).cast("string")
+    edge = facts.withColumns({
+        "state_name": F.when(state == "AFRICA", "Puerto Rico")
+        .when((state == "ASIA") & (order % 2 == 1), F.lit("AS\rIA\r"))
+        .when((state == "EUROPE") & (order % 11 == 0), F.lit(None)).otherwise(state),
+        "supersector_name": F.when((sector == "HOUSEHOLD") & (order % 3 == 0), F.lit("\rHOUSEHOLD\r")).otherwise(sector),
+        "value": F.when(order % 4 == 0, "-").when(order % 13 == 0, "0")
+        .when(sector == "MACHINERY", "0.125").otherwise(eighths),
+    })
+    return edge if with_ids else edge.drop("l_orderkey", "l_linenumber")
+
+
+def edge_national_facts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return edge_facts(spark, sf_dir).select(
+        "supersector_name", "industry_name", "period", "year", "value", "data_type_code", "seasonal")
+
+
 def analog_feed_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The lineitem facts rendered as a text feed laid out like the public
     time-series files: series id padded on the right, value right-aligned,
