@@ -98,6 +98,11 @@ def _place(dim: str = "_dim") -> Column:
     return F.struct(F.element_at("_dims", F.col(dim) + 1).alias("v"), *TIES)
 
 
+def _root() -> Column:
+    """Node 1, as a value of the row: joins by a constant would lose their key."""
+    return F.when(F.col("size") > 0, F.lit(1)).otherwise(F.lit(0)).cast("long")
+
+
 class KdTree:
     """The cuts of a table; ``assign`` adds the shard of each row."""
 
@@ -121,7 +126,7 @@ class KdTree:
         ties = [extent(whole, n_dims + i) for i in range(len(TIES))]
         span = [max(extent(whole, i)[1] - extent(whole, i)[0], 1) for i in range(n_dims)]
         nodes, rows = {1: (0, k)}, {1: whole}  # node: its first shard, how many
-        level = table.withColumn("node", F.lit(1).cast("long"))
+        level = table.withColumn("node", _root())
         while any(n > 1 for _, n in nodes.values()):
             found = {}
             for node, (_, n) in nodes.items():
@@ -193,7 +198,7 @@ class KdTree:
 
     def assign(self, rows: DataFrame) -> DataFrame:
         """``keyed`` rows with their ``shard``."""
-        out = rows.withColumn("node", F.lit(1).cast("long"))
+        out = rows.withColumn("node", _root())
         for cuts in self.levels:
             out = self._down(out, cuts)
         shards = self.spark.createDataFrame([(n, s) for n, s in self.shard_of.items()], "node long, shard int")
