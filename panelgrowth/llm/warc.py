@@ -21,11 +21,13 @@ import datetime as dt
 import hashlib
 import re
 import zlib
+from itertools import chain
 from typing import Iterator
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from panelgrowth.llm.common import only, shared_folder, written
 from panelgrowth.llm.files import new_name, open_in, open_out
@@ -34,6 +36,10 @@ MIN_REVISIT = 1000
 #: An archive is closed beyond this many bytes or records.
 ARCHIVE_BYTES = 256 << 20
 ARCHIVE_RECORDS = 100_000
+#: Rows of a run that the merge holds.
+HEAD_ROWS = 512
+#: Seconds of the first moment of the year 1 and the last of the year 9999.
+FIRST_TIME, LAST_TIME = -62_135_596_800, 253_402_300_799
 #: Fixed value: the profile of a revisit with an equal payload.
 PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 
@@ -58,16 +64,21 @@ def _header(name: str, value: str) -> bytes:
     return f"{name}: {re.sub(r'[\x00-\x1f\x7f]', lambda c: f'%{ord(c[0]):02X}', value)}\r\n".encode()
 
 
+def warc_date(ts: int) -> str:
+    """The date of a time in seconds; times beyond the years 1 to 9999 get their ends."""
+    date = dt.datetime(1970, 1, 1) + dt.timedelta(seconds=min(max(ts, FIRST_TIME), LAST_TIME))
+    return f"{date.year:04d}-{date:%m-%dT%H:%M:%SZ}"
+
+
 def record(page_id: int | None, url: str | None, payload: bytes, digest: str, ts: int,
            refers_to: int | None) -> bytes:
     """One gzip member holding a response, or a revisit where ``refers_to`` is given."""
     head = (b"HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8\r\n"
             + f"Content-Length: {len(payload)}\r\n\r\n".encode())
     block = head + (payload if refers_to is None else b"")
-    date = dt.datetime.fromtimestamp(ts, dt.timezone.utc).strftime("%Y-%m-%dT%H:%M:%SZ")
     out = (b"WARC/1.1\r\n" + _header("WARC-Type", "response" if refers_to is None else "revisit")
            + _header("WARC-Record-ID", f"<urn:page:{'none' if page_id is None else page_id}>")
-           + _header("WARC-Date", date) + _header("WARC-Target-URI", url or "urn:none")
+           + _header("WARC-Date", warc_date(ts)) + _header("WARC-Target-URI", url or "urn:none")
            + _header("WARC-Payload-Digest", f"sha1:{digest}"))
     if refers_to is not None:
         out += _header("WARC-Refers-To", f"<urn:page:{refers_to}>") + _header("WARC-Profile", PROFILE)
@@ -155,7 +166,12 @@ def _order(row: tuple) -> tuple:
 
 def with_revisits(pages: DataFrame, min_bytes: int = MIN_REVISIT) -> DataFrame:
     """page_id, url, html, ts, digest, refers_to (NULL: a response)."""
-    p = only(pages, page_id=("page_id", "long"), url=("url", "string"), html=("html", "string"), ts=("ts", "long"))
+    kind = pages.schema["ts"].dataType if "ts" in pages.columns else None
+    seconds = F.lit(None)
+    if isinstance(kind, (T.NumericType, T.TimestampType)):
+        seconds = F.col("ts").try_cast("long")
+    p = only(pages.withColumn("ts", seconds.cast("long")), page_id=("page_id", "long"), url=("url", "string"),
+             html=("html", "string"), ts=("ts", "long"))
     p = (p.withColumn("html", F.coalesce("html", F.lit(""))).withColumn("digest", F.sha1("html"))
          .withColumn("ts", F.coalesce("ts", F.greatest("page_id", F.lit(0)), F.lit(0))))
     # one row per repeated payload; a hot one is reduced before the shuffle
@@ -170,8 +186,8 @@ def with_revisits(pages: DataFrame, min_bytes: int = MIN_REVISIT) -> DataFrame:
 
 def write_archives(pages: DataFrame, folder: str | None = None, min_bytes: int = MIN_REVISIT) -> tuple[str, DataFrame]:
     """Writes the archives; returns their folder and the sorted runs of index
-    entries.  ``pages`` may have a ``ts`` column (seconds); without one the
-    page id stands for it."""
+    entries.  ``pages`` may have a ``ts`` column (seconds as a number, or a
+    timestamp); without one, or where it is NULL, the page id stands for it."""
     folder = folder or shared_folder(pages.sparkSession, "warc")
     rows = with_revisits(pages, min_bytes).select("page_id", "url", "html", "ts", "digest", "refers_to")
 
@@ -203,31 +219,68 @@ def write_archives(pages: DataFrame, folder: str | None = None, min_bytes: int =
     return folder, written(rows.mapInArrow(write, INDEX), "warc-runs")
 
 
-def merge_index(runs: DataFrame) -> DataFrame:
+def merge_index(runs: DataFrame, folder: str | None = None) -> DataFrame:
     """The runs merged into one index in order of URL key, timestamp and page:
     partition after partition, and inside each.  A key's many captures may lie
-    in several partitions, split by timestamp and page."""
+    in several partitions, split by timestamp and page.
+
+    A task spools the segments of its range, run after run, to a file in the shared
+    folder and merges them from there: of each run it holds ``HEAD_ROWS`` rows."""
     n = max(int(runs.sparkSession.conf.get("spark.sql.shuffle.partitions")), 1)
+    folder = folder or shared_folder(runs.sparkSession, "warc-segments")
     keys = ["urlkey", "ts", "page_id"]
     dealt = runs.repartitionByRange(n, *keys).sortWithinPartitions("run", *keys)
 
     def merge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        segments: dict[str, list] = {}
-        for batch in batches:
-            for row in zip(*(c.to_pylist() for c in batch.columns)):
-                segments.setdefault(row[3], []).append(row)
+        first = next((b for b in batches if b.num_rows), None)
+        if first is None:
+            return
+        name = new_name("segments", ".arrow")
+        with open_out(folder, name) as out:
+            segments = spool(chain([first], batches), out)
         out = []
-        for row in LoserTree(list(segments.values()), _order):
-            out.append(row)
-            if len(out) == 8192:
-                yield _batch(out)
-                out = []
+        with open_in(folder, name) as source:
+            file = pa.ipc.open_file(source)
+            for row in LoserTree([rows_of(file, own) for own in segments], _order):
+                out.append(row)
+                if len(out) == 8192:
+                    yield _batch(out)
+                    out = []
         if out:
             yield _batch(out)
 
     return dealt.mapInArrow(merge, INDEX)
 
 
+def spool(batches: Iterator[pa.RecordBatch], out) -> list[list[int]]:
+    """Writes rows that come run after run; the numbers of each run's batches."""
+    segments: list[list[int]] = []
+    last, n = None, 0
+    with pa.ipc.new_file(out, _INDEX_SCHEMA) as file:
+        for batch in batches:
+            names = batch.column(3).to_pylist()
+            at = 0
+            while at < len(names):
+                end = at + 1
+                while end < len(names) and names[end] == names[at] and end - at < HEAD_ROWS:
+                    end += 1
+                if names[at] != last:
+                    segments.append([])
+                    last = names[at]
+                part = batch.slice(at, end - at)
+                file.write_batch(pa.record_batch([c.cast(t) for c, t in zip(part.columns, _INDEX_SCHEMA.types)],
+                                                 schema=_INDEX_SCHEMA))
+                segments[-1].append(n)
+                at, n = end, n + 1
+    return segments
+
+
+def rows_of(file, numbers: list[int]) -> Iterator[tuple]:
+    """The rows of a spooled run, a batch at a time."""
+    for k in numbers:
+        yield from zip(*(c.to_pylist() for c in file.get_batch(k).columns))
+
+
 def _batch(rows: list[tuple]) -> pa.RecordBatch:
     return pa.record_batch([pa.array(c, t) for c, t in zip(zip(*rows), _INDEX_SCHEMA.types)], schema=_INDEX_SCHEMA)
 

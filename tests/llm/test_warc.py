@@ -1,7 +1,13 @@
 import hashlib
 import random
 
-from panelgrowth.llm.warc import LoserTree, archive_digest, merge_index, parse, read_records, record, url_key, write_archives
+import pyarrow as pa
+import pytest
+from pyspark.sql import functions as F
+
+from panelgrowth.llm.warc import (
+    LoserTree, archive_digest, merge_index, parse, read_records, record, rows_of, spool, url_key, write_archives,
+)
 
 
 def _pages(spark):
@@ -53,6 +59,40 @@ def test_record_round_trip():
     assert (r["record_type"], r["refers_to"], r["payload"], r["payload_bytes"]) == ("revisit", 7, None, 3)
 
 
+def test_any_page_id_and_time(spark):
+    rows = [(10**12, "u", "a"), (1 << 62, "u", "b"), (-(1 << 62), "u", "c" * 1200), (5, "u", "c" * 1200), (None, "u", "d")]
+    df = spark.createDataFrame(rows, "page_id long, url string, html string")
+    assert sorted((tuple(r) for r in archive_digest(df).collect()), key=str) == _expected(rows)
+
+
+@pytest.mark.parametrize("ts", ["'2024-01-02T03:04:05Z'", "array(1)", "double('NaN')", "1e300D", "-9e18D",
+                                "timestamp'2024-01-02 03:04:05'", "cast(null as int)", "12.7BD"])
+def test_a_column_named_ts_of_any_type(spark, ts):
+    rows, df = _pages(spark)
+    df = df.withColumn("ts", F.expr(ts))
+    assert sorted((tuple(r) for r in archive_digest(df).collect()), key=str) == _expected(rows)
+
+
+def test_merge_holds_a_batch_of_each_run():
+    from panelgrowth.llm import warc
+    rng = random.Random(5)
+    runs = [sorted((f"k{rng.randint(0, 99):02d}", rng.randint(0, 9), i, f"run{r}", 0, 1, "response", "d") for i in range(2000))
+            for r in range(4)]
+    sink = pa.BufferOutputStream()
+    parts = spool(iter([warc._batch(x[i:i + 700]) for x in runs for i in range(0, 2000, 700)]), sink)
+    file, read = pa.ipc.open_file(sink.getvalue()), []
+
+    class Counted:
+        def get_batch(self, k):
+            read.append(k)
+            return file.get_batch(k)
+
+    tree = iter(LoserTree([rows_of(Counted(), own) for own in parts], warc._order))
+    next(tree)
+    assert len(read) == 4 and all(file.get_batch(k).num_rows <= warc.HEAD_ROWS for k in read)
+    assert [warc._order(r) for r in tree] == sorted(warc._order(r) for x in runs for r in x)[1:]
+
+
 def test_loser_tree():
     rng = random.Random(2)
     for k in (0, 1, 2, 3, 7, 16):
