@@ -7,13 +7,13 @@ on good and on bad documents, and the share of good ones.  The posterior of a
 document's votes is its label.  A linear scorer over hashed features of the
 text is trained on these labels and scores every document.
 
-Only the scorer's fit uses a sample: the ``SAMPLE_DOCS`` documents with the
-smallest hash of their id (the documented bound).  Votes, pattern counts,
+Only the scorer's fit uses a sample: the ``SAMPLE_DOCS`` distinct documents (id
+and text) with the smallest hash (the documented bound).  Votes, pattern counts,
 posteriors and scores cover all documents.
 
 Defined results: a NULL or empty text has no features; its score is the
-posterior of a wordless text's votes.  A document with a NULL id is labelled and scored like
-others.  Repeated rows get equal scores.  An empty table gives an empty result.
+posterior of a wordless text's votes.  A document with a NULL id is labelled, drawn
+and scored like others; texts that share an id are drawn each by itself.  Repeated rows get equal scores.  An empty table gives an empty result.
 Extra columns are ignored.
 """
 
@@ -64,11 +64,11 @@ def labellers() -> dict[str, tuple[Column, Column]]:
 
 
 def votes(docs: DataFrame) -> DataFrame:
-    """doc_id, n_words and ``votes``: one digit per labeller, 0 bad, 1 abstains, 2 good."""
-    f = features(docs)
+    """doc_id, text_hash, n_words and ``votes``: one digit per labeller, 0 bad, 1 abstains, 2 good."""
+    f = features(docs, hashed=True)
     digit = [F.when(F.coalesce(bad, F.lit(False)), "0").when(F.coalesce(good, F.lit(False)), "2").otherwise("1")
              for bad, good in labellers().values()]
-    return f.select("doc_id", "n_words", F.concat(*digit).alias("votes"))
+    return f.select("doc_id", "text_hash", "n_words", F.concat(*digit).alias("votes"))
 
 
 def fit_votes(patterns: dict[str, int], rounds: int = ROUNDS) -> dict[str, float]:
@@ -183,23 +183,28 @@ def quality_classifier(docs: DataFrame, sample_docs: int = SAMPLE_DOCS,
     # at most 3^labellers rows
     table = spark.createDataFrame([(k, float(p)) for k, p in posterior.items()], "votes string, posterior double")
     weak = voted.join(F.broadcast(table), "votes")
-    # the bounded sample: smallest hashes of the id, a row of each id
-    draw = F.xxhash64(F.lit(SEED), "doc_id")
-    chosen = weak.select("doc_id", "posterior", draw.alias("draw")).orderBy("draw", "doc_id").limit(sample_docs)
-    ids = {r["doc_id"]: r["posterior"] for r in chosen.collect()}
-    last = spark.createDataFrame([(k,) for k in ids], "doc_id long")
+    # the bounded sample: smallest hashes of the (id, text), each of them once
+    draw = F.xxhash64(F.lit(SEED), "doc_id", "text_hash")
+    chosen = (weak.groupBy("doc_id", "text_hash").agg(F.min("posterior").alias("posterior")).withColumn("draw", draw)
+              .orderBy("draw", "doc_id", "text_hash").limit(sample_docs))
+    ids = {(r["doc_id"], r["text_hash"]): r["posterior"] for r in chosen.collect()}
+    last = spark.createDataFrame(list(ids), "_id long, _hash long")
 
     def extract(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in _parts(batches):
             f, v, first = hashed(batch.column(1))
             cut = pa.array(first, pa.int32())
             yield pa.record_batch([batch.column(0), pa.ListArray.from_arrays(cut, pa.array(f, pa.int32())),
-                                   pa.ListArray.from_arrays(cut, pa.array(v, pa.float64()))], names=["doc_id", "f", "v"])
-
-    got = (d.join(F.broadcast(last), "doc_id", "left_semi").dropDuplicates(["doc_id"])
-           .mapInArrow(extract, "doc_id long, f array<int>, v array<double>").toPandas().sort_values("doc_id"))
-    rows = [(np.asarray(f, np.int64), np.asarray(v)) for f, v in zip(got["f"], got["v"])]
-    weights, bias = fit_scorer(rows, np.array([ids[x] for x in got["doc_id"]]))
+                                   pa.ListArray.from_arrays(cut, pa.array(v, pa.float64())), batch.column(2)],
+                                  names=["doc_id", "f", "v", "h"])
+
+    own = d.withColumn("h", F.xxhash64(F.coalesce("text", F.lit(""))))
+    drawn = own.join(F.broadcast(last), own["doc_id"].eqNullSafe(F.col("_id")) & (own["h"] == F.col("_hash")), "left_semi")
+    got = (drawn.groupBy("doc_id", "h").agg(F.min("text").alias("text")).select("doc_id", "text", "h")
+           .mapInArrow(extract, "doc_id long, f array<int>, v array<double>, h long").collect())
+    got.sort(key=lambda r: (r["doc_id"] is not None, r["doc_id"] or 0, r["h"]))
+    rows = [(np.asarray(r["f"], np.int64), np.asarray(r["v"], np.float64)) for r in got]
+    weights, bias = fit_scorer(rows, np.array([ids[r["doc_id"], r["h"]] for r in got]))
     shared = spark.sparkContext.broadcast((weights, bias))
 
     # texts without features get the posterior of a wordless text's votes

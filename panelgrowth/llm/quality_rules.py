@@ -20,6 +20,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from panelgrowth.llm.common import GAP, only, words_of, written
+from panelgrowth.operators.enrich import sized_broadcast
 
 #: Frequent words by language.
 COMMON_WORDS = {
@@ -90,9 +91,10 @@ def _counted(text: Column, pattern: str) -> Column:
     return (F.length(text) - F.length(F.regexp_replace(text, f"(?:{pattern})+", ""))).cast("long")
 
 
-def features(docs: DataFrame, carry: bool = False) -> DataFrame:
+def features(docs: DataFrame, carry: bool = False, hashed: bool = False) -> DataFrame:
     """Per document: base measures and the two histograms; ``carry`` adds the
-    whole input row as the struct ``row``."""
+    whole input row as the struct ``row``, ``hashed`` the hash of the text as
+    ``text_hash`` (NULL as the empty text)."""
     if carry:
         named = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"))
         field = lambda c, kind: (F.col("row").getField(c) if c in docs.columns else F.lit(None)).cast(kind)
@@ -119,7 +121,7 @@ def features(docs: DataFrame, carry: bool = False) -> DataFrame:
          .withColumn("_common", let(common, lambda c: F.transform(
              lists[F.col("lang")], lambda w: (F.size(c) - F.size(F.array_remove(c, w))).cast("long")))))
     return d.select(
-        *["row"] * carry,
+        *["row"] * carry, *[F.xxhash64("text").alias("text_hash")] * hashed,
         "doc_id", "lang", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
         F.concat("_counts", F.array(
             F.length("text") - F.col("word_chars"),
@@ -160,6 +162,8 @@ def _judged(docs: DataFrame, max_char: float, max_word: float, carry: bool) -> D
         F.array(*[add("chars", i) for i in range(N_CHARS)]).alias("ref_chars"),
         F.array(*[add("common", i) for i in range(n_common)]).alias("ref_common")
     ).withColumnRenamed("lang", "_lang")
+    # broadcast while there are few languages: the rows, texts included, stay where they are
+    reference = sized_broadcast(written(reference, "quality-reference"))
     j = f.join(reference, F.col("lang").eqNullSafe(F.col("_lang")), "left")
     j = (j.withColumn("js_chars", js_distance(F.col("chars"), F.col("ref_chars")))
          .withColumn("js_words", js_distance(F.col("common"), F.col("ref_common"))))

@@ -50,5 +50,16 @@ def test_edges(docs_of):
     assert by[200] == by[201] and len(set(by[3])) == 1
 
 
+def test_the_sample_holds_texts_that_share_an_id(docs_of, monkeypatch):
+    from panelgrowth.llm import quality_classifier as Q
+    fitted = []
+    real = Q.fit_scorer
+    monkeypatch.setattr(Q, "fit_scorer", lambda rows, y: fitted.append(len(rows)) or real(rows, y))
+    rows = [(7, prose(i, 12), "en") for i in range(120)] + [(None, prose(200 + i, 12), "en") for i in range(30)] + [(9, "a", "en")] * 50
+    first = sorted((r["doc_id"] or 0, r["score"]) for r in Q.quality_classifier(docs_of(rows), sample_docs=100).collect())
+    again = sorted((r["doc_id"] or 0, r["score"]) for r in Q.quality_classifier(docs_of(rows[::-1]), sample_docs=100).collect())
+    assert fitted == [100, 100] and first == again
+
+
 def test_empty(docs_of):
     assert quality_classifier(docs_of([(1, "a")]).where("doc_id < 0")).count() == 0
