@@ -10,9 +10,10 @@ the kept rows in slices of bounded size, each indexed by itself, so that no
 posting is shuffled and no posting list stands in one task.  In a slice, documents
 are clustered by the similarity of their weighted vectors to pivot documents.
 Every term's posting list is put in cluster order and cut into blocks, and each
-block stores the greatest impact of its documents in every coordinate.  An item's
-product with this summary is no less than the score of any document of the block.
-A block is skipped only if that bound is below the item's k-th best score so far
+block stores the greatest impact of its documents in every coordinate (of its own
+term and of more frequent ones: rarer ones have lists of their own).  An item's
+product with this summary is no less than the score of any document of the block
+that it has not met in a rarer term's list.  A block is skipped only if that bound is below the item's k-th best score so far
 (or equal to it where all its ids are greater); the documents of all others are
 scored in full.  The best of each task are merged by rank.
 
@@ -47,8 +48,9 @@ TERMS_OF_INDEX = 2048
 SLICE_DOCS = 4096
 BLOCK_DOCS = 32
 RUN_DOCS = 8
-#: Numbers in a slice's vectors and summaries.
+#: Numbers in a slice's vectors and summaries, and of them taken at once to build these.
 CELLS = 32_000_000
+EXPANDED = 1 << 20
 LAST = (1 << 63) - 1
 
 #: Characters between terms: ASCII other than letters and digits.
@@ -121,33 +123,43 @@ def length_norm(n: np.ndarray, n_docs: int, n_terms: int) -> np.ndarray:
 
 
 class SliceIndex:
-    """Blocked posting lists of a slice over the terms ``columns`` of the items.
+    """Blocked posting lists of a slice over the terms ``columns`` of the items,
+    rarest first.
 
     ``vectors``: impacts, a row a document (whole numbers below 2^24, exact as
     floats).  ``blocks``: per column, the numbers of its first block and of the
-    one after its last; ``summary``: a row a block."""
+    one after its last; ``summary``: a row a block, the maxima of its documents in the
+    coordinates from the block's own term on.  Rarer terms are left out: a document that
+    holds one the item asks for is met in that term's list, where its bound has all
+    its terms, so the lists of common terms answer only for documents without a
+    rarer one."""
 
     def __init__(self, ids: np.ndarray, vectors: np.ndarray, weights: np.ndarray, block_docs: int = BLOCK_DOCS):
         self.ids, self.vectors = ids, vectors
-        n = len(ids)
+        n, width = vectors.shape
         cluster, rank = self.clusters(vectors * weights.astype(np.float32))
-        doc, term = np.nonzero(vectors)
-        order = np.argsort(term * n + rank[doc], kind="stable")
-        self.doc, term = doc[order], term[order]
+        row, column = np.nonzero(vectors)
+        value = vectors[row, column]
+        end_of_row = np.cumsum(np.bincount(row, minlength=n))[row]
+        order = np.argsort(column * n + rank[row], kind="stable")
+        self.doc, term = row[order], column[order]
         group = term * (int(cluster.max(initial=0)) + 1) + cluster[self.doc]
         self.first = self.cut(term, group, block_docs)
-        ends = np.concatenate((self.first[1:], [len(self.doc)]))
-        self.blocks = np.searchsorted(term[self.first], np.arange(vectors.shape[1] + 1))
+        self.ends = np.concatenate((self.first[1:], [len(self.doc)]))
+        self.blocks = np.searchsorted(term[self.first], np.arange(width + 1))
         self.least_id = np.minimum.reduceat(ids[self.doc], self.first) if len(self.first) else ids[:0]
-        self.summary = np.zeros((len(self.first), vectors.shape[1]), np.float32)
-        step = max(CELLS // 4 // max(vectors.shape[1], 1), block_docs)  # rows gathered at once
+        self.summary = np.zeros((len(self.first), width), np.float32)
+        # each posting brings the rest of its document's row, from its own term on
+        block = np.repeat(np.arange(len(self.first)), self.ends - self.first)
+        size = end_of_row[order] - order
+        until = np.cumsum(size)
         k = 0
-        while k < len(self.first):
-            e = max(k + 1, int(np.searchsorted(ends, self.first[k] + step, "right")))
-            rows = vectors[self.doc[self.first[k]:ends[e - 1]]]
-            self.summary[k:e] = np.maximum.reduceat(rows, self.first[k:e] - self.first[k], axis=0)
+        while k < len(order):
+            e = max(k + 1, int(np.searchsorted(until, until[k] - size[k] + EXPANDED, "right")))
+            own, begin = size[k:e], np.cumsum(size[k:e]) - size[k:e]
+            at = np.arange(int(own.sum())) + np.repeat(order[k:e] - begin, own)
+            np.maximum.at(self.summary.reshape(-1), np.repeat(block[k:e] * width, own) + column[at], value[at])
             k = e
-        self.ends = ends
 
     @staticmethod
     def clusters(weighted: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -174,7 +186,8 @@ class SliceIndex:
         return np.flatnonzero(at % block_docs == 0)
 
     def search(self, columns: np.ndarray, weights: np.ndarray, best: "Best") -> int:
-        """Adds the slice's documents to an item's best; how many blocks were opened."""
+        """Adds the slice's documents to an item's best (``columns``: its terms,
+        ascending); how many blocks were opened."""
         spans = [np.arange(self.blocks[c], self.blocks[c + 1]) for c in columns.tolist()]
         blocks = np.concatenate(spans) if spans else np.zeros(0, np.int64)
         bound = (self.summary[np.ix_(blocks, columns)].astype(np.float64) @ weights).astype(np.int64)
@@ -232,6 +245,7 @@ def search_kept(kept: DataFrame, terms: list[np.ndarray], weights: np.ndarray, n
 
     def index_and_search(ids, vectors, group, union, best, told) -> None:
         columns = np.flatnonzero(vectors.any(0))
+        columns = columns[np.argsort(-weights[union[columns]], kind="stable")]  # rarest first
         cells = len(columns) * (len(ids) + np.count_nonzero(vectors) // BLOCK_DOCS + len(columns))
         if cells > CELLS and len(ids) > 1:  # too many terms for one index: half the documents each
             h = len(ids) // 2

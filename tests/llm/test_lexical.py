@@ -83,7 +83,7 @@ def test_prose_equals_sql_and_skips_blocks(spark):
         con.execute(f"CREATE VIEW {t} AS SELECT * FROM '{at}/{t}.parquet'")
     assert rows(L.rank_documents(docs, items)) == sorted(con.execute(L.ORACLE_SQL).fetchall(), key=str)
     told = L.search_tasks(docs, items, slice_docs=256).groupBy().sum("opened", "blocks").head()
-    assert 0 < told[0] < 0.9 * told[1]
+    assert 0 < told[0] < 0.7 * told[1]
 
 
 def test_sql_equals_brute_force_on_edges(spark):
@@ -104,7 +104,7 @@ def test_summaries_bound_their_documents():
         docs = [index.doc[index.first[b]:index.ends[b]] for b in own]
         assert sorted(np.concatenate(docs).tolist()) == np.flatnonzero(v[:, c]).tolist()
         for b, d in zip(own, docs):
-            assert len(d) <= 16 and (index.summary[b] == v[d].max(0)).all()
+            assert len(d) <= 16 and (index.summary[b][c:] == v[d].max(0)[c:]).all() and not index.summary[b][:c].any()
 
 
 def test_copies_share_blocks():
