@@ -106,6 +106,12 @@ def q_state_report_nation(spark, sf):
 
 
 def q_combined_report(spark, sf):
+    from panelgrowth.plans.fused import combined_section
+    return combined_section(_panel(spark, sf), AS_OF)
+
+
+def q_combined_sections(spark, sf):
+    """The two sections computed alone, appended."""
     panel = _panel(spark, sf)
     return R.combined_report(R.state_report(panel, AS_OF), R.metro_report(panel, AS_OF))
 
@@ -295,8 +301,11 @@ def q_append_files(spark, sf):
 
 
 def q_sink_round_trip(spark, sf):
-    panel = _panel(spark, sf)
-    states, metros = R.state_report(panel, AS_OF), R.metro_report(panel, AS_OF)
+    from panelgrowth.plans.fused import fused_metrics, split_levels
+    from panelgrowth.sinks.writers import materialize
+    metrics = materialize(fused_metrics(_panel(spark, sf), K, levels=("state", "msa")), "levels", partition_by=["level"])
+    levels = split_levels(metrics)
+    states, metros = levels["state"], levels["msa"]
     combined = R.combined_report(states, metros)
     target = SinkTarget("parquet", scratch_path(spark, "reports"))
     write_reports({"state_rankings": combined}, target, index=True,
@@ -599,6 +608,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "metro_over_report": q_metro_over_report,
     "metro_under_report": q_metro_under_report,
     "combined_report": q_combined_report,
+    "combined_sections": q_combined_sections,
     "state_report_nation": q_state_report_nation,
     "paired_sums_left": q_paired_sums_left,
     "paired_sums_inner": q_paired_sums_inner,
@@ -752,6 +762,7 @@ UNION ALL SELECT 'none', 1, 0, 'empty'""",
                                           value_from="S"),
         "metro_under_report": O.report_sql("area_name", _under_where(), "left", K, "average"),
         "combined_report": combined,
+        "combined_sections": combined,
         "state_report_nation": O.report_sql("state_name", STATEWIDE_SQL, "left", K, "first",
                                             base=O.BASE_NATION),
         "paired_sums_left": (f"{O.BASE},\n{O.pair_ctes('panel', NOT_STATEWIDE_SQL, 'area_name', 'left')}\n"

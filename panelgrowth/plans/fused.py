@@ -33,7 +33,7 @@ from panelgrowth.operators.filters import ADJUSTED, STATEWIDE, TOTAL_NONFARM, UN
 from panelgrowth.operators.growth import finish_growth, growth_fractions
 from panelgrowth.operators.pairing import cohort_join
 from panelgrowth.operators.ranks import MAX_WINDOW_GROUP_ROWS, peer_ranks
-from panelgrowth.plans.reports import CELL_TAIL, report_columns
+from panelgrowth.plans.reports import CELL_TAIL, _k, report_columns
 from panelgrowth.sinks.writers import materialize
 
 LEVELS = ("state", "msa", "under", "over")
@@ -137,6 +137,13 @@ def fused_metrics(panel: DataFrame, k: int, over_threshold: float = 1000.0,
     return finish_growth(df).select("level", *report_columns("entity"))
 
 
+def combined_section(panel: DataFrame, as_of=None, ytd_months: int | None = None) -> DataFrame:
+    """M6/U3 from one aggregation of the panel: the states and the metros, names in
+    ``state_name``; equal to ``combined_report`` of the two sections."""
+    metrics = fused_metrics(panel, _k(ytd_months, as_of), levels=("state", "msa"))
+    return metrics.drop("level").withColumnRenamed("entity", "state_name")
+
+
 def split_levels(metrics: DataFrame) -> dict[str, DataFrame]:
     """level -> report frame with its entity column named as in the
     per-section functions."""

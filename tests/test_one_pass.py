@@ -40,6 +40,15 @@ def test_written_cells_feed_all_levels(spark, tmp_path):
         assert rows and sorted(map(repr, levels[level].collect())) == rows, level
 
 
+def test_combined_table_from_one_aggregation(spark, tmp_path):
+    panel, path = _panel(spark, tmp_path)
+    got = fused.combined_section(panel, AS_OF)
+    want = R.combined_report(R.state_report(panel, AS_OF), R.metro_report(panel, AS_OF))
+    assert got.columns == want.columns and sorted(map(repr, got.collect())) == sorted(map(repr, want.collect()))
+    plan = got._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("FileScan") == 1
+
+
 def test_large_cohorts_are_dealt_out_by_the_series(spark, tmp_path, monkeypatch):
     panel, _ = _panel(spark, tmp_path)
     want = sorted(map(repr, R.metro_over_report(panel, AS_OF, threshold=10.0).collect()))
