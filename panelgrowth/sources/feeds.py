@@ -19,6 +19,7 @@ from __future__ import annotations
 
 import datetime as _dt
 import re
+from collections import Counter
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
 from functools import reduce
@@ -41,7 +42,7 @@ class FeedFile:
 
     file: str
     bytes: int
-    modified: _dt.datetime
+    modified: _dt.datetime | None
     listed: int
     names: tuple[str, ...]
 
@@ -55,18 +56,28 @@ def _plain(uri: str) -> str:
     return re.sub("^file:/+", "file:/", unquote(uri))
 
 
+def _listed(spark: SparkSession, paths) -> DataFrame:
+    """file, bytes, modified: a row for each time that the paths name a file with a
+    byte in it.  A listing; no content is read."""
+    paths = [paths] if isinstance(paths, str) else list(paths)
+    return spark.read.format("binaryFile").load(paths).select(
+        F.col("path").alias("file"), F.col("length").alias("bytes"), F.col("modificationTime").alias("modified"))
+
+
+def _empty_files(listed: DataFrame, full: Iterable[str]) -> list[str]:
+    """Files without a byte, for which Spark plans no task."""
+    return sorted({_plain(u) for u in listed.inputFiles()} - set(full))
+
+
 def feed_files(spark: SparkSession, paths) -> DataFrame:
     """The files that a feed's paths (files, folders, globs) name: file, bytes,
-    modified, listed (how often the paths name it; files without a byte, which Spark
-    plans no task for, once).  A listing; no file is read."""
-    paths = [paths] if isinstance(paths, str) else list(paths)
-    found = spark.read.format("binaryFile").load(paths)
-    full = found.groupBy(F.col("path").alias("file")).agg(
-        F.max("length").alias("bytes"), F.max("modificationTime").alias("modified"),
-        F.count(F.lit(1)).cast("int").alias("listed"))
-    named = spark.createDataFrame([(f,) for f in sorted({_plain(u) for u in found.inputFiles()})], "file string")
-    return named.join(full, "file", "left").withColumns({
-        "bytes": F.coalesce("bytes", F.lit(0)).cast("long"), "listed": F.coalesce("listed", F.lit(1))})
+    modified, listed (how often the paths name it; files without a byte once)."""
+    listed = _listed(spark, paths)
+    full = listed.groupBy("file").agg(F.max("bytes").alias("bytes"), F.max("modified").alias("modified"),
+                                      F.count(F.lit(1)).cast("int").alias("listed"))
+    empty = _empty_files(listed, [r["file"] for r in full.select("file").collect()])
+    none = spark.createDataFrame([(f, 0, None, 1) for f in empty], "file string, bytes long, modified timestamp, listed int")
+    return full.unionByName(none)
 
 
 def first_record(stream, chunk: int = 1 << 16, most: int = 1 << 24) -> str:
@@ -96,17 +107,16 @@ def _open_first(uri: str) -> str | None:
 
 
 def first_records(files: DataFrame) -> DataFrame:
-    """``file``, ``record`` (NULL: not readable here) of each file, read in tasks
-    over the file list: one record a file, not the feed."""
+    """The files with ``record`` (NULL: not readable here), read in tasks over the
+    file list: one record a file, not the feed."""
     import pyarrow as pa
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            names = batch.column(0).to_pylist()
-            yield pa.record_batch([pa.array(names, pa.string()), pa.array([_open_first(n) for n in names], pa.string())],
-                                  names=["file", "record"])
+            record = pa.array([_open_first(n) for n in batch.column("file").to_pylist()], pa.string())
+            yield pa.record_batch([*batch.columns, record], names=[*batch.schema.names, "record"])
 
-    return files.select("file").mapInArrow(read, "file string, record string")
+    return files.mapInArrow(read, T.StructType([*files.schema.fields, T.StructField("record", T.StringType())]))
 
 
 def _header_names(spark: SparkSession, file: str, record: str | None) -> tuple[str, ...]:
@@ -122,21 +132,19 @@ def feed_headers(spark: SparkSession, paths, columns: Sequence[str] = FACT_COLUM
     a byte has none.  A file without a header that holds the first expected column is
     an error.  One small row per file reaches the driver, as in Spark's own file
     listing."""
-    listing = {r["file"]: r for r in feed_files(spark, paths).collect()}
-    full = [f for f, r in listing.items() if r["bytes"]]
-    records = {}
-    if full:
-        names = spark.createDataFrame([(f,) for f in full], "file string").repartition(min(len(full), 1000))
-        records = {r["file"]: r["record"] for r in first_records(names).collect()}
-    out = []
+    listed = _listed(spark, paths)
+    rows = first_records(listed).collect()
+    times = Counter(r["file"] for r in rows)
+    own = {r["file"]: r for r in rows}
     with ThreadPoolExecutor(max_workers=16) as pool:
-        headers = dict(zip(full, pool.map(lambda f: _header_names(spark, f, records[f]), full)))
-    for file, r in sorted(listing.items()):
-        header = headers.get(file, ())
-        if r["bytes"] and header != ("",) and columns[0] not in header:
+        headers = dict(zip(own, pool.map(lambda r: _header_names(spark, r["file"], r["record"]), own.values())))
+    out = [FeedFile(f, 0, None, 1, ()) for f in _empty_files(listed, own)]
+    for file, r in own.items():
+        header = headers[file]
+        if header != ("",) and columns[0] not in header:
             raise ValueError(f"{file}: no header line with {columns[0]}")
-        out.append(FeedFile(file, r["bytes"], r["modified"], r["listed"], () if header == ("",) else header))
-    return out
+        out.append(FeedFile(file, r["bytes"], r["modified"], times[file], () if header == ("",) else header))
+    return sorted(out, key=lambda f: f.file)
 
 
 def read_facts(spark: SparkSession, paths, strip_value: bool = True,
