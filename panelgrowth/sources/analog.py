@@ -161,11 +161,12 @@ def analog_feed_text(spark: SparkSession, sf_dir: str) -> DataFrame:
 def _order_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
     orders = table(spark, sf_dir, "orders").select(
         F.col("o_orderkey").alias("l_orderkey"), F.col("o_custkey").alias("c_custkey"))
-    customer = table(spark, sf_dir, "customer").select("c_custkey", "c_nationkey", "c_mktsegment")
+    customer = table(spark, sf_dir, "customer").select(
+        "c_custkey", "c_nationkey", _segment_code(F.col("c_mktsegment")).alias("supersector_code"))
     nation = table(spark, sf_dir, "nation").select(
         F.col("n_nationkey").alias("c_nationkey"), "n_regionkey")
     attrs = enrich(orders, [(customer, "c_custkey"), (nation, "c_nationkey")])
-    return attrs.select("l_orderkey", "c_mktsegment", "c_nationkey", "n_regionkey")
+    return attrs.select("l_orderkey", "supersector_code", "c_nationkey", "n_regionkey")
 
 
 def _segment_code(c) -> F.Column:
@@ -177,17 +178,15 @@ def _suffix(nationkey) -> F.Column:
     return F.element_at(F.array(*[F.lit(s) for s in AREA_SUFFIXES]), (nationkey % 4 + 1).cast("int"))
 
 
-def analog_feeds(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
-    """The analog panel encoded the way the public feeds are: text facts keyed
-    by a series id, and lookups from codes to names.  Codes are numbers
-    (padded by the readers), area codes in the area lookup end in a line
-    feed, the area lookup carries a clashing ``state_name``, national series
-    ids in their lookup carry blanks.  Decoding these through the engine's
-    readers and joins gives back the analog panel."""
+def _coded_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One row per line of an order: codes, series ids, text fields, and the national
+    feed's file."""
     li = table(spark, sf_dir, "lineitem").select(
         "l_orderkey", "l_linenumber", "l_suppkey", "l_quantity", "l_returnflag", "l_linestatus",
         "l_shipdate")
-    rows = join_lookup(li, _order_codes(spark, sf_dir), "l_orderkey", broadcast_max_rows=None)
+    # orders, of which there are fewer, are hashed: the lines need no sort
+    rows = join_lookup(li, _order_codes(spark, sf_dir).hint("shuffle_hash"), "l_orderkey",
+                       broadcast_max_rows=None)
     month = F.lpad(F.month("l_shipdate").cast("string"), 2, "0")
     coded = rows.select(
         F.when(F.col("l_linestatus") == "F", F.lit("U"))
@@ -195,7 +194,7 @@ def analog_feeds(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
         F.col("n_regionkey").alias("state_code"),
         F.when(F.col("l_suppkey") % 2 == 0, F.lit(0))
          .otherwise(F.col("c_nationkey") + 1).alias("area_code"),
-        _segment_code(F.col("c_mktsegment")).alias("supersector_code"),
+        "supersector_code",
         F.ascii("l_returnflag").alias("industry_code"),
         F.when(F.col("l_linenumber") <= 5, F.lit(1)).otherwise(F.lit(2)).alias("data_type_code"),
         F.year("l_shipdate").cast("string").alias("year"),
@@ -214,10 +213,22 @@ def analog_feeds(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
                      code("supersector_code", 8), code("industry_code", 8),
                      F.col("data_type_code").cast("string"))
     coded = coded.withColumns({"sm_id": sm_id, "ce_id": ce_id})
+    return coded.withColumn("_file", F.pmod(F.xxhash64(F.rpad("ce_id", 30, " ")), F.lit(11)))
+
+
+def analog_feeds(spark: SparkSession, sf_dir: str, coded: DataFrame | None = None) -> dict[str, DataFrame]:
+    """The analog panel encoded the way the public feeds are: text facts keyed
+    by a series id, and lookups from codes to names.  Codes are numbers
+    (padded by the readers), area codes in the area lookup end in a line
+    feed, the area lookup carries a clashing ``state_name``, national series
+    ids in their lookup carry blanks.  Decoding these through the engine's
+    readers and joins gives back the analog panel.  ``coded``: the coded lines,
+    where they were written before."""
+    coded = _coded_lines(spark, sf_dir) if coded is None else coded
 
-    def facts(id_col):
+    def facts(id_col, *more):
         return coded.select(F.rpad(F.col(id_col), 30, " ").alias("series_id"), "year", "period",
-                            "value", F.lit(None).cast("string").alias("footnote_codes"))
+                            "value", F.lit(None).cast("string").alias("footnote_codes"), *more)
 
     nation = table(spark, sf_dir, "nation")
     region = table(spark, sf_dir, "region")
@@ -237,7 +248,7 @@ def analog_feeds(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
         F.lit("WRONG").alias("state_name"))
     return {
         "sm_facts": facts("sm_id"),
-        "ce_facts": facts("ce_id").withColumn("_file", F.pmod(F.xxhash64("series_id"), F.lit(11))),
+        "ce_facts": facts("ce_id", "_file"),
         "sm_state": region.select(F.col("r_regionkey").alias("state_code"),
                                   F.col("r_name").alias("state_name")),
         "sm_supersector": segments,
@@ -257,19 +268,19 @@ def analog_feeds(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
 def write_analog_landing(spark: SparkSession, sf_dir: str) -> tuple[str, "LookupSource"]:
     """Write ``analog_feeds`` as a landing folder (text feeds under the
     manifest's file names) plus parquet lookups, under the session's shared
-    folder.  Returns (landing folder, lookup source)."""
+    folder.  The lines are joined to their orders and written once, narrow; feeds
+    and series lookups are read from there.  Returns (landing folder, lookup source)."""
     from panelgrowth.plans.job import CE_FILES, SM_FILES, materialize
     from panelgrowth.sinks.writers import scratch_path, write_feed_tsv
     from panelgrowth.sources.feeds import LookupSource
 
     base = scratch_path(spark, "landing")
-    feeds = analog_feeds(spark, sf_dir)
-    sm_facts = materialize(feeds["sm_facts"], "sm_facts")
-    # by file, so each file's write reads its own rows only
-    ce_facts = materialize(feeds["ce_facts"], "ce_facts", partition_by=["_file"])
-    write_feed_tsv(sm_facts, f"{base}/{SM_FILES[0]}.txt")
+    # by national file, so each file's write reads its own rows only
+    coded = materialize(_coded_lines(spark, sf_dir), "coded_lines", partition_by=["_file"])
+    feeds = analog_feeds(spark, sf_dir, coded)
+    write_feed_tsv(feeds["sm_facts"], f"{base}/{SM_FILES[0]}.txt")
     for i, name in enumerate(CE_FILES):
-        write_feed_tsv(ce_facts.filter(F.col("_file") == i).drop("_file"), f"{base}/{name}.txt")
+        write_feed_tsv(feeds["ce_facts"].filter(F.col("_file") == i).drop("_file"), f"{base}/{name}.txt")
     lookups = LookupSource("parquet", f"{base}/lookups")
     for name, df in feeds.items():
         if not name.endswith("_facts"):
