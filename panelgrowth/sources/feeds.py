@@ -199,8 +199,18 @@ def load_report(files: list[FeedFile], facts: DataFrame, file_column: str) -> Da
     listing = spark.createDataFrame([(f.file, f.bytes, f.listed) for f in files], "file string, bytes long, listed int")
     rows = facts.groupBy(F.col(file_column).alias("file")).agg(F.count(F.lit(1)).alias("rows"))
     out = listing.join(rows, "file", "left").withColumn("rows", F.coalesce("rows", F.lit(0)).cast("long"))
-    status = F.when(F.col("rows") == 0, "empty").when(F.col("listed") > 1, "listed twice").otherwise("ok")
-    return out.withColumn("status", status)
+    return out.withColumn("status", _load_status())
+
+
+def _load_status() -> Column:
+    return F.when(F.col("rows") == 0, "empty").when(F.col("listed") > 1, "listed twice").otherwise("ok")
+
+
+def load_by_feed(report: DataFrame, feed: Column) -> DataFrame:
+    """The rows of ``load_report`` by feed, where a feed is a folder of several files:
+    feed, listed, rows, status (a feed is empty where all of its files are)."""
+    by = report.groupBy(feed.alias("feed")).agg(F.max("listed").alias("listed"), F.sum("rows").alias("rows"))
+    return by.withColumn("status", _load_status())
 
 
 @dataclass
