@@ -62,7 +62,7 @@ def test_few_parts_are_written_without_a_sort(spark):
     back = materialize(df, "parts", partition_by=["part"])
     assert spark.conf.get(OPEN_FILES, None) == before
     assert back.columns == ["id", "part"] and back.exceptAll(df).count() == df.exceptAll(back).count() == 0
-    # each task's own order of the rows is kept within a part, as no sort moved them
+    # beyond the bound on open files a task sorts its rest
     many = spark.range(0, 4000, numPartitions=2).select(F.col("id"), (F.hash("id") % 50).alias("part"))
     back = materialize(many, "parts", partition_by=["part"])
     assert back.exceptAll(many).count() == many.exceptAll(back).count() == 0
