@@ -55,6 +55,10 @@ WORDS_OF_MAP = 8
 LEADS = 3
 #: Bytes of text handled at once.
 CHUNK = 1 << 20
+#: An n-gram of a counter beyond this many documents, and beyond this many times
+#: the mean counter, is hot: its postings are dealt by set.
+HOT_DOCS = 1 << 14
+HOT_TIMES = 64
 
 
 def shingle_sets(column: pa.Array, words: int) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
@@ -172,9 +176,15 @@ def ordered(v: np.ndarray, begin: np.ndarray, level: np.ndarray) -> np.ndarray:
     return out
 
 
+def hot_level(level: np.ndarray) -> float:
+    """The level beyond which a counter's n-grams are hot."""
+    return 4 * float(np.log2(max(HOT_DOCS, HOT_TIMES * np.exp2(level / 4).mean())))
+
+
 def postings(docs: DataFrame, words: int, percent: int, level: np.ndarray) -> DataFrame:
-    """gram, sid, n_pos (size and position) of each prefix member of each set."""
-    shared = docs.sparkSession.sparkContext.broadcast(level)
+    """gram, sid, n_pos (size and position; its complement, below 0, where the
+    n-gram is hot) of each prefix member of each set."""
+    shared, hot = docs.sparkSession.sparkContext.broadcast(level), hot_level(level)
 
     def post(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen: set[int] = set()  # sets this task has met
@@ -191,14 +201,51 @@ def postings(docs: DataFrame, words: int, percent: int, level: np.ndarray) -> Da
                 p = np.where(fresh, prefix_length(n, percent), 0)
                 text = np.repeat(np.arange(len(n)), p)
                 pos = np.arange(len(text)) - np.repeat(np.cumsum(p) - p, p)
+                gram = g[begin[:-1][text] + pos]
+                n_pos = (n[text] << 24 | np.minimum(pos, (1 << 24) - 1)).astype(np.int64)
                 yield pa.record_batch([
-                    pa.array(g[begin[:-1][text] + pos].view(np.int64)), pa.array(sid[text]),
-                    pa.array((n[text] << 24 | np.minimum(pos, (1 << 24) - 1)).astype(np.int64))],
+                    pa.array(gram.view(np.int64)), pa.array(sid[text]),
+                    pa.array(np.where((gram >> np.uint64(56)) > hot, ~n_pos, n_pos))],
                     names=["gram", "sid", "n_pos"])
 
     return docs.mapInArrow(post, "gram long, sid long, n_pos long")
 
 
+def shared_postings(posts: DataFrame) -> DataFrame:
+    """The postings, one per n-gram and set, of the n-grams that several sets
+    hold.  They are shuffled once, by n-gram, and read in order: a posting stays
+    if one beside it is of the same n-gram.  Those of hot n-grams are dealt by
+    set, so that no task holds a hot list, and all stay."""
+
+    def stay(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, on = [np.zeros(0, np.int64)] * 3, False  # the last posting, and whether it stays
+
+        def rows(live):
+            return pa.record_batch([pa.array(c[:len(live)][live]) for c in (gram, sid, np.where(n_pos < 0, ~n_pos, n_pos))],
+                                   names=["gram", "sid", "n_pos"])
+
+        for batch in batches:
+            gram, sid, n_pos = (np.concatenate((h, c.to_numpy())) for h, c in zip(held, batch.columns))
+            if not len(gram):
+                continue
+            first = np.ones(len(gram), bool)  # several tasks may have met a set
+            first[1:] = (gram[1:] != gram[:-1]) | (sid[1:] != sid[:-1])
+            gram, sid, n_pos = gram[first], sid[first], n_pos[first]
+            live = n_pos < 0
+            same = gram[1:] == gram[:-1]
+            live[1:] |= same
+            live[:-1] |= same
+            live[0] |= on
+            held, on = [c[-1:] for c in (gram, sid, n_pos)], bool(live[-1])
+            yield rows(live[:-1])
+        if on:
+            gram, sid, n_pos = held
+            yield rows(np.ones(1, bool))
+
+    deal = F.when(F.col("n_pos") < 0, F.col("sid")).otherwise(F.col("gram"))
+    return posts.repartition(deal).sortWithinPartitions("gram", "sid").mapInArrow(stay, "gram long, sid long, n_pos long")
+
+
 def could_link(a: Column, b: Column, percent: int) -> Column:
     """Length and position filters on the ``n_pos`` of a shared member: the
     sizes are near enough, and from it on either set can still hold the
@@ -273,9 +320,7 @@ def similar_components(docs: DataFrame, words: int = WORDS, percent: int = PERCE
         F.min("doc_id").alias("rep"), F.max("n_shingles").alias("n"),
         *[F.max(F.col("bits")[i]).alias(f"b{i}") for i in range(WORDS_OF_MAP)]), "ngram-nodes")
     maps = nodes.select("sid", "n", F.array(*[f"b{i}" for i in range(WORDS_OF_MAP)]).alias("bits"))
-    posts = written(postings(d, words, percent, frequency_levels(everything, table)), "ngram-postings")
-    lists = posts.groupBy("gram").agg(F.min("sid").alias("lead"), F.max("sid").alias("last")).where("lead < last")
-    live = written(posts.join(lists.select("gram"), "gram", "left_semi"), "ngram-live")
+    live = written(shared_postings(postings(d, words, percent, frequency_levels(everything, table))), "ngram-live")
     # stars: every set of a list with a few of its sets, drawn by a hash
     draws = [F.min(F.struct(F.xxhash64(F.lit(r), "sid").alias("draw"), F.col("sid").alias("lead"),
                             F.col("n_pos").alias("lead_pos"))).alias(f"d{r}") for r in range(LEADS)]
@@ -293,8 +338,7 @@ def similar_components(docs: DataFrame, words: int = WORDS, percent: int = PERCE
     named = (live.select("gram", "sid", "n_pos").join(comp.withColumnRenamed("node", "sid"), "sid", "left")
              .withColumn("component", F.coalesce("component", "sid")))
     open_ = named.groupBy("gram").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).where("lo < hi")
-    rest = written(named.join(open_.select("gram"), "gram", "left_semi").join(maps, "sid")
-                   .dropDuplicates(["gram", "sid"]), "ngram-rest")
+    rest = written(named.join(open_.select("gram"), "gram", "left_semi").join(maps, "sid"), "ngram-rest")
     fields = ("sid", "n_pos", "component", "n", "bits")
     x = rest.select("gram", *[F.col(c).alias("x_" + c) for c in fields])
     y = rest.select("gram", *[F.col(c).alias("y_" + c) for c in fields])

@@ -1,6 +1,9 @@
 import random
 
-from panelgrowth.llm.ngram_join import one_of_each, similar_components
+import numpy as np
+
+from panelgrowth.llm import ngram_join
+from panelgrowth.llm.ngram_join import one_of_each, postings, shared_postings, similar_components
 
 UPPER = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
 
@@ -87,3 +90,33 @@ def test_one_of_each_judges_rows_by_their_own_text(docs_of):
     assert [x for x in some if x[0] is not None] == [(1, a), *sorted([(2, b), (2, c)])]
     assert [i for i, _ in some].count(None) == 1  # one of e and its near copy
     assert [i for i, _ in kept()].count(None) == 3
+
+
+def test_postings_are_shuffled_once_and_lists_are_whole(spark, docs_of, monkeypatch):
+    d = docs_of(_rows() * 2).select("doc_id", "text").repartition(3)
+    level = np.zeros(1 << 12, np.uint8)
+    for hot in (False, True):  # all n-grams hot: dealt by set, none is dropped
+        if hot:
+            monkeypatch.setattr(ngram_join, "hot_level", lambda level: -1.0)
+        posts = postings(d, 4, 85, level)
+        live = shared_postings(posts)
+        assert live._jdf.queryExecution().executedPlan().toString().count("Exchange hashpartitioning") == 1
+        lists = {}
+        for gram, sid, n_pos in posts.collect():
+            assert (n_pos < 0) == hot
+            lists.setdefault(gram, {})[sid] = ~n_pos if hot else n_pos
+        want = sorted((g, s, n) for g, x in lists.items() for s, n in x.items() if hot or len(x) > 1)
+        assert sorted(map(tuple, live.collect())) == want and want
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "7")
+        try:  # a list may end anywhere in a batch
+            assert sorted(map(tuple, live.collect())) == want
+        finally:
+            spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+
+
+def test_hot_grams_match_brute_force(docs_of, monkeypatch):
+    rows = _rows()
+    monkeypatch.setattr(ngram_join, "HOT_DOCS", 4)
+    monkeypatch.setattr(ngram_join, "HOT_TIMES", 0)
+    got = sorted((tuple(r) for r in similar_components(docs_of(rows), table=1 << 12).collect()), key=str)
+    assert got == brute(rows)
