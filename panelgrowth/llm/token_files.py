@@ -18,13 +18,16 @@ columns are ignored.
 
 from __future__ import annotations
 
+import json
 import os
 import re
+import struct
 import zlib
 from typing import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -38,7 +41,12 @@ END_ID = 2
 FILE_IDS = 16 << 20
 #: Words whose ids a task remembers.
 CACHE_WORDS = 1_000_000
-
+#: Characters of the texts whose parts are counted off together.
+BLOCK_CHARS = 8 << 20
+#: Latin letters, then ASCII marks.
+PLAIN = re.compile(r"([A-Za-zÀ-ÖØ-öø-ɏ]+)([!-/:-@\[-`{-~]*)")
+#: The byte-level character of each byte that is not its own.
+BYTE_CHARS = {b: chr(256 + i) for i, b in enumerate([*range(0x21), *range(0x7F, 0xA1), 0xAD])}
 
 
 def file_schema(id_type: pa.DataType) -> pa.Schema:
@@ -54,8 +62,11 @@ class Encoder:
 
     A space between two characters that are not white space always starts a
     new piece of the byte-level pre-tokenizer, so a text's ids are the ids of
-    its space-separated parts, each but the first with its space.  Parts that
-    were not seen before are encoded together, and told apart by the ids that
+    its space-separated parts, each but the first with its space.  The parts of
+    a block of texts are counted off once (Arrow's dictionary), and only its
+    distinct ones are looked up.  A new part of Latin letters and then ASCII
+    marks is two pieces at most, which go to the tokenizer's model at once; other
+    new parts are encoded together, and told apart by the ids that
     start with the space byte.  A text with any other use of spaces is encoded
     as a whole.
     """
@@ -66,17 +77,50 @@ class Encoder:
         self.tokenizer = Tokenizer.from_file(path)
         n = self.n_ids = self.tokenizer.get_vocab_size(with_added_tokens=True)
         self.starts = np.array([(self.tokenizer.id_to_token(i) or "").startswith("Ġ") for i in range(n)])
-        self.odd = re.compile(r"\s |\s\Z| \s")
         self.known: dict[str, bytes] = {}
+        self.older: dict[str, bytes] = {}
+        self.marks: dict[str, bytes] = {}
+        spec = json.loads(self.tokenizer.to_str())
+        self.model = self.tokenizer.model
+        # pieces are known in advance only for this pre-tokenizer, and where no
+        # added token can lie in letters and marks
+        self.plain = (spec["pre_tokenizer"] == {"type": "ByteLevel", "add_prefix_space": False, "trim_offsets": True,
+                                                "use_regex": True}
+                      and spec["normalizer"] is None and not spec["model"].get("dropout")
+                      and all(re.search(r"[!-/:-@\[-`{-~]\w", t["content"]) for t in spec["added_tokens"]))
 
     def whole(self, text: str) -> bytes:
         return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
 
+    def piece(self, letters: str) -> bytes:
+        """Ids of one piece of the pre-tokenizer, in its characters."""
+        ids = [t.id for t in self.model.tokenize(letters)]
+        return struct.pack(f"<{len(ids)}I", *ids)
+
     def learn(self, parts: list[str]) -> None:
-        if len(self.known) + len(parts) > CACHE_WORDS:
-            self.known.clear()
-        for k in range(0, len(parts), 20_000):
-            some = parts[k:k + 20_000]
+        if len(self.known) + len(parts) > CACHE_WORDS // 2:  # words not met since the last time are forgotten
+            self.known, self.older = {}, self.known
+        rest = parts
+        if self.plain:
+            rest, known, marks = [], self.known, self.marks
+            for p in parts:
+                m = PLAIN.fullmatch(p)
+                if not m:
+                    rest.append(p)
+                    continue
+                word, end = m.groups()
+                own = known.get(word) or self.older.get(word)
+                if own is None:
+                    own = self.piece("Ġ" + (word if word.isascii() else word.encode().decode("latin-1").translate(BYTE_CHARS)))
+                known[word] = own
+                if end:
+                    if end not in marks:
+                        if len(marks) > CACHE_WORDS // 10:
+                            marks.clear()
+                        marks[end] = self.piece(end)
+                    known[p] = own + marks[end]
+        for k in range(0, len(rest), 20_000):
+            some = rest[k:k + 20_000]
             ids = np.array(self.tokenizer.encode_batch_fast([" " + " ".join(some)], add_special_tokens=False)[0].ids, "<u4")
             cut = np.flatnonzero(self.starts[ids])
             if len(cut) != len(some):  # a vocabulary of another kind
@@ -87,25 +131,74 @@ class Encoder:
             for p, a, b in zip(some, at, at[1:]):
                 self.known[p] = raw[a:b]
 
+    def spaced(self, parts: list[str]) -> list[bytes | None]:
+        """Ids of distinct parts, each with its space; None where white space
+        stands beside it."""
+        out = list(map(self.known.get, parts))
+        if None in out:
+            new, older = [], self.older.get
+            for i, v in enumerate(out):
+                if v is None:
+                    v = out[i] = older(parts[i])
+                    if v is None:
+                        p = parts[i]
+                        if p and not p[0].isspace() and not p[-1].isspace():
+                            new.append(i)
+                    else:
+                        self.known[parts[i]] = v
+            for k in range(0, len(new), 20_000):
+                some = new[k:k + 20_000]
+                self.learn([parts[i] for i in some])
+                for i in some:
+                    out[i] = self.known[parts[i]]
+        return out
+
+    def block(self, texts: list[str]) -> list[bytes]:
+        """Ids of texts; those whose spaces are not all single ones between
+        words are encoded as a whole."""
+        split = pc.split_pattern(pa.array(texts, pa.large_string()), " ")
+        at = split.offsets.to_numpy()
+        flat = split.values
+        later = np.ones(len(flat), bool)
+        later[at[:-1]] = False
+        first = flat.take(pa.array(at[:-1])).to_pylist()
+        coded = flat.filter(pa.array(later)).dictionary_encode()
+        ids = self.spaced(coded.dictionary.to_pylist())
+        code = coded.indices.to_numpy()
+        begin = at - np.arange(len(at))  # a text's parts but its first
+        odd = [False] * len(first)
+        if None in ids:
+            n = np.concatenate(([0], np.cumsum(np.array([v is None for v in ids])[code])))[begin]
+            odd, ids = (n[1:] > n[:-1]).tolist(), [v or b"" for v in ids]
+        size = np.fromiter(map(len, ids), np.int64, len(ids)) // 4
+        start = np.cumsum(size) - size
+        ids = np.frombuffer(b"".join(ids), "<u4")
+        size = size[code]
+        end = np.concatenate(([0], np.cumsum(size)))
+        stream = ids[np.repeat(start[code] - end[:-1], size) + np.arange(end[-1])].tobytes()
+        cut = (end[begin] * 4).tolist()
+        return [self.whole(t) if o or f[-1].isspace() else self.whole(f) + stream[a:b]
+                for t, f, o, a, b in zip(texts, first, odd, cut, cut[1:])]
+
     def encode(self, texts: list[str]) -> list[bytes]:
         """Little-endian uint32 ids of each text."""
-        out: list[bytes] = []
-        split = [None if not t or t[0] == " " or self.odd.search(t) else t.split(" ") for t in texts]
-        for k in range(0, len(texts), 64):
-            group = split[k:k + 64]
-            get = self.known.get
-            rows = [s and list(map(get, s[1:])) for s in group]
-            new = {p for s, r in zip(group, rows) if r and None in r for p, v in zip(s[1:], r) if v is None}
-            if new:
-                self.learn(list(new))
-            learnt = self.known
-            for t, s, r in zip(texts[k:k + 64], group, rows):
-                if s is None:
-                    out.append(self.whole(t) if t else b"")
-                    continue
-                if None in r:
-                    r = [learnt[p] if v is None else v for p, v in zip(s[1:], r)]
-                out.append(self.whole(s[0]) + b"".join(r))
+        out: list[bytes] = [b""] * len(texts)
+        rows, n = [], 0
+        for i, t in enumerate(texts):
+            if not t:
+                continue
+            if t[0] == " " or "  " in t or t[-1].isspace():
+                out[i] = self.whole(t)
+                continue
+            if rows and n + len(t) > BLOCK_CHARS:
+                for j, own in zip(rows, self.block([texts[j] for j in rows])):
+                    out[j] = own
+                rows, n = [], 0
+            rows.append(i)
+            n += len(t)
+        if rows:
+            for j, own in zip(rows, self.block([texts[j] for j in rows])):
+                out[j] = own
         return out
 
 

@@ -4,7 +4,7 @@ import numpy as np
 import pytest
 
 from panelgrowth.llm.token_files import (
-    BATCH_SEQS, SEQ_LEN, Encoder, TokenFile, read_token_files, token_digest, write_token_files,
+    BATCH_SEQS, SEQ_LEN, BYTE_CHARS, Encoder, TokenFile, read_token_files, token_digest, write_token_files,
 )
 
 P = pytest.importorskip("public_tokenizers")
@@ -70,3 +70,29 @@ def test_files_of_fixed_size_lists(docs_of, plain):
 
 def test_empty(docs_of):
     assert token_digest(docs_of([(1, "a")]).where("doc_id < 0"), PATH).count() == 0
+
+
+def test_a_blocks_words_are_looked_up_once(plain, monkeypatch):
+    import random
+
+    from panelgrowth.llm import token_files
+    rng = random.Random(3)
+    words = ["it's", "don't!", "hand,", "Hand", "x'", "'s", "été", "ça...", "ʼn", "ñandú!?", "a1", "1a", "--", "...", "日本", "a\tb", "a\nb", "\u3000",
+             "\tq", "q\n", "q\xa0", "<|endoftext|>", "a<|endoftext|>", "ab<|", "Ġ", "Ġa", "\xad", "\x00", "word", "ﬁ", "aʼs", "I'll", "'", "×a", "Éa"]
+    words += ["".join(rng.choice("abcdefghéçØ") for _ in range(rng.randint(1, 9))) + rng.choice(["", "", ",", "%%%", "'", "?!"])
+              for _ in range(300)]
+    texts = [" ".join(rng.choice(words) for _ in range(rng.randint(0, 40))) for _ in range(400)]
+    want = [plain.encode(t, add_special_tokens=False).ids for t in texts]
+    for cache, block in ((1_000_000, 1 << 20), (60, 300)):  # words are forgotten, and blocks are many
+        monkeypatch.setattr(token_files, "CACHE_WORDS", cache)
+        monkeypatch.setattr(token_files, "BLOCK_CHARS", block)
+        e = Encoder(PATH)
+        asked = []
+        spaced = e.spaced
+        e.spaced = lambda parts: (asked.append(parts), spaced(parts))[1]
+        for _ in range(2):
+            got = e.encode(texts)
+            for t, w, g in zip(texts, want, got):
+                assert np.frombuffer(g, "<u4").tolist() == w, t
+        assert all(len(set(p)) == len(p) for p in asked)
+    assert e.plain and "".join(BYTE_CHARS.get(b, chr(b)) for b in b" \n\xad") == "ĠĊŃ"
