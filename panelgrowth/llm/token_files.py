@@ -42,7 +42,7 @@ FILE_IDS = 16 << 20
 #: Words whose ids a task remembers.
 CACHE_WORDS = 1_000_000
 #: Characters of the texts whose parts are counted off together.
-BLOCK_CHARS = 8 << 20
+BLOCK_CHARS = 16 << 20
 #: Latin letters, then ASCII marks.
 PLAIN = re.compile(r"([A-Za-zÀ-ÖØ-öø-ɏ]+)([!-/:-@\[-`{-~]*)")
 #: The byte-level character of each byte that is not its own.
@@ -175,7 +175,9 @@ class Encoder:
         ids = np.frombuffer(b"".join(ids), "<u4")
         size = size[code]
         end = np.concatenate(([0], np.cumsum(size)))
-        stream = ids[np.repeat(start[code] - end[:-1], size) + np.arange(end[-1])].tobytes()
+        place = np.repeat(start[code] - end[:-1], size)
+        place += np.arange(end[-1])
+        stream = ids[place].tobytes()
         cut = (end[begin] * 4).tolist()
         return [self.whole(t) if o or f[-1].isspace() else self.whole(f) + stream[a:b]
                 for t, f, o, a, b in zip(texts, first, odd, cut, cut[1:])]
